@@ -67,3 +67,35 @@ def dense_index(df: DataFrame, order_cols: list[str], group_cols: list[str] = ()
                       ["_pid", *group_cols])
     return out.withColumn(name, (F.col("_off") + F.col("_lpos") - F.col("_first")).cast("bigint")) \
         .drop("_mid", "_pid", "_lpos", "_first", "_off")
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
+                    group_cols: list[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Linear-interpolation quantiles per group (numpy default, DuckDB
+    ``quantile_cont``), exact for any value type and any number of
+    distinct values.
+
+    Rows are numbered in value order with ``dense_index`` (range shuffle,
+    no single-task window); the two order statistics around each
+    ``(n-1)*p`` are picked by a join to a target table of
+    groups x probs x 2 rows, then interpolated. Output: group columns,
+    ``p``, ``q``.
+    """
+    group_cols = list(group_cols)
+    base = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")) \
+        .filter(F.col("_v").isNotNull())
+    counts = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    targets = (counts.select(*group_cols, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+               .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+               .withColumn("_lo", F.floor("_h").cast("bigint"))
+               .withColumn("_hi", F.ceil("_h").cast("bigint"))
+               .withColumn("_frac", F.col("_h") - F.col("_lo")))
+    picks = targets.select(*group_cols, "p", "_lo", "_hi", "_frac",
+                           F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("idx"))
+    indexed = dense_index(base, ["_v"], group_cols, "idx", num_partitions)
+    hit = indexed.join(picks, [*group_cols, "idx"])
+    agg = hit.groupBy(*group_cols, "p").agg(
+        F.max(F.when(F.col("idx") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("idx") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
+        F.first("_frac").alias("_frac"))
+    return agg.select(*group_cols, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))

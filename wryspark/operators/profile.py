@@ -143,3 +143,44 @@ def percentile_cap(df: DataFrame, value_cols: list[str], p: float = 0.995) -> Da
     """
     return df.agg(*[F.floor(F.percentile(F.col(c), F.lit(p))).cast("bigint").alias(f"{c}_cap")
                     for c in value_cols])
+
+
+def describe(df: DataFrame, numeric_cols: list[str], string_cols: list[str],
+             order_col: str) -> DataFrame:
+    """A-04: ``describe(include='all')`` as one row per column.
+
+    Numeric: count, mean, std, min, quartiles (exact, interpolated), max.
+    String: count, unique, top (most frequent, ties to the earliest
+    ``order_col``), freq. Cells that do not apply are null.
+    """
+    from .ordering import exact_quantiles
+    r6 = lambda c: F.round(c, 6)
+    parts = []
+    if numeric_cols:
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+            for c in numeric_cols])).alias("_s")).select("_s.*")
+        stats = long.groupBy("column_name").agg(
+            F.count("v").alias("count"), r6(F.avg("v")).alias("mean"),
+            r6(F.stddev_samp("v")).alias("std"), r6(F.min("v")).alias("min"),
+            r6(F.max("v")).alias("max"))
+        qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column_name"]).groupBy("column_name").agg(
+            *[r6(F.max(F.when(F.col("p") == p, F.col("q")))).alias(n)
+              for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
+        parts.append(stats.join(qs, "column_name").select(
+            "column_name", "count", F.lit(None).cast("bigint").alias("unique_count"),
+            F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
+            "mean", "std", "min", "q25", "q50", "q75", "max"))
+    for c in string_cols:
+        vc = df.filter(F.col(c).isNotNull()).groupBy(c).agg(
+            F.count(F.lit(1)).alias("_c"), F.min(order_col).alias("_fr"))
+        parts.append(vc.agg(
+            F.sum("_c").cast("bigint").alias("count"), F.count(F.lit(1)).alias("unique_count"),
+            F.min_by(F.col(c), F.struct((-F.col("_c")).alias("a"), F.col("_fr").alias("b"))).alias("top"),
+            F.max("_c").alias("freq")).select(
+            F.lit(c).alias("column_name"), "count", "unique_count", "top", "freq",
+            *[F.lit(None).cast("double").alias(n) for n in ["mean", "std", "min", "q25", "q50", "q75", "max"]]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -46,3 +46,89 @@ def top_unigrams_per_label(spark, sf):
     """Alphabetic tokens, case and stopwords kept."""
     m = merged_table(spark, sf).withColumn("tokens", T.alpha_tokens("headline"))
     return _top(P.token_counts(m, "tokens", ["is_sarcastic"]))
+
+
+def _bigram_sql(tokens_sql: str, table: str, group: str, ver: str, row: str, where: str = "") -> str:
+    """Cross-row bigrams: the last token of a non-empty row pairs with the
+    first token of the next non-empty row of the same group."""
+    return f"""t AS (SELECT {group} AS g, {ver} AS version, {row} AS row_id, {tokens_sql} AS toks FROM {table} {where}),
+ne AS (SELECT * FROM t WHERE len(toks) > 0),
+w AS (SELECT *, lead(toks[1]) OVER (PARTITION BY g ORDER BY version, row_id) AS nxt FROM ne),
+x AS (SELECT *, CASE WHEN nxt IS NULL THEN toks ELSE list_append(toks, nxt) END AS ext FROM w),
+gr AS (SELECT g, version, row_id, i - 1 AS pos, ext[i] || ' ' || ext[i + 1] AS ngram
+       FROM (SELECT *, unnest(generate_series(1, len(toks))) AS i FROM x) WHERE i + 1 <= len(ext)),
+c AS (SELECT g, ngram, count(*) AS count, min((version, row_id, pos)) AS fs FROM gr GROUP BY g, ngram)"""
+
+
+@register("bigram_counts", "W-01 A-12",
+          f"WITH {S.HEADLINES}, " + _bigram_sql(S.filtered_tokens("headline"), "merged", "is_sarcastic",
+                                                "version", "row_id")
+          + " SELECT g AS is_sarcastic, ngram, count FROM c")
+def bigram_counts(spark, sf):
+    m = merged_table(spark, sf).withColumn("tokens", T.filtered_tokens("headline"))
+    return P.ngram_counts(m, "tokens", ["is_sarcastic"], 2).select("is_sarcastic", "ngram", "count")
+
+
+@register("top_bigrams_per_label", "W-01 W-02 A-12 K-01",
+          f"WITH {S.HEADLINES}, " + _bigram_sql(S.filtered_tokens("headline"), "merged", "is_sarcastic",
+                                                "version", "row_id")
+          + """ SELECT g AS is_sarcastic, CAST(rank AS BIGINT) AS rank, ngram, count FROM
+  (SELECT *, row_number() OVER (PARTITION BY g ORDER BY count DESC, fs) AS rank FROM c) WHERE rank <= 20""")
+def top_bigrams_per_label(spark, sf):
+    m = merged_table(spark, sf).withColumn("tokens", T.filtered_tokens("headline"))
+    c = P.ngram_counts(m, "tokens", ["is_sarcastic"], 2)
+    return P.top_k(c, ["is_sarcastic"], 20).select(
+        "is_sarcastic", F.col("rank").cast("bigint").alias("rank"), "ngram", "count")
+
+
+@register("conversation_bigrams", "W-01 A-12",
+          "WITH " + _bigram_sql(S.filtered_tokens("text"), "conversations", "role", "conv_id", "turn")
+          + " SELECT g AS role, ngram, count FROM c")
+def conversation_bigrams(spark, sf):
+    """The same stream operator over ordered turns: one stream per role,
+    ordered by (conv_id, turn); blocks of 4 turns exercise the carry."""
+    from ..sources.tables import read_table
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"]) \
+        .withColumn("tokens", T.filtered_tokens("text"))
+    c = P.ngram_counts(conv, "tokens", ["role"], 2, version_col="conv_id", row_col="turn", block_rows=4)
+    return c.select("role", "ngram", "count")
+
+
+@register("row_bigram_counts", "W-01 A-12",
+          f"""WITH {S.HEADLINES}, t AS (SELECT is_sarcastic, {S.filtered_tokens('headline')} AS toks FROM merged),
+g AS (SELECT is_sarcastic, toks[i] || ' ' || toks[i + 1] AS ngram
+      FROM (SELECT *, unnest(generate_series(1, len(toks) - 1)) AS i FROM t WHERE len(toks) > 1))
+SELECT is_sarcastic, ngram, count(*) AS count FROM g GROUP BY ALL""")
+def row_bigram_counts(spark, sf):
+    m = merged_table(spark, sf).withColumn("tokens", T.filtered_tokens("headline"))
+    return P.ngram_counts(m, "tokens", ["is_sarcastic"], 2, boundary="row").select(
+        "is_sarcastic", "ngram", "count")
+
+
+@register("length_caps", "A-15 F-01",
+          f"SELECT CAST(floor(quantile_cont(wc, 0.995)) AS BIGINT) AS words_cap "
+          f"FROM (SELECT {S.word_count('text')} AS wc FROM documents)")
+def length_caps(spark, sf):
+    from ..functions.features import word_count
+    from ..sources.tables import read_table
+    d = read_table(spark, sf, "documents", ["text"])
+    return P.percentile_cap(d.select(word_count("text").alias("words")), ["words"])
+
+
+@register("describe_headlines", "A-04",
+          f"""WITH {S.HEADLINES},
+num AS (SELECT 'row_id' AS column_name, CAST(row_id AS DOUBLE) AS v FROM h
+        UNION ALL SELECT 'is_sarcastic', CAST(is_sarcastic AS DOUBLE) FROM h),
+ns AS (SELECT column_name, count(v) AS count, CAST(NULL AS BIGINT) AS unique_count, CAST(NULL AS VARCHAR) AS top,
+  CAST(NULL AS BIGINT) AS freq, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min,
+  round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+  round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max FROM num GROUP BY column_name),
+vc AS (SELECT headline, count(*) AS c, min(row_id) AS fr FROM h WHERE headline IS NOT NULL GROUP BY headline),
+st AS (SELECT 'headline' AS column_name, (SELECT count(headline) FROM h) AS count, (SELECT count(*) FROM vc) AS unique_count,
+  (SELECT headline FROM vc ORDER BY c DESC, fr LIMIT 1) AS top, (SELECT max(c) FROM vc) AS freq,
+  CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS q25,
+  CAST(NULL AS DOUBLE) AS q50, CAST(NULL AS DOUBLE) AS q75, CAST(NULL AS DOUBLE) AS max)
+SELECT * FROM ns UNION ALL SELECT * FROM st""")
+def describe_headlines(spark, sf):
+    from ..sources.tables import headlines
+    return P.describe(headlines(spark, sf), ["row_id", "is_sarcastic"], ["headline"], order_col="row_id")
