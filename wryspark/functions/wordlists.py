@@ -35,3 +35,11 @@ BODY_ALLOWED_PARENTS = ["p", "em", "i", "b"]
 # Number of leading characters dropped from a link before
 # the second lookup attempt.
 LINK_PREFIX_LEN = 30
+
+# Characters the sequence tokenizer replaces by a space
+# before splitting on single spaces (the apostrophe is not among them).
+SEQUENCE_FILTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
+
+# Sequence ids reserved below the vocabulary.
+PAD_ID = 0
+OOV_ID = 1

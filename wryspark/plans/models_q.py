@@ -1,3 +1,53 @@
-"""Queries."""
+"""Metric queries (M-01..M-05) on the stand-in predictions, and the
+model queries (L-*, X-E*) whose results depend on a fitted model."""
 
 from __future__ import annotations
+
+from ..operators import metrics as M
+from ..sources.tables import predictions
+from .catalog import register
+
+_COUNTS = """c AS (SELECT CAST(quality AS INTEGER) AS label, CAST(toxic AS INTEGER) AS prediction, count(*) AS n
+  FROM labels GROUP BY ALL)"""
+
+
+@register("binary_scores", "M-01 M-02 M-03",
+          f"""WITH {_COUNTS}, a AS (SELECT sum(n) AS n, sum(n) FILTER (WHERE label = prediction) AS correct,
+  coalesce(sum(n) FILTER (WHERE label = 1 AND prediction = 1), 0) AS tp,
+  coalesce(sum(n) FILTER (WHERE label <> 1 AND prediction = 1), 0) AS fp,
+  coalesce(sum(n) FILTER (WHERE label = 1 AND prediction <> 1), 0) AS fn FROM c)
+SELECT round(correct / n, 6) AS accuracy,
+  round(CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
+  round(CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn <> 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM a""")
+def binary_scores(spark, sf):
+    from pyspark.sql import functions as F
+    s = M.binary_scores(predictions(spark, sf))
+    return s.select(*[F.round(c, 6).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
+
+
+@register("classification_report", "M-04",
+          f"""WITH {_COUNTS}, k AS (SELECT * FROM (VALUES (0), (1)) v(k)),
+pc AS (SELECT k, coalesce((SELECT sum(n) FROM c WHERE label = k AND prediction = k), 0) AS tp,
+  coalesce((SELECT sum(n) FROM c WHERE prediction = k), 0) AS pp,
+  coalesce((SELECT sum(n) FROM c WHERE label = k), 0) AS sup FROM k),
+r AS (SELECT k, CASE WHEN pp <> 0 THEN tp / pp ELSE 0 END AS p, CASE WHEN sup <> 0 THEN tp / sup ELSE 0 END AS r, sup FROM pc),
+f AS (SELECT *, CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM r),
+tot AS (SELECT sum(n) AS total, sum(n) FILTER (WHERE label = prediction) AS correct FROM c)
+SELECT CAST(k AS VARCHAR) AS row_name, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1,
+  CAST(sup AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(correct / total, 6), CAST(total AS BIGINT) FROM tot
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f1), 6), (SELECT CAST(total AS BIGINT) FROM tot) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(p * sup) / sum(sup), 6), round(sum(r * sup) / sum(sup), 6),
+  round(sum(f1 * sup) / sum(sup), 6), (SELECT CAST(total AS BIGINT) FROM tot) FROM f""")
+def classification_report(spark, sf):
+    from pyspark.sql import functions as F
+    r = M.classification_report(predictions(spark, sf))
+    return r.select("row_name", *[F.round(c, 6).alias(c) for c in ["precision", "recall", "f1"]], "support")
+
+
+@register("confusion_matrix", "M-05",
+          f"""WITH {_COUNTS} SELECT label, CAST(coalesce(sum(n) FILTER (WHERE prediction = 0), 0) AS BIGINT) AS pred_0,
+  CAST(coalesce(sum(n) FILTER (WHERE prediction = 1), 0) AS BIGINT) AS pred_1 FROM c GROUP BY label""")
+def confusion_matrix(spark, sf):
+    return M.confusion_matrix(predictions(spark, sf))
