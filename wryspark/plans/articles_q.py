@@ -1,3 +1,178 @@
-"""Queries."""
+"""Article branch queries: J-03, T-09, T-11, T-13, R-01..R-08, A-15, P-04."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.features import word_count
+from ..operators import articles as AR
+from ..operators import reconcile as R
+from ..operators import rouge as RG
+from ..operators import split as SP
+from ..operators.encode import tfidf_long
+from ..sources.tables import documents, pages, read_table
+from . import sqltext as S
+from .catalog import register
+
+# The five basic character references of page titles.
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_TITLE = r"<title>(.*?)</title>"
+
+
+def _title_col(html: str = "html"):
+    t = F.regexp_extract(F.col(html), _TITLE, 1)
+    for a, b in _ENTITIES:
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return t
+
+
+def _title_sql(html: str = "html") -> str:
+    t = f"regexp_extract({html}, {S.q(_TITLE)}, 1)"
+    for a, b in _ENTITIES:
+        t = f"replace({t}, {S.q(a)}, {S.q(b)})"
+    return t
+
+
+@register("page_titles", "T-13 S-06", f"SELECT page_id, {_title_sql()} AS title FROM pages")
+def page_titles(spark, sf):
+    return pages(spark, sf).select("page_id", _title_col().alias("title"))
+
+
+@register("article_bodies", "T-13 V-02")
+def article_bodies(spark, sf):
+    """Rows-only: the body parser is Python (checked by unit fixtures)."""
+    a = AR.extract_articles(pages(spark, sf))
+    return a.select("page_id", "title", "body", word_count("body").alias("body_words"))
+
+
+@register("link_bodies", "J-03 T-14 Q-10")
+def link_bodies(spark, sf):
+    """Each stored link resolved to its body with the two-step fallback."""
+    p = pages(spark, sf)
+    links = p.select("page_id", F.col("url").alias("article_link"))
+    out = AR.lookup_bodies(links, "article_link", AR.extract_articles(p))
+    return out.select("page_id", "article_link", "body")
+
+
+def _pairs(spark, sf):
+    """Summarisation pairs: body = extracted text, headline = page title."""
+    a = AR.extract_articles(pages(spark, sf))
+    return a.select(F.col("page_id").alias("row_id"), "body", F.col("title").alias("headline"))
+
+
+@register("article_splits", "Q-05 A-15 P-04 W-03")
+def article_splits(spark, sf):
+    """Long bodies (> 30 words) shuffled and cut 80/10/10; per split the
+    row count and the 99.5th-percentile word caps of body and headline."""
+    long = R.word_count_filter(_pairs(spark, sf), "body", 30, keep_long=True)
+    sl = SP.ordered_slices(long, {"train": 0.8, "val": 0.1, "test": 0.1}, "row_id")
+    wc = sl.select("split", word_count("body").alias("bw"), word_count("headline").alias("hw"))
+    return wc.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.floor(F.percentile("bw", F.lit(0.995))).cast("bigint").alias("body_cap"),
+        F.floor(F.percentile("hw", F.lit(0.995))).cast("bigint").alias("headline_cap"))
+
+
+@register("article_lead_rouge", "R-01 R-02 R-03 R-04 R-05 R-06 T-11")
+def article_lead_rouge(spark, sf):
+    """Lead-1 baseline on the validation slice against the headline."""
+    long = R.word_count_filter(_pairs(spark, sf), "body", 30, keep_long=True)
+    val = SP.ordered_slices(long, {"train": 0.8, "val": 0.1, "test": 0.1}, "row_id") \
+        .filter(F.col("split") == "val")
+    pairs = val.select("row_id", T.newline_sentences(AR.lead_sentence("body")).alias("pred"),
+                       T.newline_sentences("headline").alias("ref"))
+    return RG.corpus_scores(pairs, "row_id", "pred", "ref")
+
+
+@register("summary_predictions", "R-07 R-08 E-01")
+def summary_predictions(spark, sf):
+    """Test slice: Body, Headline, extractive Summary (TF-IDF over bodies)."""
+    pairs = _pairs(spark, sf)
+    long = R.word_count_filter(pairs, "body", 30, keep_long=True)
+    test = SP.ordered_slices(long, {"train": 0.8, "val": 0.1, "test": 0.1}, "row_id") \
+        .filter(F.col("split") == "test")
+    weights = tfidf_long(long, "body", "row_id")
+    summ = AR.extractive_summary(test, "row_id", "body", weights)
+    return test.join(summ, "row_id").select("row_id", F.col("body").alias("Body"),
+                                            F.col("headline").alias("Headline"), F.col("summary").alias("Summary"))
+
+
+@register("lead_sentences", "T-09 T-11 R-01 K-03",
+          f"SELECT doc_id, {S.lead_sentence('text')} AS lead, CAST(len({S.sentences('text')}) AS BIGINT) AS n_sentences "
+          "FROM documents")
+def lead_sentences(spark, sf):
+    d = documents(spark, sf)
+    return d.select("doc_id", AR.lead_sentence("text").alias("lead"),
+                    F.size(T.sentences("text")).cast("bigint").alias("n_sentences"))
+
+
+_CONV_PAIRS = f"""p AS (SELECT u.conv_id * 100000 + u.turn AS pair_id, {S.lead_sentence('a.text')} AS pred, u.text AS ref
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+
+
+def _conv_pairs(spark, sf):
+    c = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"])
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("ref"))
+    a = c.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), AR.lead_sentence("text").alias("pred"))
+    return u.join(a, ["conv_id", "turn"]).select(
+        (F.col("conv_id") * 100000 + F.col("turn")).alias("pair_id"), "pred", "ref")
+
+
+def _rouge_n_sql(n: int) -> str:
+    def grams(x):
+        toks = S.rouge_tokens(x)
+        if n == 1:
+            return toks
+        return (f"list_transform(generate_series(1, greatest(len({toks}) - {n - 1}, 0)), "
+                f"lambda i: array_to_string(list_slice({toks}, i, i + {n - 1}), ' '))")
+    return f"""g AS (SELECT pair_id, 0 AS side, unnest({grams('pred')}) AS gram FROM p
+  UNION ALL SELECT pair_id, 1, unnest({grams('ref')}) FROM p),
+pg AS (SELECT pair_id, gram, count(*) FILTER (WHERE side = 0) AS cp, count(*) FILTER (WHERE side = 1) AS cr
+  FROM g GROUP BY ALL),
+t AS (SELECT pair_id, sum(least(cp, cr)) AS hit, sum(cp) AS np, sum(cr) AS nr FROM pg GROUP BY pair_id),
+s AS (SELECT p.pair_id, coalesce(hit, 0) AS hit, coalesce(np, 0) AS np, coalesce(nr, 0) AS nr FROM p LEFT JOIN t USING (pair_id)),
+f AS (SELECT pair_id, CASE WHEN np > 0 THEN hit / np ELSE 0 END AS precision,
+  CASE WHEN nr > 0 THEN hit / nr ELSE 0 END AS recall FROM s)"""
+
+
+def _rouge_rows_sql(n: int) -> str:
+    return (f"WITH {_CONV_PAIRS}, {_rouge_n_sql(n)} SELECT pair_id, round(precision, 6) AS precision, "
+            "round(recall, 6) AS recall, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / "
+            "(precision + recall) ELSE 0 END, 6) AS fmeasure FROM f")
+
+
+def _rouge_rows(spark, sf, n):
+    r = RG.rouge_n(_conv_pairs(spark, sf), "pair_id", "pred", "ref", n)
+    return r.select("pair_id", *[F.round(c, 6).alias(c) for c in ["precision", "recall", "fmeasure"]])
+
+
+@register("conversation_rouge1", "R-01 R-02", _rouge_rows_sql(1))
+def conversation_rouge1(spark, sf):
+    return _rouge_rows(spark, sf, 1)
+
+
+@register("conversation_rouge2", "R-03", _rouge_rows_sql(2))
+def conversation_rouge2(spark, sf):
+    return _rouge_rows(spark, sf, 2)
+
+
+@register("conversation_rouge_corpus", "R-06",
+          f"""WITH {_CONV_PAIRS}, {_rouge_n_sql(1)}
+SELECT 'rouge1' AS metric, round(avg(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+  ELSE 0 END), 4) AS score FROM f""")
+def conversation_rouge_corpus(spark, sf):
+    r = RG.rouge_n(_conv_pairs(spark, sf), "pair_id", "pred", "ref", 1)
+    return r.agg(F.round(F.avg("fmeasure"), 4).alias("score")).select(F.lit("rouge1").alias("metric"), "score")
+
+
+@register("conversation_rouge_lcs", "R-04 R-05 T-11")
+def conversation_rouge_lcs(spark, sf):
+    """Rows-only: ROUGE-L / Lsum per pair (LCS in an Arrow UDF)."""
+    p = _conv_pairs(spark, sf).select("pair_id", T.newline_sentences("pred").alias("pred"),
+                                      T.newline_sentences("ref").alias("ref"))
+    l1 = RG.rouge_l(p, "pair_id", "pred", "ref").select("pair_id", F.col("fmeasure").alias("rougeL"))
+    l2 = RG.rouge_lsum(p, "pair_id", "pred", "ref").select("pair_id", F.col("fmeasure").alias("rougeLsum"))
+    return l1.join(l2, "pair_id")

@@ -135,3 +135,25 @@ merged AS (
   UNION ALL
   SELECT row_id, headline, is_sarcastic, 2 AS version FROM v2
   WHERE NOT EXISTS (SELECT 1 FROM v1 WHERE v1.headline = v2.headline))"""
+
+
+def strip(x: str) -> str:
+    return rr(x, "^" + rx.SPACE + "+|" + rx.SPACE + "+$", "")
+
+
+def sentences(x: str) -> str:
+    from ..functions.text import SENTENCE_ABBREVIATIONS
+    t = strip(x)
+    t = f"regexp_replace({t}, {q(chr(40) + '[.!?][' + chr(34) + chr(39) + ')' + chr(92) + ']]*)' + rx.SPACE + '+')}, '\\1' || chr(1), 'g')"
+    abbr = "|".join(a.replace(".", r"\.") for a in SENTENCE_ABBREVIATIONS)
+    t = (f"regexp_replace({t}, {q('(^|[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_])(' + abbr + ')' + chr(92) + '.' + chr(92) + 'x01')}, "
+         f"'\\1\\2. ', 'g')")
+    return f"list_filter(list_transform(string_split({t}, chr(1)), lambda s: {strip('s')}), lambda s: s <> '')"
+
+
+def lead_sentence(x: str) -> str:
+    return f"coalesce(({sentences(x)})[1], '')"
+
+
+def rouge_tokens(x: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({x}, '')), {q(rx.ROUGE_TOKEN)})"
