@@ -45,22 +45,38 @@ def vocabulary(terms: DataFrame, size: int) -> DataFrame:
     return doc_freq(terms).orderBy(F.col("tf").desc(), F.col("term")).limit(size).select("term")
 
 
-def tfidf_long(df: DataFrame, text_col: str, id_col: str = "row_id",
-               max_features: int | None = None) -> DataFrame:
-    """E-01 long form: ``(id, term, weight)`` with smooth IDF (+1) and L2
-    normalisation per document. ``max_features`` keeps the top terms by
-    corpus frequency (a bounded vocabulary, broadcast)."""
+def tfidf_fit(df: DataFrame, text_col: str, id_col: str = "row_id",
+              max_features: int | None = None) -> DataFrame:
+    """Fit the long form on training rows: ``(term, idf)`` with
+    ``idf = ln((1 + n) / (1 + df)) + 1``; optionally only the top
+    ``max_features`` terms by corpus frequency."""
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     terms = term_table(df, text_col, id_col)
+    dfs = doc_freq(terms, id_col)
     if max_features:
-        terms = terms.join(F.broadcast(vocabulary(terms, max_features)), "term")
-    dfs = doc_freq(terms, id_col).select("term", "df")
-    w = terms.join(dfs, "term").withColumn(
-        "_w", F.col("tf") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1)))
+        dfs = dfs.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
+    return dfs.select("term", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1)).alias("idf"))
+
+
+def tfidf_apply(df: DataFrame, idf: DataFrame, text_col: str, id_col: str = "row_id") -> DataFrame:
+    """Apply a fitted ``(term, idf)`` table: ``(id, term, weight)``, terms
+    outside the fitted vocabulary dropped, then L2 per document."""
+    w = term_table(df, text_col, id_col).join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
 
 
+def tfidf_long(df: DataFrame, text_col: str, id_col: str = "row_id",
+               max_features: int | None = None) -> DataFrame:
+    """E-01 long form: ``(id, term, weight)`` with smooth IDF (+1) and L2
+    normalisation per document, fitted and applied on ``df``. A capped
+    vocabulary (``max_features``) is bounded and joins as a broadcast."""
+    idf = tfidf_fit(df, text_col, id_col, max_features)
+    if max_features:
+        idf = F.broadcast(idf)
+    return tfidf_apply(df, idf, text_col, id_col)
+
+
 class SmoothIDF(Estimator, HasInputCol, HasOutputCol):
     """IDF with the +1 of the smooth form: ``tf * (ln((n+1)/(df+1)) + 1)``.
 

@@ -51,3 +51,251 @@ def classification_report(spark, sf):
   CAST(coalesce(sum(n) FILTER (WHERE prediction = 1), 0) AS BIGINT) AS pred_1 FROM c GROUP BY label""")
 def confusion_matrix(spark, sf):
     return M.confusion_matrix(predictions(spark, sf))
+
+
+# ---- models over the merged headline table, exact 80/20 split (seed 42) ----
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.wordlists import CLASS_NAMES  # noqa: E402
+from ..operators import encode as EN  # noqa: E402
+from ..operators import explain as X  # noqa: E402
+from ..operators import models as ML  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..operators.reconcile import merge_versions  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.tables import read_table, versions  # noqa: E402
+from . import sqltext as S  # noqa: E402
+
+
+def labelled_split(spark, sf):
+    """(row_id, headline, label, split): merged versions, exact 80/20."""
+    v1, v2 = versions(spark, sf)
+    m = merge_versions(v1, v2).select("row_id", "headline", F.col("is_sarcastic").alias("label"))
+    return SP.random_split(m, 0.2)
+
+
+def fit_pipeline(train, classifier, max_features=None):
+    """Fit on a persisted training frame (each stage re-reads it), then
+    release it; the returned model scores lazily."""
+    train = train.persist()
+    try:
+        return ML.text_pipeline("headline", classifier, max_features).fit(train)
+    finally:
+        train.unpersist()
+
+
+def _fit_score(spark, sf, classifier, max_features=None, with_n=False):
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    clf = classifier(train.count()) if with_n else classifier
+    model = fit_pipeline(train, clf, max_features)
+    return model, model.transform(data)
+
+
+def _split_scores(scored, name):
+    s = M.binary_scores(scored.withColumn("prediction", F.col("prediction").cast("int")),
+                        "label", "prediction", ["split"])
+    return s.select(F.lit(name).alias("model"), "split", "accuracy", "f1")
+
+
+@register("model_logistic", "L-01 L-07 M-01 M-02 P-01 E-01")
+def model_logistic(spark, sf):
+    """C = 1 (max 1000 iterations) on the 5,000-term TF-IDF, and C = 1e5 uncapped."""
+    _, a = _fit_score(spark, sf, lambda n: ML.logistic_regression(1.0, n, 1000), 5000, with_n=True)
+    _, b = _fit_score(spark, sf, lambda n: ML.logistic_regression(1e5, n, 100), None, with_n=True)
+    return _split_scores(a, "lr_c1_capped").unionByName(_split_scores(b, "lr_c1e5"))
+
+
+@register("model_naive_bayes", "L-02 M-01 M-02")
+def model_naive_bayes(spark, sf):
+    _, a = _fit_score(spark, sf, ML.naive_bayes(), 5000)
+    return _split_scores(a, "naive_bayes")
+
+
+@register("model_kernel_svm", "L-03")
+def model_kernel_svm(spark, sf):
+    _, a = _fit_score(spark, sf, ML.kernel_svm(), 5000)
+    return _split_scores(a, "svm_rff")
+
+
+@register("model_random_forest", "L-04")
+def model_random_forest(spark, sf):
+    _, a = _fit_score(spark, sf, ML.random_forest(), 5000)
+    return _split_scores(a, "random_forest")
+
+
+@register("model_gradient_boosting", "L-05")
+def model_gradient_boosting(spark, sf):
+    ensure_checkpoint_dir(spark)
+    _, a = _fit_score(spark, sf, ML.gradient_boosting(), 5000)
+    return _split_scores(a, "gbt")
+
+
+@register("model_dense_head", "L-06")
+def model_dense_head(spark, sf):
+    """MLP over the stored dense vectors, exact 80/20 split by vec_id."""
+    from pyspark.ml.functions import array_to_vector
+    e = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]) \
+        .select(F.col("vec_id").alias("row_id"), array_to_vector("embedding").alias("features"),
+                F.col("label").cast("double").alias("label"))
+    shape = e.agg(F.max(F.size(vector_to_array("features"))).alias("d"),
+                  F.max("label").cast("int").alias("k")).first()
+    data = SP.random_split(e, 0.2)
+    model = ML.dense_head(shape["d"], shape["k"] + 1).fit(data.filter(F.col("split") == "train"))
+    s = M.binary_scores(model.transform(data).withColumn("prediction", F.col("prediction").cast("int"))
+                        .withColumn("label", F.col("label").cast("int")), group_cols=["split"])
+    return s.select(F.lit("mlp_50").alias("model"), "split", "accuracy")
+
+
+@register("model_selection", "L-09 L-01 L-02")
+def model_selection(spark, sf):
+    """Best of LR and NB by validation accuracy (``max_by`` over a metrics table)."""
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    n = train.count()
+    rows = []
+    for name, clf in [("lr", ML.logistic_regression(1.0, n, 1000)), ("nb", ML.naive_bayes())]:
+        scored = fit_pipeline(train, clf, 5000).transform(data.filter(F.col("split") == "test"))
+        rows.append(M.binary_scores(scored.withColumn("prediction", F.col("prediction").cast("int")))
+                    .select(F.lit(name).alias("model"), "accuracy"))
+    table = rows[0].unionByName(rows[1])
+    return table.agg(F.max_by("model", F.struct("accuracy", F.col("model"))).alias("best_model"),
+                     F.max("accuracy").alias("best_accuracy"))
+
+
+@register("word2vec_vectors", "E-05 T-05")
+def word2vec_vectors(spark, sf):
+    from ..functions import text as T
+    v1, v2 = versions(spark, sf)
+    m = merge_versions(v1, v2).withColumn("tokens", F.transform(T.word_tokens(T.clean("headline")),
+                                                                 lambda w: F.lower(w)))
+    vec = ML.word_vectors(m, "tokens")
+    return vec.select("word", F.size(vector_to_array("vector")).alias("dim"))
+
+
+@register("model_roundtrip", "S-07 L-07")
+def model_roundtrip(spark, sf):
+    """Save the fitted pipeline under the checkpoint folder, load it back,
+    and count test rows whose predictions agree."""
+    import os
+    import uuid
+    root = ensure_checkpoint_dir(spark)
+    model, _ = _fit_score(spark, sf, ML.naive_bayes(), 5000)
+    path = os.path.join(root, "models", f"nb-{uuid.uuid4().hex}")
+    loaded = ML.save_and_load(model, path)
+    data = labelled_split(spark, sf)
+    a = model.transform(data).select("row_id", F.col("prediction").alias("p1"))
+    b = loaded.transform(data).select("row_id", F.col("prediction").alias("p2"))
+    return a.join(b, "row_id").agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"))
+
+
+@register("batch_inference", "L-08 K-04 M-07")
+def batch_inference(spark, sf):
+    """A fitted LR exported as plain coefficients and served per worker
+    through ``predict_batch_udf``; compared with the pipeline's own output."""
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    model = fit_pipeline(train, ML.logistic_regression(1.0, train.count(), 1000), 5000)
+    lr = model.stages[-1]
+    scored = model.transform(data)
+    predict = ML.linear_batch_predictor(lr.coefficients.toArray(), lr.intercept)
+    out = scored.withColumn("p_batch", predict(vector_to_array("features")))
+    probs = vector_to_array("probability")
+    return out.select("row_id", F.round("p_batch", 6).alias("p_batch"),
+                      F.round(probs[1], 6).alias("p_model"), M.threshold("p_batch").alias("pred_batch"),
+                      M.argmax(probs).alias("pred_model"))
+
+
+@register("log_loss", "M-06 M-07")
+def log_loss(spark, sf):
+    _, a = _fit_score(spark, sf, ML.naive_bayes(), 5000)
+    a = a.withColumn("p", vector_to_array("probability"))
+    return M.cross_entropy(a, "label", "p", group_cols=["split"]).withColumn(
+        "log_loss", F.bround("log_loss", 4))
+
+
+@register("lime_explanations", "X-E1 V-04 P-07")
+def lime_explanations(spark, sf):
+    """Local word weights for three seeded test rows, for LR and NB."""
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    picks = SP.sample_rows(data.filter(F.col("split") == "test"), 3, "row_id", seed=7)
+    out = None
+    for name, clf in [("lr", ML.logistic_regression(1e5, train.count(), 100)), ("nb", ML.naive_bayes())]:
+        model = fit_pipeline(train, clf)
+        e = X.explain_rows(model, picks, "headline").withColumn("model", F.lit(name))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@register("probability_report", "X-E3 Q-11 P-07")
+def probability_report(spark, sf):
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    model = fit_pipeline(train, ML.naive_bayes())
+    picks = SP.sample_rows(data.filter(F.col("split") == "test"), 3, "row_id", seed=7)
+    return X.probability_report(model, picks, "label", CLASS_NAMES)
+
+
+@register("linear_attributions", "X-E2 E-01")
+def linear_attributions(spark, sf):
+    """Per test row, the ten terms with the largest ``w_j (x_j - mean_j)``
+    under a linear model fitted on the long TF-IDF table."""
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    idf = EN.tfidf_fit(train, "headline")
+    tw = EN.tfidf_apply(train, idf, "headline")
+    pipe = fit_pipeline(train, ML.logistic_regression(1.0, train.count(), 1000))
+    vocab = pipe.stages[1].vocabulary
+    coefs = pipe.stages[-1].coefficients.toArray().tolist()
+    coef_df = spark.createDataFrame(list(zip(vocab, coefs)), "term string, coef double")
+    test_w = EN.tfidf_apply(data.filter(F.col("split") == "test"), idf, "headline")
+    n_train = train.agg(F.count(F.lit(1))).scalar()
+    return X.linear_attribution(test_w, coef_df, tw, n_train)
+
+
+# ---- naive Bayes in relational form (checked against SQL) ----
+
+def _nb_sql() -> str:
+    h = "md5(CAST(row_id AS VARCHAR) || '-42')"
+    return f"""WITH {S.HEADLINES},
+o AS (SELECT row_id, headline, is_sarcastic AS label, row_number() OVER (ORDER BY {h}, row_id) - 1 AS i,
+  count(*) OVER () AS n FROM merged),
+d AS (SELECT *, CASE WHEN i < ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM o),
+tt AS (SELECT row_id, split, term, count(*) AS tf FROM (SELECT row_id, split,
+  unnest(regexp_extract_all(lower(headline), {S.q(EN.TERM_PATTERN)})) AS term FROM d) GROUP BY ALL),
+nt AS (SELECT count(*) AS n FROM d WHERE split = 'train'),
+idf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM tt, nt WHERE split = 'train' GROUP BY term, n),
+w0 AS (SELECT row_id, split, term, tf * idf AS w FROM tt JOIN idf USING (term)),
+w AS (SELECT row_id, split, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS weight FROM w0),
+pri AS (SELECT label, ln(count(*) / (SELECT n FROM nt)) AS log_prior FROM d WHERE split = 'train' GROUP BY label),
+v AS (SELECT count(*) AS v FROM idf),
+g AS (SELECT label, term FROM pri, idf),
+ncj AS (SELECT g.label, g.term, coalesce(sum(w.weight), 0) AS ncj FROM g
+  LEFT JOIN (SELECT w.*, d.label FROM w JOIN d USING (row_id) WHERE w.split = 'train') w
+  ON w.label = g.label AND w.term = g.term GROUP BY g.label, g.term),
+nc AS (SELECT label, sum(ncj) AS nc FROM ncj GROUP BY label),
+th AS (SELECT ncj.label, term, ln((ncj + 1.0) / (nc + 1.0 * v)) AS log_theta FROM ncj JOIN nc USING (label), v),
+ll AS (SELECT w.row_id, th.label, sum(w.weight * th.log_theta) AS ll FROM w JOIN th USING (term)
+  WHERE w.split = 'test' GROUP BY ALL),
+sc AS (SELECT t.row_id, p.label, p.log_prior + coalesce(ll.ll, 0) AS score FROM (SELECT row_id FROM d WHERE split = 'test') t
+  CROSS JOIN pri p LEFT JOIN ll ON ll.row_id = t.row_id AND ll.label = p.label)
+SELECT row_id, CAST(arg_max(label, score * 1e0 - label * 1e-300) AS INTEGER) AS prediction,
+  round(max(score) FILTER (WHERE label = 0), 6) AS score_0, round(max(score) FILTER (WHERE label = 1), 6) AS score_1
+FROM sc GROUP BY row_id"""
+
+
+@register("naive_bayes_sql", "L-02 J-05", _nb_sql())
+def naive_bayes_sql(spark, sf):
+    data = labelled_split(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    test = data.filter(F.col("split") == "test")
+    idf = EN.tfidf_fit(train, "headline")
+    priors, theta = ML.nb_fit_long(EN.tfidf_apply(train, idf, "headline"), train.select("row_id", "label"),
+                                   idf.select("term"))
+    pred = ML.nb_predict_long(EN.tfidf_apply(test, idf, "headline"), test, priors, theta)
+    return pred.select("row_id", F.col("prediction").cast("int").alias("prediction"),
+                       F.round("score_0", 6).alias("score_0"), F.round("score_1", 6).alias("score_1"))
