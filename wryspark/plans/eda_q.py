@@ -132,3 +132,102 @@ SELECT * FROM ns UNION ALL SELECT * FROM st""")
 def describe_headlines(spark, sf):
     from ..sources.tables import headlines
     return P.describe(headlines(spark, sf), ["row_id", "is_sarcastic"], ["headline"], order_col="row_id")
+
+
+# ---- distributions behind the box plots, histograms and density curves ----
+
+_BOX_FEATURES = ["headline_length", "all_caps_count", "punctuation_count"]
+
+
+def _featured(spark, sf, names):
+    from ..functions.features import with_features
+    return with_features(merged_table(spark, sf), "headline", names)
+
+
+def _long_sql(names) -> str:
+    cols = ", ".join(f"CAST({S.FEATURES[n]('headline')} AS DOUBLE) AS {n}" for n in names)
+    return f"""f AS (SELECT row_id, is_sarcastic, {cols} FROM merged),
+l AS (UNPIVOT f ON {', '.join(names)} INTO NAME feature VALUE value)"""
+
+
+@register("box_stats", "A-06 F-02 F-06 F-09",
+          f"""WITH {S.HEADLINES}, {_long_sql(_BOX_FEATURES)},
+q AS (SELECT feature, is_sarcastic, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+  quantile_cont(value, 0.75) AS q3 FROM l GROUP BY ALL),
+j AS (SELECT l.*, q1, median, q3, q3 - q1 AS iqr FROM l JOIN q USING (feature, is_sarcastic))
+SELECT feature, is_sarcastic, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(iqr, 6) AS iqr, round(min(value) FILTER (WHERE value >= q1 - 1.5 * iqr), 6) AS whisker_low,
+  round(max(value) FILTER (WHERE value <= q3 + 1.5 * iqr), 6) AS whisker_high,
+  count(*) FILTER (WHERE value < q1 - 1.5 * iqr OR value > q3 + 1.5 * iqr) AS n_outliers, count(*) AS n
+FROM j GROUP BY feature, is_sarcastic, q1, median, q3, iqr""")
+def box_stats(spark, sf):
+    from ..operators import distribution as D
+    long = D.long_values(_featured(spark, sf, _BOX_FEATURES), _BOX_FEATURES, "is_sarcastic")
+    b = D.box_stats(long, ["feature", "is_sarcastic"])
+    return b.select("feature", "is_sarcastic", *[F.round(c, 6).alias(c) for c in
+                    ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]], "n_outliers", "n")
+
+
+@register("box_outliers", "A-07",
+          f"""WITH {S.HEADLINES}, {_long_sql(_BOX_FEATURES)},
+q AS (SELECT feature, is_sarcastic, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY ALL)
+SELECT row_id, is_sarcastic, feature, value FROM l JOIN q USING (feature, is_sarcastic)
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
+def box_outliers(spark, sf):
+    from ..operators import distribution as D
+    long = D.long_values(_featured(spark, sf, _BOX_FEATURES), _BOX_FEATURES, "is_sarcastic")
+    return D.outliers(long, ["feature", "is_sarcastic"]).select("row_id", "is_sarcastic", "feature", "value")
+
+
+_AWL = f"""a AS (SELECT row_id, is_sarcastic, {S.avg_word_length('headline')} AS value FROM merged),
+l AS (SELECT * FROM a WHERE value IS NOT NULL),
+st0 AS (SELECT is_sarcastic, count(*) AS n, min(value) AS vmin, max(value) AS vmax, stddev_samp(value) AS sd,
+  quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY is_sarcastic)"""
+
+
+@register("word_length_histogram", "A-08 F-10",
+          f"""WITH {S.HEADLINES}, {_AWL},
+st1 AS (SELECT *, 2 * (q3 - q1) / pow(CAST(n AS DOUBLE), 1.0 / 3.0) AS h FROM st0),
+st2 AS (SELECT *, CAST(greatest(least(CASE WHEN n < 2 THEN 1 WHEN h = 0 THEN floor(sqrt(CAST(n AS DOUBLE)))
+  ELSE ceil((vmax - vmin) / h) END, 50), 1) AS INTEGER) AS bins FROM st1),
+st AS (SELECT *, CASE WHEN vmax > vmin THEN vmin ELSE vmin - 0.5 END AS lo,
+  CASE WHEN vmax > vmin THEN vmax ELSE vmax + 0.5 END AS hi FROM st2),
+sw AS (SELECT *, (hi - lo) / bins AS width FROM st),
+c AS (SELECT l.is_sarcastic, CAST(least(floor((value - lo) / width), bins - 1) AS INTEGER) AS bin, count(*) AS cnt
+  FROM l JOIN sw USING (is_sarcastic) GROUP BY ALL),
+g AS (SELECT is_sarcastic, n, lo, width, unnest(generate_series(0, bins - 1)) AS bin FROM sw)
+SELECT g.is_sarcastic, CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * width, 6) AS bin_start,
+  round(lo + (g.bin + 1) * width, 6) AS bin_end, CAST(coalesce(cnt, 0) AS BIGINT) AS count,
+  round(coalesce(cnt, 0) / (n * width), 6) AS density
+FROM g LEFT JOIN c ON c.is_sarcastic = g.is_sarcastic AND c.bin = g.bin""")
+def word_length_histogram(spark, sf):
+    from ..functions.features import avg_word_length
+    from ..operators import distribution as D
+    m = merged_table(spark, sf).select("row_id", "is_sarcastic", avg_word_length("headline").alias("value")) \
+        .filter(F.col("value").isNotNull())
+    h = D.histogram(m, ["is_sarcastic"])
+    return h.select("is_sarcastic", F.col("bin").cast("int").alias("bin"),
+                    *[F.round(c, 6).alias(c) for c in ["bin_start", "bin_end"]], "count",
+                    F.round("density", 6).alias("density"))
+
+
+@register("word_length_density", "A-09 F-10",
+          f"""WITH {S.HEADLINES}, {_AWL},
+st AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st0 WHERE sd > 0),
+sd2 AS (SELECT *, vmin - 3.0 * bw AS lo, (vmax + 3.0 * bw - (vmin - 3.0 * bw)) / 199 AS delta FROM st),
+p AS (SELECT l.is_sarcastic, (value - lo) / delta AS pos FROM l JOIN sd2 USING (is_sarcastic)),
+b0 AS (SELECT is_sarcastic, CAST(floor(pos) AS INTEGER) AS j, 1 - (pos - floor(pos)) AS c FROM p
+  UNION ALL SELECT is_sarcastic, CAST(floor(pos) AS INTEGER) + 1, pos - floor(pos) FROM p),
+b AS (SELECT is_sarcastic, j, sum(c) AS c FROM b0 GROUP BY ALL),
+g AS (SELECT is_sarcastic, n, bw, lo, delta, unnest(generate_series(0, 199)) AS k FROM sd2)
+SELECT g.is_sarcastic, CAST(k AS INTEGER) AS k, round(lo + k * delta, 6) AS x,
+  round(sum(b.c * exp(-0.5 * pow((k - b.j) * delta / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM g JOIN b ON b.is_sarcastic = g.is_sarcastic GROUP BY g.is_sarcastic, k, n, bw, lo, delta""")
+def word_length_density(spark, sf):
+    from ..functions.features import avg_word_length
+    from ..operators import distribution as D
+    m = merged_table(spark, sf).select("row_id", "is_sarcastic", avg_word_length("headline").alias("value")) \
+        .filter(F.col("value").isNotNull())
+    k = D.kde(m, ["is_sarcastic"])
+    return k.select("is_sarcastic", F.col("k").cast("int").alias("k"), F.round("x", 6).alias("x"),
+                    F.round("density", 6).alias("density"))
