@@ -35,6 +35,6 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
-    from . import (articles_q, eda_q, encode_q, features_q, lexicon_q,  # noqa: F401
-                   models_q, reconcile_q, splits_q)
+    from . import (articles_q, eda_q, encode_q, features_q, io_q,  # noqa: F401
+                   lexicon_q, models_q, reconcile_q, splits_q)
     return REGISTRY
