@@ -82,8 +82,12 @@ def stream_ngrams(df: DataFrame, tokens_col: str, group_cols: list[str], n: int
         heads = rows.filter(F.col("_rn") == 1).select(*blk_keys, "_h")
         by_blk = Window.partitionBy(*group_cols, "_ne").orderBy(version_col, "_blk").rowsBetween(1, need)
         carry = heads.withColumn("_carry", F.slice(F.flatten(F.collect_list("_h").over(by_blk)), 1, need)) \
-            .select(*blk_keys, "_carry")
-        rows = rows.join(carry, blk_keys, "left")
+            .select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(blk_keys)], "_carry")
+        # Null-safe keys: no inferred not-null filters reach the carry side,
+        # so both sides keep the same shuffle below their windows and AQE
+        # reuses it instead of tokenizing the input twice.
+        cond = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(blk_keys)]
+        rows = rows.join(carry, cond, "left").drop(*[f"_c{i}" for i in range(len(blk_keys))])
         ext = rows.withColumn("_ext", F.concat(
             "_t", F.slice(F.concat("_in_blk", F.coalesce("_carry", F.array().cast("array<string>"))),
                           1, need)))
