@@ -39,7 +39,7 @@ def page_titles(spark, sf):
     return pages(spark, sf).select("page_id", _title_col().alias("title"))
 
 
-@register("article_bodies", "T-13 V-02")
+@register("article_bodies", "T-13 V-02 E-06")
 def article_bodies(spark, sf):
     """Rows-only: the body parser is Python (checked by unit fixtures)."""
     a = AR.extract_articles(pages(spark, sf))

@@ -45,7 +45,7 @@ _FEATS = ["word_count", "char_count", "exclamation_mark", "question_mark", "asci
           "avg_word_length"]
 
 
-@register("text_features", "F-01 F-02 F-03 F-04 F-05 F-06 F-07 F-08 F-09 F-10",
+@register("text_features", "F-01 F-02 F-03 F-04 F-05 F-06 F-07 F-08 F-09 F-10 V-01",
           "SELECT doc_id, " + ", ".join(
               (f"round({S.FEATURES[n]('text')}, 6) AS {n}" if n == "avg_word_length"
                else f"{S.FEATURES[n]('text')} AS {n}") for n in _FEATS) + " FROM documents")

@@ -192,7 +192,7 @@ def model_roundtrip(spark, sf):
                                    F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"))
 
 
-@register("batch_inference", "L-08 K-04 M-07")
+@register("batch_inference", "L-08 K-04 M-07 V-03")
 def batch_inference(spark, sf):
     """A fitted LR exported as plain coefficients and served per worker
     through ``predict_batch_udf``; compared with the pipeline's own output."""
