@@ -103,11 +103,14 @@ def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemma
     spark = df.sparkSession
     ex = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word")).filter(F.col("word").isNotNull())
     tagged = ex.withColumn("tag", word_class("word") if pos_mode else F.lit("n"))
+    # One map-side-combined aggregate gives both the distinct (word, tag)
+    # table and, by default, the vocabulary.
+    words = tagged.groupBy("word", "tag").agg(F.count(F.lit(1)).alias("_n")).select("word", "tag")
     if vocab is None:
-        vocab = ex.select("word").distinct()
+        vocab = words.select("word")
     if exceptions is None:
         exceptions = spark.createDataFrame(DEFAULT_EXCEPTIONS, "word string, tag string, lemma string")
-    lemmas = lemma_table(tagged.select("word", "tag").distinct(), vocab, broadcast_if_small(exceptions))
+    lemmas = lemma_table(words, vocab, broadcast_if_small(exceptions))
     out = tagged.join(lemmas, ["word", "tag"], "left").withColumn("lemma", F.coalesce("lemma", "word"))
     per = out.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "lemma"))).alias("_l"))
     joined = per.select(id_col, F.array_join(F.transform("_l", lambda s: s["lemma"]), " ").alias(out_col))

@@ -11,6 +11,7 @@ from ..operators import reconcile as R
 from ..operators import rouge as RG
 from ..operators import split as SP
 from ..operators.encode import tfidf_long
+from ..session import cut_lineage
 from ..sources.tables import documents, pages, read_table
 from . import sqltext as S
 from .catalog import register
@@ -56,9 +57,12 @@ def link_bodies(spark, sf):
 
 
 def _pairs(spark, sf):
-    """Summarisation pairs: body = extracted text, headline = page title."""
+    """Summarisation pairs: body = extracted text, headline = page title.
+
+    The parsed pairs feed several branches (filters, slices, TF-IDF); they
+    are checkpointed once so the HTML parser runs once per page."""
     a = AR.extract_articles(pages(spark, sf))
-    return a.select(F.col("page_id").alias("row_id"), "body", F.col("title").alias("headline"))
+    return cut_lineage(a.select(F.col("page_id").alias("row_id"), "body", F.col("title").alias("headline")))
 
 
 @register("article_splits", "Q-05 A-15 P-04 W-03")

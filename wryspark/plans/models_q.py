@@ -64,16 +64,20 @@ from ..operators import explain as X  # noqa: E402
 from ..operators import models as ML  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators.reconcile import merge_versions  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from ..sources.tables import read_table, versions  # noqa: E402
 from . import sqltext as S  # noqa: E402
 
 
 def labelled_split(spark, sf):
-    """(row_id, headline, label, split): merged versions, exact 80/20."""
+    """(row_id, headline, label, split): merged versions, exact 80/20.
+
+    Every fit, count and score reads this table several times; it is
+    checkpointed once into the shared checkpoint folder instead of
+    re-running the merge and the range shuffle for each reader."""
     v1, v2 = versions(spark, sf)
     m = merge_versions(v1, v2).select("row_id", "headline", F.col("is_sarcastic").alias("label"))
-    return SP.random_split(m, 0.2)
+    return cut_lineage(SP.random_split(m, 0.2))
 
 
 def fit_pipeline(train, classifier, max_features=None):
