@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -10,8 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from wryspark.session import get_session
-    scratch = tempfile.mkdtemp(prefix="wryspark-test-")
-    s = get_session("local[4]", app="wryspark-tests", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+    # Uses spark.checkpoint.dir when configured, else a fresh local folder.
+    s = get_session("local[4]", app="wryspark-tests", shuffle_partitions=4)
     yield s
     s.stop()
