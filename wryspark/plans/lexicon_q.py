@@ -99,17 +99,27 @@ def document_polarity(spark, sf):
     return p.select("doc_id", F.round("sentiment_polarity", 6).alias("sentiment_polarity"))
 
 
-@register("enriched_headlines", "F-12 T-01 T-07 T-08 F-11 S-05")
+_ENRICH_FEATS = ["word_count", "char_count", "headline_length", "exclamation_mark", "question_mark",
+                 "multiple_punct_count", "large_number_flag", "all_caps_count", "punctuation_count"]
+
+
+def _enriched_sql() -> str:
+    feats = ", ".join(f"{S.FEATURES[n]('m.headline')} AS {n}" for n in _ENRICH_FEATS)
+    return f"""WITH {_lemma_sql()}, {_polarity_sql('merged', 'row_id', 'headline')}
+SELECT m.row_id, m.headline, m.is_sarcastic, m.version, {S.clean('m.headline')} AS cleaned_headline, {feats},
+  {S.filtered_tokens('m.headline')} AS filtered_tokens, lt.lemmatized_headline,
+  round(pol.sentiment_polarity, 6) AS sentiment_polarity
+FROM merged m JOIN lt ON lt.row_id = m.row_id JOIN pol ON pol.id = m.row_id"""
+
+
+@register("enriched_headlines", "F-12 T-01 T-07 T-08 F-11 S-05", _enriched_sql())
 def enriched_headlines(spark, sf):
     """The enhanced table: every feature, the cleaned, lemmatised and
     filtered forms and the polarity, keyed by row."""
     m, lem = _lemma_frame(spark, sf)
-    feats = FT.with_features(m.drop("toks"), "headline", ["word_count", "char_count", "headline_length",
-                                                            "exclamation_mark", "question_mark",
-                                                            "multiple_punct_count", "large_number_flag",
-                                                            "all_caps_count", "punctuation_count"]) \
+    feats = FT.with_features(m.drop("toks"), "headline", _ENRICH_FEATS) \
         .withColumn("filtered_tokens", T.filtered_tokens("headline")).withColumnRenamed("cleaned", "cleaned_headline")
-    pol = LX.polarity(m, "row_id", "headline")
+    pol = LX.polarity(m, "row_id", "headline").withColumn("sentiment_polarity", F.round("sentiment_polarity", 6))
     return feats.join(lem, "row_id").join(pol, "row_id")
 
 
