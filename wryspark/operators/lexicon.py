@@ -86,7 +86,9 @@ def lemma_table(words: DataFrame, vocab: DataFrame, exceptions: DataFrame) -> Da
     candidate (ties alphabetical); accepted = in ``vocab`` or listed in
     ``exceptions (word, tag, lemma)``."""
     cands = words.select("word", "tag", F.explode(_candidates(F.col("word"), F.col("tag"))).alias("form"))
-    ok = cands.join(vocab.select(F.col("word").alias("form")).distinct(), "form", "left_semi")
+    # A semi-join needs no distinct(); leaving it out lets the default
+    # vocabulary reuse the distinct-word aggregate's shuffle.
+    ok = cands.join(vocab.select(F.col("word").alias("form")), "form", "left_semi")
     exc = words.join(exceptions, ["word", "tag"]).select("word", "tag", F.col("lemma").alias("form"))
     allc = ok.select("word", "tag", "form").unionByName(exc)
     best = allc.groupBy("word", "tag").agg(F.min(F.struct(F.length("form").alias("n"), F.col("form").alias("f")))
