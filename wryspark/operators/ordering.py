@@ -53,6 +53,10 @@ def dense_index(df: DataFrame, order_cols: list[str], group_cols: list[str] = ()
     """
     group_cols = list(group_cols)
     keys = group_cols + list(order_cols)
+    # An explicit partition count: AQE leaves such a shuffle's partitions
+    # as they are, so the two readers below (per-partition counts and the
+    # join back) see identical partition ids. Size it with the session's
+    # ``spark.sql.shuffle.partitions`` for the data at hand.
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
