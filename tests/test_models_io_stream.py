@@ -87,3 +87,27 @@ def test_driver_contract(spark):
     df = E.entry(spark)
     assert df.columns == ["is_sarcastic", "rank", "word", "count"]
     assert df.count() > 0
+
+
+def test_link_lookup_fallback(spark):
+    from wryspark.operators.articles import lookup_bodies
+    prefix = "x" * 30
+    articles = spark.createDataFrame([("http://a", "body a"), ("http://b", "body b")], "url string, body string")
+    links = spark.createDataFrame([(1, "http://a"), (2, prefix + "http://b"), (3, "http://zzz")],
+                                  "id long, link string")
+    got = {r.id: r.body for r in lookup_bodies(links, "link", articles).collect()}
+    assert got == {1: "body a", 2: "body b", 3: ""}
+
+
+def test_stream_scoring_equals_batch(spark):
+    from wryspark.streaming import live as LV
+    df = _toy(spark)
+    model = ML.text_pipeline("headline", ML.naive_bayes()).fit(df)
+    src = FS.scratch_path(spark, "score-src")
+    FS.write_json_lines(df.select("row_id", F.col("headline").alias("text")), src)
+    root = FS.scratch_path(spark, "score-out")
+    out = LV.score_stream(spark, src, model, os.path.join(root, "sink"), os.path.join(root, "ckpt"),
+                          text_col="headline")
+    got = {r.row_id: r.prediction for r in out.collect()}
+    exp = {r.row_id: int(r.prediction) for r in model.transform(df).collect()}
+    assert got == exp
