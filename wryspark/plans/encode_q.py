@@ -47,7 +47,7 @@ def tfidf_weights_capped(spark, sf):
 
 
 @register("term_frequencies", "A-16",
-          f"WITH {_terms_sql()} SELECT term, count(*) AS df, sum(tf) AS tf FROM tt GROUP BY term")
+          f"WITH {_terms_sql()} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM tt GROUP BY term")
 def term_frequencies(spark, sf):
     return EN.doc_freq(EN.term_table(_merged(spark, sf), "headline"))
 

@@ -28,7 +28,7 @@ def merged_versions(spark, sf):
 
 @register("merge_summary", "U-03 Q-07 A-01",
           f"""WITH {H}, c AS (SELECT is_sarcastic, count(*) AS count FROM merged GROUP BY is_sarcastic)
-SELECT is_sarcastic, count, count / sum(count) OVER () AS share, sum(count) OVER () AS n_rows FROM c""")
+SELECT is_sarcastic, count, count / sum(count) OVER () AS share, CAST(sum(count) OVER () AS BIGINT) AS n_rows FROM c""")
 def merge_summary(spark, sf):
     v1, v2 = versions(spark, sf)
     m = R.merge_versions(v1, v2)
