@@ -26,17 +26,28 @@ def long_values(df: DataFrame, features: list[str], label_col: str, id_col: str
         id_col, label_col, "_p.feature", "_p.value").filter(F.col("value").isNotNull())
 
 
-def quartiles(long: DataFrame, group_cols: list[str]) -> DataFrame:
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], group_cols)
+def quartiles(long: DataFrame, group_cols: list[str], bounded_values: bool = False) -> DataFrame:
+    """Exact interpolated quartiles per group.
+
+    ``bounded_values=True`` (counts bounded by text length) uses Spark's
+    exact ``percentile``: one partially aggregated ``groupBy`` whose state
+    is the map of distinct values. Otherwise values are ranked with a range
+    shuffle (``exact_quantiles``), exact for any number of distinct values.
+    """
+    names = [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]
+    if bounded_values:
+        q = long.groupBy(*group_cols).agg(F.percentile("value", F.array(*[F.lit(p) for p, _ in names])).alias("_q"))
+        return q.select(*group_cols, *[F.col("_q")[i].alias(n) for i, (_, n) in enumerate(names)])
+    q = exact_quantiles(long, "value", [p for p, _ in names], group_cols)
     return q.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in [(0.25, "q1"), (0.5, "median"),
-                                                                            (0.75, "q3")]])
+        *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names])
 
 
-def box_stats(long: DataFrame, group_cols: list[str], whis: float = 1.5) -> DataFrame:
+def box_stats(long: DataFrame, group_cols: list[str], whis: float = 1.5,
+              bounded_values: bool = False) -> DataFrame:
     """A-06: quartiles, whiskers (furthest points within ``whis`` IQR of
     the box) and the outlier count per group."""
-    q = quartiles(long, group_cols).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = quartiles(long, group_cols, bounded_values).withColumn("iqr", F.col("q3") - F.col("q1"))
     j = long.join(F.broadcast(q), group_cols)
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")
@@ -47,9 +58,10 @@ def box_stats(long: DataFrame, group_cols: list[str], whis: float = 1.5) -> Data
         F.count(F.lit(1)).alias("n"))
 
 
-def outliers(long: DataFrame, group_cols: list[str], whis: float = 1.5) -> DataFrame:
+def outliers(long: DataFrame, group_cols: list[str], whis: float = 1.5,
+             bounded_values: bool = False) -> DataFrame:
     """A-07: the rows beyond the whiskers."""
-    q = quartiles(long, group_cols).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = quartiles(long, group_cols, bounded_values).withColumn("iqr", F.col("q3") - F.col("q1"))
     j = long.join(F.broadcast(q), group_cols)
     return j.filter((F.col("value") < F.col("q1") - whis * F.col("iqr"))
                     | (F.col("value") > F.col("q3") + whis * F.col("iqr"))).drop("q1", "median", "q3", "iqr")

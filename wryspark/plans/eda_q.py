@@ -163,7 +163,8 @@ FROM j GROUP BY feature, is_sarcastic, q1, median, q3, iqr""")
 def box_stats(spark, sf):
     from ..operators import distribution as D
     long = D.long_values(_featured(spark, sf, _BOX_FEATURES), _BOX_FEATURES, "is_sarcastic")
-    b = D.box_stats(long, ["feature", "is_sarcastic"])
+    # The three features are counts bounded by the text length.
+    b = D.box_stats(long, ["feature", "is_sarcastic"], bounded_values=True)
     return b.select("feature", "is_sarcastic", *[F.round(c, 6).alias(c) for c in
                     ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]], "n_outliers", "n")
 
@@ -176,7 +177,8 @@ WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def box_outliers(spark, sf):
     from ..operators import distribution as D
     long = D.long_values(_featured(spark, sf, _BOX_FEATURES), _BOX_FEATURES, "is_sarcastic")
-    return D.outliers(long, ["feature", "is_sarcastic"]).select("row_id", "is_sarcastic", "feature", "value")
+    return D.outliers(long, ["feature", "is_sarcastic"], bounded_values=True) \
+        .select("row_id", "is_sarcastic", "feature", "value")
 
 
 _AWL = f"""a AS (SELECT row_id, is_sarcastic, {S.avg_word_length('headline')} AS value FROM merged),
