@@ -4,7 +4,6 @@ them. Results must equal a brute-force computation."""
 import random
 from collections import Counter
 
-from pyspark.sql import functions as F
 
 from wryspark.operators import profile as P
 
