@@ -64,3 +64,14 @@ def test_sentences(spark):
     r = df.select(T.sentences("t").alias("s"), T.newline_sentences("t").alias("n")).first()
     assert r.s == ["Mr. Smith went home.", "Then he slept!", "\"Really?\"", "Yes."]
     assert r.n == "Mr. Smith went home.\nThen he slept!\n\"Really?\"\nYes."
+
+
+def test_lemmatize_rules_vocabulary_and_empty_rows(spark):
+    from wryspark.operators import lexicon as LX
+    df = spark.createDataFrame([(1, "the cats were running"), (2, ""), (3, None), (4, "cat run children")],
+                               "id long, t string").withColumn("toks", T.ws_tokens("t"))
+    got = dict((r.id, r.lemmatized) for r in LX.lemmatize(df, "id", "toks").collect())
+    # "cats" -> "cat" (rule form present in the corpus vocabulary); "running"
+    # keeps its form ("runn"/"runne" are not words of the corpus); the
+    # exception table maps "children" -> "child".
+    assert got == {1: "the cat were running", 2: "", 3: "", 4: "cat run child"}

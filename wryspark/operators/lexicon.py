@@ -103,20 +103,23 @@ def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemma
     tokens re-joined by one space. ``pos_mode=False`` treats every word as
     a noun (the reference's plain lemmatizer)."""
     spark = df.sparkSession
-    ex = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word")).filter(F.col("word").isNotNull())
+    # A document without tokens keeps one row with a null word, so it comes
+    # out as '' without a final join back to the documents.
+    ex = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word"))
     tagged = ex.withColumn("tag", word_class("word") if pos_mode else F.lit("n"))
     # One map-side-combined aggregate gives both the distinct (word, tag)
     # table and, by default, the vocabulary.
-    words = tagged.groupBy("word", "tag").agg(F.count(F.lit(1)).alias("_n")).select("word", "tag")
+    words = tagged.filter(F.col("word").isNotNull()).groupBy("word", "tag") \
+        .agg(F.count(F.lit(1)).alias("_n")).select("word", "tag")
     if vocab is None:
         vocab = words.select("word")
     if exceptions is None:
         exceptions = spark.createDataFrame(DEFAULT_EXCEPTIONS, "word string, tag string, lemma string")
     lemmas = lemma_table(words, vocab, broadcast_if_small(exceptions))
     out = tagged.join(lemmas, ["word", "tag"], "left").withColumn("lemma", F.coalesce("lemma", "word"))
-    per = out.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "lemma"))).alias("_l"))
-    joined = per.select(id_col, F.array_join(F.transform("_l", lambda s: s["lemma"]), " ").alias(out_col))
-    return df.select(id_col).join(joined, id_col, "left").fillna("", [out_col])
+    per = out.groupBy(id_col).agg(F.sort_array(F.collect_list(
+        F.when(F.col("word").isNotNull(), F.struct("pos", "lemma")))).alias("_l"))
+    return per.select(id_col, F.array_join(F.transform("_l", lambda s: s["lemma"]), " ").alias(out_col))
 
 
 def polarity(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
