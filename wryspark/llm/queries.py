@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, tokenfile
+from . import lm, packing, quality, spans, tokenfile, warc, winnow
 from .common import crc_mod, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,39 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = lm.fit(documents.filter(crc_mod("doc_id", 10) != 0), shared_path(spark, "lm"))
+    return lm.score(documents, model).select(
+        "doc_id", (crc_mod("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.mark_revisits(table(spark, sf_dir, "pages", "page_id", "url", "html"), "page_id", "html")
+    raw, normal = shared_path(spark, "warc-raw"), shared_path(spark, "warc")
+    archives = warc.normalise(spark, warc.write(pages, raw), raw, normal)
+    return warc.read(spark, normal, archives).select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"))
+
+
+@query
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = winnow.contaminated_words(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return hits.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                       F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"),
