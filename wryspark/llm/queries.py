@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lm, packing, quality, spans, tokenfile, warc, winnow
+from . import capfilter, dartminhash, langid, lm, packing, quality, spans, tokenfile, warc, winnow
 from .common import crc_mod, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,19 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(documents.filter(~crc_mod("doc_id", 4).isin(2, -1)))
+    return langid.predict(documents, model).select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "cosine", "rejected")
+
+
+@query
+def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilter.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 @query
 def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"),
@@ -68,6 +81,11 @@ def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
