@@ -151,14 +151,9 @@ def _links(sets: list[np.ndarray], split: int, threshold: float) -> np.ndarray:
         label = new
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
-                    run_words: int = 5, bands: int = 28, rows: int = 5, block_texts: int = 256,
-                    block_words: int = 1 << 19) -> DataFrame:
-    """``(id, class_id, kept)`` for every row: the smallest id of the row's
-    class, and whether it is the row's own. With 28 bands of 5 values a pair
-    at a similarity of exactly 0.8 is missed with a probability of 1.5e-5."""
-    docs = documents.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
-
+def _classes(docs: DataFrame, threshold: float, run_words: int, bands: int, rows: int, block_texts: int,
+             block_words: int) -> DataFrame:
+    """(_id, _hash, _class) of rows (_id, _text), one each."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch, "_text")
@@ -166,16 +161,17 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 unit, first, words, sums = elements(texts[at:to], run_words)
                 h = _bands(signatures(unit, first, bands * rows), bands).view(np.int64)
                 a, b = _text_keys(words, sums)
+                part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(at, to - at), pa.array(a), pa.array(b), pa.array(np.diff(first)),
+                    [part.column("_id"), part.column("_hash"), pa.array(a), pa.array(b), pa.array(np.diff(first)),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, h.size + 1, bands, dtype=np.int32)), pa.array(h.ravel()))],
-                    ["_id", "_a", "_b", "_n", "_bands"])
+                    ["_id", "_hash", "_a", "_b", "_n", "_bands"])
 
     # Read by four branches.
-    signed = docs.mapInArrow(sign, "_id bigint, _a bigint, _b bigint, _n bigint, _bands array<bigint>").checkpoint()
-    usable = signed.filter("_id is not null and _n > 0")
-    texts = usable.groupBy("_a", "_b").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"),
-                                           F.first("_bands").alias("_bands"))
+    signed = docs.withColumn("_hash", F.xxhash64("_text")).mapInArrow(
+        sign, "_id bigint, _hash bigint, _a bigint, _b bigint, _n bigint, _bands array<bigint>").checkpoint()
+    texts = signed.filter("_id is not null and _n > 0").groupBy("_a", "_b").agg(
+        F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands"))
     buckets = texts.select("_rep", F.explode("_bands").alias("_band"))
     stars = buckets.groupBy("_band").agg(F.min("_rep").alias("_centre"), F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     touching = buckets.join(stars.select("_band", "_centre"), "_band").select("_centre", "_rep")
@@ -186,10 +182,35 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     classes = components(verified, "_x", "_y")
     named = (texts.select("_a", "_b", "_rep").join(classes, F.col("_rep") == F.col("node"), "left")
              .select("_a", "_b", F.coalesce("component", "_rep").alias("_class")))
-    out = signed.select("_id", "_a", "_b", "_n").join(named, ["_a", "_b"], "left").select("_id", F.when(
-        F.col("_n") > 0, F.when(F.col("_id").isNotNull(), F.col("_class"))).otherwise(F.col("_id")).alias("_class"))
-    return out.select(F.col("_id").alias(id_col), F.col("_class").alias("class_id"),
-                      (F.col("_id").isNull() | (F.col("_id") == F.col("_class"))).alias("kept"))
+    own = F.when(F.col("_n") > 0, F.when(F.col("_id").isNotNull(), F.col("_class"))).otherwise(F.col("_id"))
+    return signed.drop("_bands").join(named, ["_a", "_b"], "left").select("_id", "_hash", own.alias("_class"))
+
+
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
+                    run_words: int = 5, bands: int = 28, rows: int = 5, block_texts: int = 256,
+                    block_words: int = 1 << 19) -> DataFrame:
+    """``(id, class_id, kept)`` for every row: the smallest id of the row's
+    class, and whether it is the row's own. With 28 bands of 5 values a pair
+    at a similarity of exactly 0.8 is missed with a probability of 1.5e-5."""
+    docs = documents.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
+    found = _classes(docs, threshold, run_words, bands, rows, block_texts, block_words)
+    return found.select(F.col("_id").alias(id_col), F.col("_class").alias("class_id"),
+                        (F.col("_id").isNull() | (F.col("_id") == F.col("_class"))).alias("kept"))
+
+
+def without_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
+                       run_words: int = 5, bands: int = 28, rows: int = 5, block_texts: int = 256,
+                       block_words: int = 1 << 19) -> DataFrame:
+    """The rows, with all their columns, that stand for their class; of rows
+    that repeat id and text, one."""
+    docs = documents.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
+    gone = (_classes(docs, threshold, run_words, bands, rows, block_texts, block_words)
+            .filter("_id <> _class").select("_id", "_hash").distinct())
+    whole = documents.select(F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_hash"),
+                             F.struct(*documents.columns).alias("_doc"))
+    one = (whole.filter("_id is not null").join(gone, ["_id", "_hash"], "left_anti")
+           .dropDuplicates(["_id", "_hash"]).select("_doc.*"))
+    return one.unionByName(documents.filter(F.col(id_col).isNull()))
 
 
 def _verify(docs: DataFrame, members: DataFrame, run_words: int, threshold: float, block_texts: int,

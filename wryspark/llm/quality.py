@@ -116,16 +116,28 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return CompressionModel(good, bad, w.tolist(), centre.tolist(), scale.tolist(), level)
 
 
-def score(documents: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, score)`` for every row, over the whole text."""
+def _probabilities(texts: list[bytes], model: CompressionModel) -> np.ndarray:
     w, centre, scale = (np.array(v) for v in (model.weights, model.centre, model.scale))
+    x = (_features(texts, model.good, model.bad, model.level) - centre) / scale
+    return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
+
 
+def score(documents: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id_col, score)`` for every row, over the whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = (_features(texts_of(batch, "_text"), model.good, model.bad, model.level) - centre) / scale
-            p = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
+            p = _probabilities(texts_of(batch, "_text"), model)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(p)], ["_id", "score"])
 
     rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"_id {id_type}, score double").withColumnRenamed("_id", id_col)
+
+
+def accepted(documents: DataFrame, model: CompressionModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose score is at least ``least``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_probabilities(texts_of(batch, text_col), model) >= least))
+
+    return documents.mapInArrow(run, documents.schema)

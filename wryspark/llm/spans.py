@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .common import slices, texts_of
 from .wordhash import Words, mix, run_hash, run_sums
@@ -82,10 +83,13 @@ def _tag() -> Column:
 
 
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_words: int = 12,
-                   min_units: int = 3, min_words: int = 20) -> DataFrame:
+                   min_units: int = 3, min_words: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """``(id, text, n_units, n_removed, removed_words)`` for every row; the
-    text is without the removed units."""
-    docs = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    text is without the removed units. ``carry`` names columns that go along,
+    in a struct ``carried``."""
+    docs = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+                            *([F.struct(*carry).alias("_carried")] if carry else []))
+    carried = ["_carried"] if carry else []
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +103,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.array(tags[at + owner] + start - first[owner]), pa.array((end - start).astype(np.int32))],
                     ["_a", "_b", "_id", "_at", "_len"])
 
-    spans = docs.withColumn("_tag", _tag()).mapInArrow(
+    spans = docs.select("_id", "_text", _tag().alias("_tag")).mapInArrow(
         hashed, f"_a bigint, _b bigint, _id {id_type}, _at bigint, _len int")
     firsts = (spans.groupBy("_a", "_b")
               .agg(F.min(F.struct("_id", "_at")).alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -139,12 +143,16 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             null = batch.column("_text").is_null().to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array([None if z else k.decode() for k, z in zip(kept, null)], pa.string()),
-                 pa.array(n_units, pa.int32()), pa.array(n_gone, pa.int32()), pa.array(words_gone, pa.int64())],
-                ["_id", "_text", "n_units", "n_removed", "removed_words"])
+                 pa.array(n_units, pa.int32()), pa.array(n_gone, pa.int32()), pa.array(words_gone, pa.int64()),
+                 *map(batch.column, carried)],
+                ["_id", "_text", "n_units", "n_removed", "removed_words", *carried])
 
     joined = (docs.withColumn("_text_tag", F.floor(_tag() / _POSITIONS)).alias("d")
               .join(covered.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id"))
                     & (F.col("d._text_tag") == F.col("c._text_tag")), "left")
-              .select("d._id", "d._text", "c._spans"))
-    out = joined.mapInArrow(cut, f"_id {id_type}, _text string, n_units int, n_removed int, removed_words bigint")
-    return out.withColumnsRenamed({"_id": id_col, "_text": text_col})
+              .select("d._id", "d._text", "c._spans", *(f"d.{c}" for c in carried)))
+    out = joined.mapInArrow(cut, StructType(
+        [docs.schema["_id"], StructField("_text", StringType()), StructField("n_units", IntegerType()),
+         StructField("n_removed", IntegerType()), StructField("removed_words", LongType()),
+         *(docs.schema[c] for c in carried)]))
+    return out.withColumnsRenamed({"_id": id_col, "_text": text_col, "_carried": "carried"})

@@ -76,19 +76,21 @@ def _occurrences(own: Column, length: int, size: int) -> Column:
         s.alias("at"), F.concat_ws(" ", F.slice(own, s, length)).alias("span")))
 
 
-def contaminated_words(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5,
-                       broadcast_rows: int = 500_000) -> DataFrame:
-    """``(id, n_words, n_hit, item_ids)`` for every document row; ``item_ids``
-    are the sorted ids, as strings, of the items with occurring windows.
+def _keyed(documents: DataFrame, id_col: str, text_col: str, *others: Column) -> DataFrame:
+    """Rows with 128 bits that stand for id and text."""
+    rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *others)
+    return rows.withColumns({"_k1": F.xxhash64("_id", "_text"), "_k2": F.xxhash64(F.lit(3), "_text", "_id")})
+
+
+def _search(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, window: int, k: int,
+            broadcast_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Occurrences (_k1, _k2, _len, at, _span) of benchmark windows in
+    documents, and the windows of each item (_item, _span).
 
     The benchmark's distinct fingerprints are counted; up to
     ``broadcast_rows`` of these 8-byte numbers are broadcast, so that the
     documents' fingerprints need no shuffle, and more are joined by shuffle."""
     w = window - k + 1
-    docs = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    docs = docs.select("_id", "_text", F.xxhash64("_id", "_text").alias("_k1"),
-                       F.xxhash64(F.lit(3), "_text", "_id").alias("_k2"))
     bench = (items.select(F.col(item_id).cast("string").alias("_item"), words(F.col(item_text)).alias("_words"))
              .withColumn("_n", F.size("_words")).filter("_n > 0"))
     # The benchmark is read by several branches below.
@@ -123,7 +125,17 @@ def contaminated_words(documents: DataFrame, items: DataFrame, id_col: str = "do
             "_k1", "_k2", "_len", F.explode(_let(words(F.col("_text")), around)).alias("_o"))
         places = one if places is None else places.unionByName(one)
     places = places.select("_k1", "_k2", "_len", "_o.at", F.col("_o.span").alias("_span"))
-    matched = places.join(spans.select("_span").distinct(), "_span").checkpoint()
+    return places.join(spans.select("_span").distinct(), "_span"), spans
+
+
+def contaminated_words(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5,
+                       broadcast_rows: int = 500_000) -> DataFrame:
+    """``(id, n_words, n_hit, item_ids)`` for every document row; ``item_ids``
+    are the sorted ids, as strings, of the items with occurring windows."""
+    docs = _keyed(documents, id_col, text_col)
+    matched, spans = _search(docs.select("_k1", "_k2", "_text"), items, item_id, item_text, window, k, broadcast_rows)
+    matched = matched.checkpoint()
     hit = matched.groupBy("_k1", "_k2").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("_len") - 1)))))
         .cast("bigint").alias("n_hit"))
@@ -133,3 +145,12 @@ def contaminated_words(documents: DataFrame, items: DataFrame, id_col: str = "do
     return (counts.join(hit.join(named, ["_k1", "_k2"]), ["_k1", "_k2"], "left")
             .select(F.col("_id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))
+
+
+def uncontaminated(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5,
+                   broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows, with all their columns, that hold no window of any item."""
+    docs = _keyed(documents, id_col, text_col, F.struct(*documents.columns).alias("_doc"))
+    matched, _ = _search(docs.select("_k1", "_k2", "_text"), items, item_id, item_text, window, k, broadcast_rows)
+    return docs.join(matched.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_anti").select("_doc.*")
