@@ -40,8 +40,31 @@ class _BodyParser(HTMLParser):
         self.stack: list[str] = []
         self.nodes: list[str] = []
         self.title: list[str] = []
+        self.text: list[str] = []
+
+    def _end_of_text(self):
+        """What came since the last tag or comment is one text node; a bare
+        ``<`` makes the parser hand it over in pieces."""
+        data, self.text = "".join(self.text), []
+        if not data or not self.stack:
+            return
+        parent = self.stack[-1]
+        if parent == "title":
+            self.title.append(data)
+        if parent not in _SKIP and parent in self.allowed and not any(b in data for b in self.blocked):
+            self.nodes.append(data)
+
+    def close(self):
+        super().close()
+        self._end_of_text()
+
+    def handle_comment(self, data):
+        self._end_of_text()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
 
     def handle_starttag(self, tag, attrs):
+        self._end_of_text()
         if tag in _VOID:
             return
         if tag == "p" and "p" in self.stack:
@@ -50,23 +73,16 @@ class _BodyParser(HTMLParser):
         self.stack.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        pass
+        self._end_of_text()
 
     def handle_endtag(self, tag):
+        self._end_of_text()
         if tag in self.stack:
             while self.stack and self.stack.pop() != tag:
                 pass
 
     def handle_data(self, data):
-        if not self.stack:
-            return
-        parent = self.stack[-1]
-        if parent == "title":
-            self.title.append(data)
-        if parent in _SKIP:
-            return
-        if parent in self.allowed and not any(b in data for b in self.blocked):
-            self.nodes.append(data)
+        self.text.append(data)
 
 
 def extract_body(html: str | None, allowed=BODY_ALLOWED_PARENTS, blocked=BODY_BLOCKLIST) -> tuple[str, str]:
@@ -95,16 +111,21 @@ def extract_articles(pages: DataFrame) -> DataFrame:
 
 
 def lookup_bodies(links: DataFrame, link_col: str, articles: DataFrame,
-                  prefix_len: int = LINK_PREFIX_LEN) -> DataFrame:
+                  prefix_len: int = LINK_PREFIX_LEN, order_col: str = "body") -> DataFrame:
     """J-03: body for each link - by the link itself, else by the link
-    without its first ``prefix_len`` characters, else ``''``.
+    without its first ``prefix_len`` characters, else ``''``. Of several
+    articles with one url the first by ``order_col`` counts.
 
     Two left equi-joins on the article table (a shuffle each, or a
-    broadcast when AQE finds the article side small).
+    broadcast when AQE finds the article side small). A link of up to
+    ``prefix_len`` characters has an empty rest; as null it joins nothing and
+    is dealt out evenly.
     """
-    a1 = articles.select(F.col("url").alias("_u1"), F.col("body").alias("_b1"))
-    a2 = articles.select(F.col("url").alias("_u2"), F.col("body").alias("_b2"))
+    one = articles.filter("url is not null").groupBy("url").agg(F.min_by("body", order_col).alias("body"))
+    a1 = one.select(F.col("url").alias("_u1"), F.col("body").alias("_b1"))
+    a2 = one.select(F.col("url").alias("_u2"), F.col("body").alias("_b2"))
     out = (links.withColumn("_tail", T.strip_link_prefix(link_col, prefix_len))
+           .withColumn("_tail", F.when(F.col("_tail") != "", F.col("_tail")))
            .join(a1, F.col(link_col) == F.col("_u1"), "left")
            .join(a2, F.col("_tail") == F.col("_u2"), "left"))
     return out.withColumn("body", F.coalesce("_b1", "_b2", F.lit(""))) \
@@ -131,7 +152,8 @@ def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: Dat
         .filter(F.col("sentence").isNotNull())
     terms = sents.select(id_col, "s_idx", F.explode(tfidf_terms("sentence")).alias("term"))
     scored = terms.join(weights, [id_col, "term"], "left").groupBy(id_col, "s_idx").agg(
-        F.avg(F.coalesce("weight", F.lit(0.0))).alias("score"))
+        # Rounded, so that sentences of one weight tie whatever the order of the sum.
+        F.round(F.avg(F.coalesce("weight", F.lit(0.0))), 9).alias("score"))
     best = scored.withColumn("_r", F.row_number().over(
         Window.partitionBy(id_col).orderBy(F.col("score").desc(), "s_idx"))).filter("_r = 1") \
         .select(id_col, F.col("s_idx").alias("best"))

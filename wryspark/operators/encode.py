@@ -50,20 +50,29 @@ def tfidf_fit(df: DataFrame, text_col: str, id_col: str = "row_id",
     """Fit the long form on training rows: ``(term, idf)`` with
     ``idf = ln((1 + n) / (1 + df)) + 1``; optionally only the top
     ``max_features`` terms by corpus frequency."""
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    terms = term_table(df, text_col, id_col)
+    return idf_of(term_table(df, text_col, id_col), df.agg(F.count(F.lit(1))).scalar(), id_col, max_features)
+
+
+def idf_of(terms: DataFrame, n_docs: Column, id_col: str = "row_id", max_features: int | None = None) -> DataFrame:
+    """``(term, idf)`` from a term table of ``n_docs`` documents."""
     dfs = doc_freq(terms, id_col)
     if max_features:
         dfs = dfs.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
     return dfs.select("term", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1)).alias("idf"))
 
 
+def weights_of(terms: DataFrame, idf: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """``(id, term, weight)`` of a term table: terms outside the fitted
+    vocabulary dropped, then L2 per document."""
+    w = terms.join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
+
+
 def tfidf_apply(df: DataFrame, idf: DataFrame, text_col: str, id_col: str = "row_id") -> DataFrame:
     """Apply a fitted ``(term, idf)`` table: ``(id, term, weight)``, terms
     outside the fitted vocabulary dropped, then L2 per document."""
-    w = term_table(df, text_col, id_col).join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
+    return weights_of(term_table(df, text_col, id_col), idf, id_col)
 
 
 def tfidf_long(df: DataFrame, text_col: str, id_col: str = "row_id",
@@ -101,8 +110,9 @@ class SmoothIDF(Estimator, HasInputCol, HasOutputCol):
 
 def tfidf_stages(input_col: str, output_col: str = "features", max_features: int | None = None,
                  min_df: float = 1.0):
-    """E-01 as ``Pipeline`` stages: tokens -> counts -> IDF -> +tf -> L2."""
-    vocab = max_features or (1 << 18)
+    """E-01 as ``Pipeline`` stages: tokens -> counts -> IDF -> +tf -> L2.
+    Without ``max_features`` every term is kept (the stage's largest size)."""
+    vocab = max_features or (1 << 31) - 1
     return [
         RegexTokenizer(inputCol=input_col, outputCol="_tok", pattern=TERM_PATTERN, gaps=False,
                        toLowercase=True, minTokenLength=2),

@@ -12,7 +12,7 @@ word lists are tables and the work is joins:
 * polarity (F-11): tokens join a polarity lexicon; a per-document window
   looks one or two tokens back for intensifiers and negations.
 
-Lexicon tables are broadcast only after their row count is checked.
+Lexicon joins carry no hint: AQE picks broadcast or shuffle from their size.
 """
 
 from __future__ import annotations
@@ -54,12 +54,6 @@ NEGATIONS = ["not", "never", "no"]
 NEGATION_FACTOR = -0.5
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only when the table's row count is within ``max_rows``
-    (one cheap count on a lookup table); otherwise let AQE decide."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def word_class(c) -> Column:
     """T-10 suffix rule: ``ly`` adverb, ``ing``/``ed`` verb, ``ous``/``ful``/``ive``
     adjective, else noun (WordNet letters r, v, a, n)."""
@@ -98,25 +92,30 @@ def lemma_table(words: DataFrame, vocab: DataFrame, exceptions: DataFrame) -> Da
 
 def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemmatized",
               vocab: DataFrame | None = None, exceptions: DataFrame | None = None,
-              pos_mode: bool = True) -> DataFrame:
+              pos_mode: bool = True, tags: DataFrame | None = None) -> DataFrame:
     """T-08: ``(id, out_col)`` with every token replaced by its lemma and the
     tokens re-joined by one space. ``pos_mode=False`` treats every word as
-    a noun (the reference's plain lemmatizer)."""
+    a noun (the reference's plain lemmatizer). ``tags (word, tag)`` gives the
+    class of the words it lists, one row each; the suffix rule the others'."""
     spark = df.sparkSession
     # A document without tokens keeps one row with a null word, so it comes
     # out as '' without a final join back to the documents.
     ex = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word"))
-    tagged = ex.withColumn("tag", word_class("word") if pos_mode else F.lit("n"))
-    # One map-side-combined aggregate gives both the distinct (word, tag)
-    # table and, by default, the vocabulary.
-    words = tagged.filter(F.col("word").isNotNull()).groupBy("word", "tag") \
-        .agg(F.count(F.lit(1)).alias("_n")).select("word", "tag")
+    # One map-side-combined aggregate gives both the distinct words, whose
+    # class and lemma are worked out once, and, by default, the vocabulary.
+    words = ex.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n")).select("word")
+    rule = word_class("word") if pos_mode else F.lit("n")
+    if tags is None:
+        words = words.select("word", rule.alias("tag"))
+    else:
+        given = tags.select("word", F.col("tag").alias("_given"))
+        words = words.join(given, "word", "left").select("word", F.coalesce("_given", rule).alias("tag"))
     if vocab is None:
         vocab = words.select("word")
     if exceptions is None:
         exceptions = spark.createDataFrame(DEFAULT_EXCEPTIONS, "word string, tag string, lemma string")
-    lemmas = lemma_table(words, vocab, broadcast_if_small(exceptions))
-    out = tagged.join(lemmas, ["word", "tag"], "left").withColumn("lemma", F.coalesce("lemma", "word"))
+    lemmas = lemma_table(words, vocab, exceptions)
+    out = ex.join(lemmas.select("word", "lemma"), "word", "left").withColumn("lemma", F.coalesce("lemma", "word"))
     per = out.groupBy(id_col).agg(F.sort_array(F.collect_list(
         F.when(F.col("word").isNotNull(), F.struct("pos", "lemma")))).alias("_l"))
     return per.select(id_col, F.array_join(F.transform("_l", lambda s: s["lemma"]), " ").alias(out_col))
@@ -133,10 +132,9 @@ def polarity(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | Non
     negations = list(negations or NEGATIONS)
     if lexicon is None:
         lexicon = spark.createDataFrame(DEFAULT_POLARITY, "word string, polarity double, intensity double")
-    lex = broadcast_if_small(lexicon)
     toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD + "+"), 0)
     ex = df.select(id_col, F.posexplode_outer(toks).alias("pos", "word")).filter(F.col("word").isNotNull())
-    j = ex.join(lex, "word", "left")
+    j = ex.join(lexicon, "word", "left")
     w = Window.partitionBy(id_col).orderBy("pos")
     j = (j.withColumn("_w1", F.lag("word", 1).over(w)).withColumn("_w2", F.lag("word", 2).over(w))
          .withColumn("_i1", F.lag("intensity", 1).over(w)).withColumn("_p1", F.lag("polarity", 1).over(w)))

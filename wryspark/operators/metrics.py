@@ -1,6 +1,6 @@
 """Classification metrics (M-01..M-07) from one ``(label, prediction)``
 count table: a single grouped aggregate feeds every metric, so the scored
-rows are read once and nothing but a 2x2 table crosses the shuffle.
+rows are reduced to one row per pair of classes before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +15,16 @@ def confusion_counts(df: DataFrame, label_col: str = "label", pred_col: str = "p
         .agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_list(counts: DataFrame, limit: int = 1000) -> list:
+    """All classes that occur as a label or a prediction, ascending. More
+    than ``limit`` raise an error: they would all become columns."""
+    seen = (counts.select(F.col("label").alias("c")).unionByName(counts.select(F.col("prediction").alias("c")))
+            .filter("c is not null").distinct().orderBy("c").limit(limit + 1).collect())
+    if len(seen) > limit:
+        raise ValueError(f"more than {limit} classes")
+    return [r["c"] for r in seen]
+
+
 def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b).otherwise(F.lit(0.0))
 
@@ -39,10 +49,12 @@ def binary_scores(df: DataFrame, label_col: str = "label", pred_col: str = "pred
 
 
 def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-                          classes=(0, 1)) -> DataFrame:
+                          classes=None) -> DataFrame:
     """M-04: per-class precision/recall/F1/support, then accuracy, macro
-    and weighted averages, as rows ``(row_name, precision, recall, f1, support)``."""
+    and weighted averages, as rows ``(row_name, precision, recall, f1, support)``.
+    ``classes`` are those of the data unless given."""
     c = confusion_counts(df, label_col, pred_col)
+    classes = class_list(c) if classes is None else classes
     s = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
     cols = [s(F.lit(True)).alias("total"), s(F.col("label") == F.col("prediction")).alias("correct")]
     for k in classes:
@@ -76,9 +88,11 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
 
 
 def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-                     classes=(0, 1)) -> DataFrame:
-    """M-05: rows = true label, one column per predicted class."""
+                     classes=None) -> DataFrame:
+    """M-05: rows = true label, one column per predicted class; ``classes``
+    are those of the data unless given."""
     c = confusion_counts(df, label_col, pred_col)
+    classes = class_list(c) if classes is None else classes
     return c.groupBy("label").pivot("prediction", list(classes)).agg(F.sum("n")) \
         .select("label", *[F.coalesce(F.col(str(k)), F.lit(0)).cast("bigint").alias(f"pred_{k}") for k in classes])
 

@@ -97,12 +97,24 @@ def kernel_svm(label_col: str = "label", num_features: int = 300, seed: int = 42
             LinearSVC(featuresCol="rff", labelCol=label_col, regParam=0.0, maxIter=100)]
 
 
+#: Rows that a forest of unpruned trees is fitted on at most: such trees grow
+#: with the rows, and the fitted forest is held by the driver.
+FOREST_ROWS = 200_000
+
+
 def random_forest(label_col: str = "label", seed: int = 42):
-    """L-04: 100 trees, sqrt features per split, deepest depth Spark allows."""
+    """L-04: 100 trees, sqrt features per split, deepest depth Spark allows.
+    Fit it on ``bounded_fit_rows``."""
     return RandomForestClassifier(featuresCol="features", labelCol=label_col, numTrees=100, maxDepth=30,
                                   featureSubsetStrategy="sqrt", seed=seed)
 
 
+def bounded_fit_rows(train: DataFrame, key: str = "row_id", limit: int = FOREST_ROWS) -> DataFrame:
+    """The ``limit`` training rows that come first by the hash of ``key``; all
+    rows, if there are no more."""
+    return train.orderBy(F.xxhash64(F.lit(42), F.col(key)), key).limit(limit)
+
+
 def gradient_boosting(label_col: str = "label", seed: int = 42):
     """L-05: 100 rounds of depth-3 trees, step 0.1; lineage is cut every
     10 rounds through the session's checkpoint folder."""
@@ -159,22 +171,22 @@ def nb_fit_long(train_weights: DataFrame, labels: DataFrame, vocab: DataFrame, a
                 id_col: str = "row_id", label_col: str = "label") -> tuple[DataFrame, DataFrame]:
     """L-02 in relational form with empirical class priors.
 
-    Returns ``priors (label, log_prior)`` and ``theta (label, term,
-    log_theta)`` with ``theta = (N_cj + alpha) / (N_c + alpha * V)``, where
-    ``N_cj`` sums the TF-IDF weights of term j over class c, over the
-    fitted vocabulary (V terms). The class list is a bounded aggregate.
+    ``theta = (N_cj + alpha) / (N_c + alpha * V)``, where ``N_cj`` sums the
+    TF-IDF weights of term j over class c, over the fitted vocabulary (V
+    terms). Returns ``priors (label, log_prior, log_default)``, one row per
+    class, and ``theta (label, term, log_theta)`` for the pairs that occur;
+    every other pair has the class's ``log_default``.
     """
     n = labels.agg(F.count(F.lit(1))).scalar()
-    priors = labels.groupBy(label_col).agg(F.log(F.count(F.lit(1)) / n).alias("log_prior"))
-    classes = F.sort_array(priors.agg(F.collect_list(label_col)).scalar())
     v = vocab.agg(F.count(F.lit(1))).scalar()
-    grid = vocab.select("term", F.explode(classes).alias(label_col))
     ncj = train_weights.join(labels, id_col).groupBy(label_col, "term").agg(F.sum("weight").alias("ncj"))
-    full = grid.join(ncj, [label_col, "term"], "left").fillna(0.0, ["ncj"])
-    nc = full.groupBy(label_col).agg(F.sum("ncj").alias("nc"))
-    theta = full.join(nc, label_col).select(
+    nc = ncj.groupBy(label_col).agg(F.sum("ncj").alias("nc"))
+    priors = (labels.groupBy(label_col).agg(F.log(F.count(F.lit(1)) / n).alias("log_prior"))
+              .join(nc, label_col, "left")
+              .withColumn("log_default", F.log(alpha / (F.coalesce("nc", F.lit(0.0)) + alpha * v))))
+    theta = ncj.join(nc, label_col).select(
         label_col, "term", F.log((F.col("ncj") + alpha) / (F.col("nc") + alpha * v)).alias("log_theta"))
-    return priors, theta
+    return priors.drop("nc"), theta
 
 
 def nb_predict_long(weights: DataFrame, docs: DataFrame, priors: DataFrame, theta: DataFrame,
@@ -182,14 +194,19 @@ def nb_predict_long(weights: DataFrame, docs: DataFrame, priors: DataFrame, thet
     """Joint log-likelihood per (document, class) and the arg-max class
     (ties to the smaller class). Documents without known terms score their
     prior only."""
-    ll = weights.join(theta, "term").groupBy(id_col, label_col).agg(
-        F.sum(F.col("weight") * F.col("log_theta")).alias("_ll"))
-    grid = docs.select(id_col, F.explode(priors.agg(F.collect_list(F.struct(label_col, "log_prior"))).scalar())
-                    .alias("_p")).select(id_col, F.col(f"_p.{label_col}").alias(label_col), "_p.log_prior")
-    sc = grid.join(ll, [id_col, label_col], "left").withColumn(
-        "score", F.col("log_prior") + F.coalesce("_ll", F.lit(0.0)))
+    seen = weights.join(theta, "term").groupBy(id_col, label_col).agg(
+        F.sum(F.col("weight") * F.col("log_theta")).alias("_ll"), F.sum("weight").alias("_seen"))
+    whole = weights.groupBy(id_col).agg(F.sum("weight").alias("_whole"))
+    # One entry per class, like the score columns made of it.
+    classes = [r[0] for r in priors.select(label_col).orderBy(label_col).collect()]
+    per_class = priors.agg(F.collect_list(F.struct(label_col, "log_prior", "log_default"))).scalar()
+    grid = docs.select(id_col, F.explode(per_class).alias("_p")).select(
+        id_col, F.col(f"_p.{label_col}").alias(label_col), "_p.log_prior", "_p.log_default")
+    unseen = F.coalesce("_whole", F.lit(0.0)) - F.coalesce("_seen", F.lit(0.0))
+    sc = (grid.join(seen, [id_col, label_col], "left").join(whole, id_col, "left")
+          .withColumn("score", F.col("log_prior") + F.coalesce("_ll", F.lit(0.0)) + unseen * F.col("log_default")))
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col(label_col))
     best = sc.withColumn("_r", F.row_number().over(w))
     return best.groupBy(id_col).agg(
         F.max(F.when(F.col("_r") == 1, F.col(label_col))).alias("prediction"),
-        *[F.max(F.when(F.col(label_col) == c, F.col("score"))).alias(f"score_{c}") for c in (0, 1)])
+        *[F.max(F.when(F.col(label_col) == c, F.col("score"))).alias(f"score_{c}") for c in classes])

@@ -3,9 +3,11 @@
 * ``stream_key``: one sortable DECIMAL(38,0) for (version, row, position),
   so "first appearance" is a plain ``min`` that keeps hash aggregation
   (a struct-valued ``min`` would force a sort-based aggregate).
-* ``dense_index``: exact 0-based row numbers in a global (or per-group)
-  order, computed with a range shuffle, per-partition counts and a prefix
-  sum over the small count table - never ``row_number()`` over one task.
+* ``hashed_index``: exact 0-based row numbers in the order of a hex hash,
+  from buckets that are the hash's first digits.
+* ``dense_index``: the same for any order, from a range shuffle whose result
+  is written once. Both end in a prefix sum over a small count table - never
+  ``row_number()`` over one task.
 * ``block_of``: the block of an ordered row, used to split a long ordered
   group into bounded windows plus a carry between blocks.
 """
@@ -15,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _DEC = "decimal(38,0)"
-# Position bounds of the encoding: version < 100, row id < 10**24,
-# token position < 10**12.
-_ROW_SCALE = 10 ** 12
-_VERSION_SCALE = 10 ** 36
+# Digits of the encoding: 9 for the version, 19 for the row id (any bigint),
+# 10 for the position (any array's). A larger value raises an error.
+_ROW_SCALE = 10 ** 10
+_VERSION_SCALE = 10 ** 29
 
 
 def stream_key(version, row_id, pos=None) -> Column:
@@ -38,6 +42,34 @@ def block_of(row_id, block_rows: int) -> Column:
     return F.floor(c / F.lit(block_rows)).cast("bigint")
 
 
+def hashed_index(df: DataFrame, hash_col: str, tie_cols: list[str], group_cols: list[str] = (),
+                 name: str = "idx", total: str | None = None, digits: int = 3) -> DataFrame:
+    """Append ``name``: 0-based position of each row in the order of
+    ``hash_col`` (a hex digest) and ``tie_cols``, restarting per
+    ``group_cols``; with ``total`` also the group's number of rows.
+
+    A row's bucket is the first ``digits`` digits of its hash, so it is a pure
+    function of the row: whatever other columns the frame has and however
+    often it is computed, the bucket counts and the places inside the buckets
+    fit together. A window holds one bucket, 1/16**digits of a group.
+    """
+    group_cols = list(group_cols)
+    rows = df.withColumn("_bucket", F.substring(hash_col, 1, digits))
+    inside = Window.partitionBy(*group_cols, "_bucket").orderBy(hash_col, *tie_cols)
+    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_bucket").alias("_b"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_total"))
+    same = F.col("_bucket") == F.col("_b")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out = rows.withColumn("_place", F.row_number().over(inside) - 1).join(counts, same)
+    return out.select(*df.columns, (F.col("_off") + F.col("_place")).cast("bigint").alias(name),
+                      *([F.col("_total").cast("bigint").alias(total)] if total else []))
+
+
 def dense_index(df: DataFrame, order_cols: list[str], group_cols: list[str] = (),
                 name: str = "idx", num_partitions: int | None = None) -> DataFrame:
     """Append ``name``: 0-based position of each row in ``order_cols`` order,
@@ -47,19 +79,18 @@ def dense_index(df: DataFrame, order_cols: list[str], group_cols: list[str] = ()
        task holds one contiguous slice;
     2. ``monotonically_increasing_id`` then encodes (partition, position in
        partition) without another shuffle;
-    3. per (partition, group) counts form a table of at most
+    3. the numbered slices are written once (checkpoint): a range shuffle
+       samples its own boundaries each time it is planned, so two readers
+       that prune different columns would see different slices;
+    4. per (partition, group) counts form a table of at most
        partitions + groups rows; a prefix sum over it gives each slice's
        offset, joined back (AQE broadcasts it when it is small).
     """
     group_cols = list(group_cols)
     keys = group_cols + list(order_cols)
-    # An explicit partition count: AQE leaves such a shuffle's partitions
-    # as they are, so the two readers below (per-partition counts and the
-    # join back) see identical partition ids. Size it with the session's
-    # ``spark.sql.shuffle.partitions`` for the data at hand.
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_lpos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
     stats = ranged.groupBy("_pid", *group_cols).agg(
@@ -67,10 +98,13 @@ def dense_index(df: DataFrame, order_cols: list[str], group_cols: list[str] = ()
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    out = ranged.join(stats.select("_pid", *group_cols, "_first", "_off"),
-                      ["_pid", *group_cols])
-    return out.withColumn(name, (F.col("_off") + F.col("_lpos") - F.col("_first")).cast("bigint")) \
-        .drop("_mid", "_pid", "_lpos", "_first", "_off")
+    stats = stats.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)],
+                         F.col("_pid").alias("_p"), "_first", "_off")
+    same = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out = ranged.join(stats, same)
+    return out.select(*df.columns, (F.col("_off") + F.col("_lpos") - F.col("_first")).cast("bigint").alias(name))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],

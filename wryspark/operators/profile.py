@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import block_of, stream_key
+from .ordering import block_of, dense_index, stream_key
 
 
 def explode_tokens(df: DataFrame, tokens_col: str, keep: list[str],
@@ -54,40 +54,33 @@ def stream_ngrams(df: DataFrame, tokens_col: str, group_cols: list[str], n: int
 
     Output: group columns, ``version``, ``row_id``, ``pos`` (start position
     inside the row) and ``ngram``. An n-gram belongs to the row it starts in;
-    its tail may come from the next non-empty rows. The "next n-1 tokens
-    after a row" come from windows over blocks of ``block_rows`` consecutive
-    row ids (bounded, run in parallel); blocks pass a carry of n-1 tokens
-    through a small per-block table, so no window spans a whole label.
-
-    Empty rows are kept apart by a flag in the window partition instead of
-    a filter: a filter on the token array would be pushed below the
-    projection and evaluate the tokenizer a second time.
+    its tail may come from the next non-empty rows. Rows are numbered densely
+    in stream order (``dense_index``; empty rows apart) and cut into blocks of
+    ``block_rows`` of them, whatever their ids. The "next n-1 tokens after a
+    row" come from the first n-1 tokens of the next rows in its block; blocks
+    pass a carry of n-1 tokens through a per-block table, so no window spans
+    a whole label and none holds more than the heads of rows.
     """
     rows = df.select(*group_cols, version_col, row_col, F.col(tokens_col).alias("_t"))
     if boundary == "row" or n == 1:
         ext = rows.withColumn("_ext", F.col("_t"))
     else:
         need = n - 1
-        rows = rows.withColumn("_blk", block_of(row_col, block_rows)) \
-            .withColumn("_ne", F.size("_t") > 0)
-        blk_keys = [*group_cols, "_ne", version_col, "_blk"]
-        by_row = Window.partitionBy(*blk_keys).orderBy(row_col)
-        # Inside a block: the next n-1 rows (all non-empty) supply the tail;
-        # the first row of the block also records the block's first n-1 tokens.
-        rows = (rows
-                .withColumn("_in_blk", F.flatten(F.collect_list("_t").over(by_row.rowsBetween(1, need))))
-                .withColumn("_h", F.slice(F.flatten(F.collect_list("_t").over(by_row.rowsBetween(0, need - 1))),
-                                          1, need))
-                .withColumn("_rn", F.row_number().over(by_row)))
-        heads = rows.filter(F.col("_rn") == 1).select(*blk_keys, "_h")
-        by_blk = Window.partitionBy(*group_cols, "_ne").orderBy(version_col, "_blk").rowsBetween(1, need)
+        groups = [*group_cols, "_ne"]
+        rows = dense_index(rows.withColumn("_ne", F.size("_t") > 0), [version_col, row_col], groups, "_i")
+        rows = rows.withColumn("_blk", block_of("_i", block_rows)).withColumn("_head", F.slice("_t", 1, need))
+        by_row = Window.partitionBy(*groups, "_blk").orderBy("_i")
+        rows = rows.withColumn("_in_blk", F.flatten(F.collect_list("_head").over(by_row.rowsBetween(1, need))))
+        # The first n-1 tokens of a block are in the heads of its first n-1 rows.
+        heads = (rows.filter(F.col("_i") % block_rows < need).groupBy(*groups, "_blk")
+                 .agg(F.sort_array(F.collect_list(F.struct("_i", "_head"))).alias("_hs"))
+                 .withColumn("_h", F.slice(F.flatten(F.transform("_hs", lambda x: x["_head"])), 1, need)))
+        by_blk = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(1, need)
+        keys = [*groups, "_blk"]
         carry = heads.withColumn("_carry", F.slice(F.flatten(F.collect_list("_h").over(by_blk)), 1, need)) \
-            .select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(blk_keys)], "_carry")
-        # Null-safe keys: no inferred not-null filters reach the carry side,
-        # so both sides keep the same shuffle below their windows and AQE
-        # reuses it instead of tokenizing the input twice.
-        cond = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(blk_keys)]
-        rows = rows.join(carry, cond, "left").drop(*[f"_c{i}" for i in range(len(blk_keys))])
+            .select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)], "_carry")
+        cond = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(keys)]
+        rows = rows.join(carry, cond, "left").drop(*[f"_c{i}" for i in range(len(keys))])
         ext = rows.withColumn("_ext", F.concat(
             "_t", F.slice(F.concat("_in_blk", F.coalesce("_carry", F.array().cast("array<string>"))),
                           1, need)))

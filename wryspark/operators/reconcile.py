@@ -18,20 +18,27 @@ def drop_nulls(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
+def _digest_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    digest = F.unhex(F.md5(F.col(key).cast("string")))
+    return left.join(right.select(digest.alias("_digest")).distinct(),
+                     F.unhex(F.md5(left[key].cast("string"))) == F.col("_digest"), how)
+
+
 def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """J-01: rows of ``left`` whose ``key`` is absent from ``right``.
 
-    Multiplicity inside ``left`` is kept. ``right`` is reduced to its
-    distinct keys first (a partial aggregate before the shuffle), and no
+    Multiplicity inside ``left`` is kept. Keys are compared by their MD5
+    (16 bytes), as they may be long texts; ``right`` is reduced to its
+    distinct digests first (a partial aggregate before the shuffle), and no
     broadcast is forced: AQE converts to a broadcast join only when the
-    distinct-key side turns out small at runtime.
+    distinct side turns out small at runtime.
     """
-    return left.join(right.select(key).distinct(), key, "left_anti")
+    return _digest_join(left, right, key, "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """J-02: rows of ``left`` whose ``key`` occurs in ``right``."""
-    return left.join(right.select(key).distinct(), key, "left_semi")
+    return _digest_join(left, right, key, "left_semi")
 
 
 def bag_union(*dfs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ already prepared by Spark.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,26 +71,31 @@ def lcs_length(a, b) -> int:
     return len(a) - bin(v & full).count("1")
 
 
-def lcs_table(a, b) -> list[list[int]]:
-    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            t[i][j] = t[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(t[i - 1][j], t[i][j - 1])
+def lcs_table(a, b) -> np.ndarray:
+    """Lengths of the longest common subsequences of all prefixes. A row is
+    the running maximum of the row before, one more after each match."""
+    t = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+    b = np.asarray(b, dtype=object)
+    for i, x in enumerate(a, 1):
+        step = t[i - 1].copy()
+        step[1:] = np.maximum(step[1:], t[i - 1, :-1] + (b == x))
+        t[i] = np.maximum.accumulate(step)
     return t
 
 
 def _lcs_positions(ref, cand) -> set[int]:
-    """Positions in ``ref`` on one longest common subsequence with ``cand``."""
+    """Positions in ``ref`` on one longest common subsequence with ``cand``;
+    where both ways back are as long, a word of ``ref`` is passed over."""
     t = lcs_table(ref, cand)
     i, j, hits = len(ref), len(cand), set()
     while i > 0 and j > 0:
         if ref[i - 1] == cand[j - 1]:
             hits.add(i - 1)
             i, j = i - 1, j - 1
-        elif t[i - 1][j] > t[i][j - 1]:
-            i -= 1
-        else:
+        elif t[i, j - 1] > t[i - 1, j]:
             j -= 1
+        else:
+            i -= 1
     return hits
 
 

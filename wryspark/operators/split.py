@@ -2,7 +2,7 @@
 
 The pseudo-random order is the hex MD5 of ``"<row_id>-<seed>"``; the
 same order is reproducible in any engine with MD5. Exact-size splits use
-``dense_index`` (range shuffle + prefix sums), never a single-task
+``hashed_index`` (hash buckets + prefix sums), never a single-task
 ``row_number``; the hash-threshold split needs no ordering at all.
 Samples of k rows are ``orderBy(...).limit(k)``: a partial top-k per task.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import dense_index
+from .ordering import hashed_index
 
 
 def seeded_hash(key, seed: int = 42) -> Column:
@@ -23,7 +23,7 @@ def seeded_hash(key, seed: int = 42) -> Column:
 
 def shuffled(df: DataFrame, key: str = "row_id", seed: int = 42, name: str = "idx") -> DataFrame:
     """K-05/P-03/Q-08: dense 0-based position in the seeded order."""
-    return dense_index(df.withColumn("_h", seeded_hash(key, seed)), ["_h", key], [], name).drop("_h")
+    return hashed_index(df.withColumn("_h", seeded_hash(key, seed)), "_h", [key], [], name).drop("_h")
 
 
 def random_split(df: DataFrame, test_fraction: float = 0.2, key: str = "row_id",
@@ -31,16 +31,9 @@ def random_split(df: DataFrame, test_fraction: float = 0.2, key: str = "row_id",
     """P-01 (no groups) / P-02 (``group_cols`` = label): the first
     ``ceil(test_fraction * n)`` rows of the seeded order form the test split,
     counted per group when stratified."""
-    group_cols = list(group_cols)
     h = df.withColumn("_h", seeded_hash(key, seed))
-    idx = dense_index(h, ["_h", key], group_cols, "_idx")
-    if group_cols:
-        n = h.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-        idx = idx.join(n, group_cols)
-        n_col = F.col("_n")
-    else:
-        n_col = df.agg(F.count(F.lit(1))).scalar()
-    n_test = F.ceil(F.lit(test_fraction) * n_col)
+    idx = hashed_index(h, "_h", [key], list(group_cols), "_idx", "_n")
+    n_test = F.ceil(F.lit(test_fraction) * F.col("_n"))
     return idx.withColumn("split", F.when(F.col("_idx") < n_test, "test").otherwise("train")) \
         .drop("_h", "_idx", "_n")
 
@@ -49,18 +42,17 @@ def ordered_slices(df: DataFrame, fractions: dict[str, float], key: str = "row_i
                    seed: int = 42) -> DataFrame:
     """P-04/W-03: seeded shuffle, then consecutive slices cut at
     ``int(cumulative_share * n)`` (running float sum, as the reference)."""
-    n_col = df.agg(F.count(F.lit(1))).scalar()
-    idx = shuffled(df, key, seed, "_idx")
+    idx = hashed_index(df.withColumn("_h", seeded_hash(key, seed)), "_h", [key], [], "_idx", "_n")
     split = None
     lo = F.lit(0.0)
     cum = 0.0
     for name, frac in fractions.items():
         cum = cum + frac
-        hi = F.floor(F.lit(cum) * n_col)
-        cond = (F.col("_idx") >= F.floor(lo * n_col)) & (F.col("_idx") < hi)
+        hi = F.floor(F.lit(cum) * F.col("_n"))
+        cond = (F.col("_idx") >= F.floor(lo * F.col("_n"))) & (F.col("_idx") < hi)
         split = F.when(cond, name) if split is None else split.when(cond, name)
         lo = F.lit(cum)
-    return idx.withColumn("split", split).filter(F.col("split").isNotNull()).drop("_idx")
+    return idx.withColumn("split", split).filter(F.col("split").isNotNull()).drop("_idx", "_n", "_h")
 
 
 def hash_split(df: DataFrame, text_col: str, train_fraction: float = 0.8) -> DataFrame:

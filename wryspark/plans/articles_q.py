@@ -10,7 +10,8 @@ from ..operators import articles as AR
 from ..operators import reconcile as R
 from ..operators import rouge as RG
 from ..operators import split as SP
-from ..operators.encode import tfidf_long
+from ..functions.wordlists import LINK_PREFIX_LEN
+from ..operators.encode import TERM_PATTERN, tfidf_long
 from ..session import cut_lineage
 from ..sources.tables import documents, pages, read_table
 from . import sqltext as S
@@ -52,10 +53,36 @@ def link_bodies(spark, sf):
     """Each stored link resolved to its body with the two-step fallback."""
     p = pages(spark, sf)
     links = p.select("page_id", F.col("url").alias("article_link"))
-    out = AR.lookup_bodies(links, "article_link", AR.extract_articles(p))
+    out = AR.lookup_bodies(links, "article_link", AR.extract_articles(p), order_col="page_id")
     return out.select("page_id", "article_link", "body")
 
 
+_STORED = f"""stored AS (SELECT page_id, url, {_title_sql()} AS body FROM pages
+  UNION ALL SELECT page_id + 1000000000, url, 'later copy' FROM pages WHERE page_id % 2 = 0),
+one AS (SELECT url, arg_min(body, page_id) AS body FROM stored WHERE url IS NOT NULL GROUP BY url),
+links AS (SELECT page_id, 0 AS kind, url AS article_link FROM pages
+  UNION ALL SELECT page_id, 1, repeat('x', {LINK_PREFIX_LEN}) || url FROM pages
+  UNION ALL SELECT page_id, 2, url || '#none' FROM pages
+  UNION ALL SELECT page_id, 3, left(url, 8) FROM pages)"""
+
+
+@register("stored_link_lookup", "J-03 T-14",
+          f"""WITH {_STORED} SELECT l.page_id, l.kind, l.article_link, coalesce(a.body, b.body, '') AS body FROM links l
+LEFT JOIN one a ON a.url = l.article_link LEFT JOIN one b ON b.url = substr(l.article_link, {LINK_PREFIX_LEN + 1})
+  AND substr(l.article_link, {LINK_PREFIX_LEN + 1}) <> ''""")
+def stored_link_lookup(spark, sf):
+    """Links to stored pages as they are, behind a prefix, unknown and cut
+    short, against a store that holds half of the urls twice."""
+    p = pages(spark, sf)
+    stored = p.select("page_id", "url", _title_col().alias("body"))
+    stored = stored.unionByName(stored.filter("page_id % 2 = 0").select(
+        (F.col("page_id") + 1000000000).alias("page_id"), "url", F.lit("later copy").alias("body")))
+    url = F.col("url")
+    kinds = [url, F.concat(F.lit("x" * LINK_PREFIX_LEN), url), F.concat(url, F.lit("#none")), F.substring(url, 1, 8)]
+    links = p.select("page_id", F.posexplode(F.array(*kinds)).alias("kind", "article_link"))
+    return AR.lookup_bodies(links, "article_link", stored, order_col="page_id").select("page_id", "kind", "article_link", "body")
+
+
 def _pairs(spark, sf):
     """Summarisation pairs: body = extracted text, headline = page title.
 
@@ -111,7 +138,45 @@ def lead_sentences(spark, sf):
                     F.size(T.sentences("text")).cast("bigint").alias("n_sentences"))
 
 
-_CONV_PAIRS = f"""p AS (SELECT u.conv_id * 100000 + u.turn AS pair_id, {S.lead_sentence('a.text')} AS pred, u.text AS ref
+@register("sentence_lines", "T-11 T-09",
+          f"SELECT doc_id, array_to_string({S.sentences('text')}, chr(10)) AS lines FROM documents")
+def sentence_lines(spark, sf):
+    return documents(spark, sf).select("doc_id", T.newline_sentences("text").alias("lines"))
+
+
+_SUMMARIES = f"""long AS (SELECT doc_id, text FROM documents WHERE {S.word_count('text')} > 30),
+tt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id,
+  unnest(regexp_extract_all(lower(text), {S.q(TERM_PATTERN)})) AS term FROM long) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM long),
+df AS (SELECT term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM tt, n GROUP BY term),
+w0 AS (SELECT doc_id, term, tf * idf AS w FROM tt JOIN df USING (term)),
+w AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
+s AS (SELECT doc_id, {S.sentences('text')} AS sents FROM long),
+se AS (SELECT doc_id, unnest(sents) AS sentence, unnest(generate_series(0, len(sents) - 1)) AS s_idx FROM s),
+st AS (SELECT doc_id, s_idx, unnest(regexp_extract_all(lower(sentence), {S.q(TERM_PATTERN)})) AS term FROM se),
+sc AS (SELECT st.doc_id, s_idx, round(avg(coalesce(weight, 0)), 9) AS score FROM st LEFT JOIN w
+  ON w.doc_id = st.doc_id AND w.term = st.term GROUP BY ALL),
+best AS (SELECT doc_id, s_idx AS best FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, s_idx) = 1),
+d AS (SELECT s.doc_id, sents, coalesce(best, 0) AS best FROM s LEFT JOIN best USING (doc_id)),
+x AS (SELECT doc_id, {S.ws_tokens("array_to_string(list_slice(sents, best + 1, len(sents)), ' ')")} AS words,
+  len({S.ws_tokens("coalesce(sents[best + 1], '')")}) AS first_len FROM d),
+summ AS (SELECT doc_id, array_to_string(list_slice(words, 1, least(30, greatest(10, first_len))), ' ') AS summary FROM x)"""
+
+
+@register("document_summaries", "R-07 R-08 E-01",
+          f"""WITH {_SUMMARIES} SELECT doc_id, text AS "Body", {S.lead_sentence('text')} AS "Headline", summary AS "Summary"
+FROM long JOIN summ USING (doc_id)""")
+def document_summaries(spark, sf):
+    """Prediction table over all long documents: body, lead sentence as the
+    headline, extractive summary."""
+    long = R.word_count_filter(documents(spark, sf), "text", 30, keep_long=True)
+    summ = AR.extractive_summary(long, "doc_id", "text", tfidf_long(long, "text", "doc_id"))
+    return long.join(summ, "doc_id").select("doc_id", F.col("text").alias("Body"),
+                                            AR.lead_sentence("text").alias("Headline"),
+                                            F.col("summary").alias("Summary"))
+
+
+_CONV_PAIRS = f"""p AS (SELECT CAST(u.conv_id AS VARCHAR) || '-' || CAST(u.turn AS VARCHAR) AS pair_id, {S.lead_sentence('a.text')} AS pred, u.text AS ref
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
@@ -122,7 +187,7 @@ def _conv_pairs(spark, sf):
     a = c.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), AR.lead_sentence("text").alias("pred"))
     return u.join(a, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100000 + F.col("turn")).alias("pair_id"), "pred", "ref")
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("pair_id"), "pred", "ref")
 
 
 def _rouge_n_sql(n: int) -> str:
@@ -163,13 +228,16 @@ def conversation_rouge2(spark, sf):
     return _rouge_rows(spark, sf, 2)
 
 
+def _rouge_corpus_sql(n: int) -> str:
+    return f"""WITH {_CONV_PAIRS}, {_rouge_n_sql(n)}
+SELECT 'rouge{n}' AS metric, round(avg(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+  ELSE 0 END), 4) AS score FROM f"""
+
+
 @register("conversation_rouge_corpus", "R-06",
-          f"""WITH {_CONV_PAIRS}, {_rouge_n_sql(1)}
-SELECT 'rouge1' AS metric, round(avg(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
-  ELSE 0 END), 4) AS score FROM f""")
+          f"SELECT * FROM ({_rouge_corpus_sql(1)}) UNION ALL SELECT * FROM ({_rouge_corpus_sql(2)})")
 def conversation_rouge_corpus(spark, sf):
-    r = RG.rouge_n(_conv_pairs(spark, sf), "pair_id", "pred", "ref", 1)
-    return r.agg(F.round(F.avg("fmeasure"), 4).alias("score")).select(F.lit("rouge1").alias("metric"), "score")
+    return RG.corpus_scores(_conv_pairs(spark, sf), "pair_id", "pred", "ref", with_lcs=False)
 
 
 @register("conversation_rouge_lcs", "R-04 R-05 T-11")

@@ -94,6 +94,18 @@ def conversation_bigrams(spark, sf):
     return c.select("role", "ngram", "count")
 
 
+@register("top_conversation_bigrams", "W-01 W-02 K-01",
+          "WITH " + _bigram_sql(S.filtered_tokens("text"), "conversations", "role", "conv_id", "turn")
+          + """ SELECT g AS role, CAST(rank AS BIGINT) AS rank, ngram, count FROM
+  (SELECT *, row_number() OVER (PARTITION BY g ORDER BY count DESC, fs) AS rank FROM c) WHERE rank <= 20""")
+def top_conversation_bigrams(spark, sf):
+    from ..sources.tables import read_table
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"]) \
+        .withColumn("tokens", T.filtered_tokens("text"))
+    c = P.ngram_counts(conv, "tokens", ["role"], 2, version_col="conv_id", row_col="turn")
+    return P.top_k(c, ["role"], 20).select("role", F.col("rank").cast("bigint").alias("rank"), "ngram", "count")
+
+
 @register("row_bigram_counts", "W-01 A-12",
           f"""WITH {S.HEADLINES}, t AS (SELECT is_sarcastic, {S.filtered_tokens('headline')} AS toks FROM merged),
 g AS (SELECT is_sarcastic, toks[i] || ' ' || toks[i + 1] AS ngram

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import features as FT
 from ..functions import text as T
 from ..functions.regex import WORD
+from ..functions.wordlists import ENGLISH_STOPWORDS
 from ..operators import lexicon as LX
 from ..operators import profile as P
+from ..operators.encode import TERM_PATTERN, tfidf_long
 from ..operators.reconcile import merge_versions
 from ..sources.tables import versions
 from . import sqltext as S
@@ -36,8 +38,9 @@ def _tag_sql(w: str) -> str:
             f"WHEN suffix({w}, 'ous') OR suffix({w}, 'ful') OR suffix({w}, 'ive') THEN 'a' ELSE 'n' END")
 
 
-def _lemma_sql() -> str:
+def _lemma_sql(noun: bool = False) -> str:
     rules = []
+    tag_of = (lambda w: "'n'") if noun else _tag_sql
     for tag, rs in LX.RULES.items():
         for s, r in rs:
             rules.append(f"SELECT word, tag, left(word, length(word) - {len(s)}) || {S.q(r)} AS form FROM w "
@@ -45,7 +48,7 @@ def _lemma_sql() -> str:
     return f"""{S.HEADLINES},
 t AS (SELECT row_id, {S.ws_tokens(S.clean('headline'))} AS toks FROM merged),
 e AS (SELECT row_id, unnest(toks) AS word, unnest(generate_series(0, len(toks) - 1)) AS pos FROM t),
-tg AS (SELECT *, {_tag_sql('word')} AS tag FROM e),
+tg AS (SELECT *, {tag_of('word')} AS tag FROM e),
 vocab AS (SELECT DISTINCT word FROM e),
 w AS (SELECT DISTINCT word, tag FROM tg),
 c AS (SELECT word, tag, word AS form FROM w UNION ALL {' UNION ALL '.join(rules)}),
@@ -66,6 +69,28 @@ def lemmatized_text(spark, sf):
     return lem
 
 
+@register("lemmatized_text_noun", "T-08",
+          f"WITH {_lemma_sql(noun=True)} SELECT row_id, lemmatized_headline FROM lt")
+def lemmatized_text_noun(spark, sf):
+    """Every word taken as a noun."""
+    m = _merged(spark, sf).withColumn("toks", T.ws_tokens(T.clean("headline")))
+    return LX.lemmatize(m, "row_id", "toks", "lemmatized_headline", pos_mode=False)
+
+
+@register("tfidf_lemmatised", "E-01 T-08", f"""WITH {_lemma_sql()},
+tt AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id,
+  unnest(regexp_extract_all(lower(lemmatized_headline), {S.q(TERM_PATTERN)})) AS term FROM lt) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM lt),
+d AS (SELECT term, count(*) AS df FROM tt GROUP BY term),
+x AS (SELECT row_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tt JOIN d USING (term), n)
+SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS weight FROM x""")
+def tfidf_lemmatised(spark, sf):
+    """The uncapped weights of the lemmatised text, as the models take it."""
+    _, lem = _lemma_frame(spark, sf)
+    t = tfidf_long(lem, "lemmatized_headline")
+    return t.select("row_id", "term", F.round("weight", 6).alias("weight"))
+
+
 def _polarity_sql(table: str, id_col: str, text_col: str) -> str:
     negs = ", ".join(S.q(n) for n in LX.NEGATIONS)
     return f"""lex AS {_vals(LX.DEFAULT_POLARITY, 'word, polarity, intensity')},
@@ -146,11 +171,13 @@ def word_cloud_weights(spark, sf):
 
 @register("collocations", "A-14",
           f"""WITH {_lemma_sql()},
-ct AS (SELECT row_id, list_filter({S.ws_tokens('lemmatized_headline')}, lambda x: NOT list_contains({S.STOP}, x)) AS toks FROM lt),
-uni AS (SELECT word, count(*) AS c FROM (SELECT unnest(toks) AS word FROM ct) GROUP BY word),
+st AS (SELECT word, lead(word) OVER (ORDER BY version, row_id, pos) AS nxt FROM (
+  SELECT version, row_id, unnest(toks) AS word, unnest(generate_series(1, len(toks))) AS pos FROM (
+    SELECT m.version, m.row_id, {S.ws_tokens('lemmatized_headline')} AS toks FROM lt JOIN merged m USING (row_id)))),
+uni AS (SELECT word, count(*) AS c FROM st WHERE NOT list_contains({S.STOP}, word) GROUP BY word),
 nn AS (SELECT sum(c) AS n FROM uni),
-bi AS (SELECT a, b, count(*) AS cab FROM (SELECT toks[i] AS a, toks[i + 1] AS b
-  FROM (SELECT toks, unnest(generate_series(1, len(toks) - 1)) AS i FROM ct WHERE len(toks) > 1)) GROUP BY a, b),
+bi AS (SELECT word AS a, nxt AS b, count(*) AS cab FROM st WHERE nxt IS NOT NULL AND NOT list_contains({S.STOP}, word)
+  AND NOT list_contains({S.STOP}, nxt) GROUP BY ALL),
 o AS (SELECT a, b, cab, ua.c AS ca, ub.c AS cb, n FROM bi JOIN uni ua ON ua.word = a JOIN uni ub ON ub.word = b, nn),
 g AS (SELECT a || ' ' || b AS bigram, cab AS count, 2 * (
   CASE WHEN cab > 0 THEN cab * ln(cab / (ca * cb / n)) ELSE 0 END +
@@ -160,12 +187,18 @@ g AS (SELECT a || ' ' || b AS bigram, cab AS count, 2 * (
   AS score FROM o)
 SELECT bigram, count, round(score, 6) AS score FROM g WHERE score > 30""")
 def collocations(spark, sf):
-    t = _cloud_tokens(spark, sf)
-    uni = P.explode_tokens(t, "toks", ["row_id"]).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    """All rows are one text: words are paired first, across rows as well,
+    then pairs with a stopword go."""
+    m, lem = _lemma_frame(spark, sf)
+    t = lem.join(m.select("row_id", "version"), "row_id").withColumn("toks", T.ws_tokens("lemmatized_headline"))
+    stop = list(ENGLISH_STOPWORDS)
+    uni = P.explode_tokens(t, "toks", ["row_id"]).filter(~F.col("word").isin(stop)) \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("c"))
     n = uni.agg(F.sum("c")).scalar()
-    g = P.stream_ngrams(t, "toks", [], 2, boundary="row")
+    g = P.stream_ngrams(t, "toks", [], 2)
     bi = g.groupBy("ngram").agg(F.count(F.lit(1)).alias("cab")) \
-        .withColumn("a", F.split("ngram", " ")[0]).withColumn("b", F.split("ngram", " ")[1])
+        .withColumn("a", F.split("ngram", " ")[0]).withColumn("b", F.split("ngram", " ")[1]) \
+        .filter(~F.col("a").isin(stop) & ~F.col("b").isin(stop))
     o = (bi.join(uni.select(F.col("word").alias("a"), F.col("c").alias("ca")), "a")
          .join(uni.select(F.col("word").alias("b"), F.col("c").alias("cb")), "b"))
 

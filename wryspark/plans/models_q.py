@@ -26,6 +26,60 @@ def binary_scores(spark, sf):
     return s.select(*[F.round(c, 6).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
 
 
+@register("binary_scores_by_split", "M-01 M-02 M-03",
+          """WITH o AS (SELECT CAST(quality AS INTEGER) AS label, CAST(toxic AS INTEGER) AS prediction,
+  row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || '-42'), doc_id) - 1 AS i, count(*) OVER () AS n FROM labels),
+a AS (SELECT CASE WHEN i < ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split, count(*) AS n,
+  count(*) FILTER (WHERE label = prediction) AS correct, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+  count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp, count(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn
+  FROM o GROUP BY 1)
+SELECT split, round(correct / n, 6) AS accuracy, round(CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
+  round(CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn <> 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM a""")
+def binary_scores_by_split(spark, sf):
+    from pyspark.sql import functions as F
+    from ..operators import split as SP
+    s = M.binary_scores(SP.random_split(predictions(spark, sf), 0.2), group_cols=["split"])
+    return s.select("split", *[F.round(c, 6).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
+
+
+_THREE = """c AS (SELECT CAST(quality + toxic AS INTEGER) AS label, CAST(doc_id % 3 AS INTEGER) AS prediction, count(*) AS n
+  FROM labels GROUP BY ALL)"""
+
+
+def _three_classes(spark, sf):
+    from pyspark.sql import functions as F
+    return predictions(spark, sf).select((F.col("label") + F.col("prediction")).alias("label"),
+                                         (F.col("row_id") % 3).cast("int").alias("prediction"))
+
+
+@register("three_class_report", "M-04",
+          f"""WITH {_THREE}, k AS (SELECT label AS k FROM c UNION SELECT prediction FROM c),
+pc AS (SELECT k, coalesce((SELECT sum(n) FROM c WHERE label = k AND prediction = k), 0) AS tp,
+  coalesce((SELECT sum(n) FROM c WHERE prediction = k), 0) AS pp,
+  coalesce((SELECT sum(n) FROM c WHERE label = k), 0) AS sup FROM k),
+r AS (SELECT k, CASE WHEN pp <> 0 THEN tp / pp ELSE 0 END AS p, CASE WHEN sup <> 0 THEN tp / sup ELSE 0 END AS r, sup FROM pc),
+f AS (SELECT *, CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM r),
+t AS (SELECT sum(n) AS n, sum(n) FILTER (WHERE label = prediction) AS correct FROM c)
+SELECT CAST(k AS VARCHAR) AS row_name, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, CAST(sup AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(correct / n, 6), CAST(n AS BIGINT) FROM t
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(any_value(n) AS BIGINT) FROM f, t
+UNION ALL SELECT 'weighted avg', round(sum(p * sup) / any_value(n), 6), round(sum(r * sup) / any_value(n), 6),
+  round(sum(f * sup) / any_value(n), 6), CAST(any_value(n) AS BIGINT) FROM f, t""")
+def three_class_report(spark, sf):
+    from pyspark.sql import functions as F
+    r = M.classification_report(_three_classes(spark, sf))
+    return r.select("row_name", *[F.round(c, 6).alias(c) for c in ["precision", "recall", "f1"]], "support")
+
+
+@register("three_class_confusion", "M-05",
+          f"""WITH {_THREE} SELECT label, CAST(coalesce(sum(n) FILTER (WHERE prediction = 0), 0) AS BIGINT) AS pred_0,
+  CAST(coalesce(sum(n) FILTER (WHERE prediction = 1), 0) AS BIGINT) AS pred_1,
+  CAST(coalesce(sum(n) FILTER (WHERE prediction = 2), 0) AS BIGINT) AS pred_2 FROM c GROUP BY label""")
+def three_class_confusion(spark, sf):
+    return M.confusion_matrix(_three_classes(spark, sf))
+
+
 @register("classification_report", "M-04",
           f"""WITH {_COUNTS}, k AS (SELECT * FROM (VALUES (0), (1)) v(k)),
 pc AS (SELECT k, coalesce((SELECT sum(n) FROM c WHERE label = k AND prediction = k), 0) AS tp,
@@ -60,7 +114,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ..functions.wordlists import CLASS_NAMES  # noqa: E402
 from ..operators import encode as EN  # noqa: E402
+from ..functions import text as T  # noqa: E402
 from ..operators import explain as X  # noqa: E402
+from ..operators import lexicon as LX  # noqa: E402
 from ..operators import models as ML  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators.reconcile import merge_versions  # noqa: E402
@@ -69,15 +125,20 @@ from ..sources.tables import read_table, versions  # noqa: E402
 from . import sqltext as S  # noqa: E402
 
 
-def labelled_split(spark, sf):
-    """(row_id, headline, label, split): merged versions, exact 80/20.
+def labelled_split(spark, sf, lemmatised=True, stratified=False):
+    """(row_id, headline, label, split): merged versions, exact 80/20, by
+    label if ``stratified``. The models take the cleaned, lemmatised text.
 
     Every fit, count and score reads this table several times; it is
     checkpointed once into the shared checkpoint folder instead of
-    re-running the merge and the range shuffle for each reader."""
+    re-running the merge and the split for each reader."""
     v1, v2 = versions(spark, sf)
     m = merge_versions(v1, v2).select("row_id", "headline", F.col("is_sarcastic").alias("label"))
-    return cut_lineage(SP.random_split(m, 0.2))
+    if lemmatised:
+        tokens = m.select("row_id", T.ws_tokens(T.clean("headline")).alias("toks"))
+        m = m.drop("headline").join(LX.lemmatize(tokens, "row_id", "toks", "headline"), "row_id") \
+            .select("row_id", "headline", "label")
+    return cut_lineage(SP.random_split(m, 0.2, group_cols=["label"] if stratified else []))
 
 
 def fit_pipeline(train, classifier, max_features=None):
@@ -90,9 +151,10 @@ def fit_pipeline(train, classifier, max_features=None):
         train.unpersist()
 
 
-def _fit_score(spark, sf, classifier, max_features=None, with_n=False):
-    data = labelled_split(spark, sf)
+def _fit_score(spark, sf, classifier, max_features=None, with_n=False, stratified=False, fit_rows=None):
+    data = labelled_split(spark, sf, stratified=stratified)
     train = data.filter(F.col("split") == "train")
+    train = fit_rows(train) if fit_rows else train
     clf = classifier(train.count()) if with_n else classifier
     model = fit_pipeline(train, clf, max_features)
     return model, model.transform(data)
@@ -106,16 +168,19 @@ def _split_scores(scored, name):
 
 @register("model_logistic", "L-01 L-07 M-01 M-02 P-01 E-01")
 def model_logistic(spark, sf):
-    """C = 1 (max 1000 iterations) on the 5,000-term TF-IDF, and C = 1e5 uncapped."""
+    """C = 1 (max 1000 iterations) on the 5,000-term TF-IDF, and C = 1e5
+    uncapped after a split by label."""
     _, a = _fit_score(spark, sf, lambda n: ML.logistic_regression(1.0, n, 1000), 5000, with_n=True)
-    _, b = _fit_score(spark, sf, lambda n: ML.logistic_regression(1e5, n, 100), None, with_n=True)
+    _, b = _fit_score(spark, sf, lambda n: ML.logistic_regression(1e5, n, 100), None, with_n=True, stratified=True)
     return _split_scores(a, "lr_c1_capped").unionByName(_split_scores(b, "lr_c1e5"))
 
 
 @register("model_naive_bayes", "L-02 M-01 M-02")
 def model_naive_bayes(spark, sf):
+    """The 5,000-term TF-IDF, and uncapped after a split by label."""
     _, a = _fit_score(spark, sf, ML.naive_bayes(), 5000)
-    return _split_scores(a, "naive_bayes")
+    _, b = _fit_score(spark, sf, ML.naive_bayes(), None, stratified=True)
+    return _split_scores(a, "naive_bayes").unionByName(_split_scores(b, "naive_bayes_uncapped"))
 
 
 @register("model_kernel_svm", "L-03")
@@ -126,7 +191,7 @@ def model_kernel_svm(spark, sf):
 
 @register("model_random_forest", "L-04")
 def model_random_forest(spark, sf):
-    _, a = _fit_score(spark, sf, ML.random_forest(), 5000)
+    _, a = _fit_score(spark, sf, ML.random_forest(), 5000, fit_rows=ML.bounded_fit_rows)
     return _split_scores(a, "random_forest")
 
 
@@ -171,11 +236,10 @@ def model_selection(spark, sf):
 
 @register("word2vec_vectors", "E-05 T-05")
 def word2vec_vectors(spark, sf):
-    from ..functions import text as T
     v1, v2 = versions(spark, sf)
-    m = merge_versions(v1, v2).withColumn("tokens", F.transform(T.word_tokens(T.clean("headline")),
-                                                                 lambda w: F.lower(w)))
-    vec = ML.word_vectors(m, "tokens")
+    m = merge_versions(v1, v2).select("row_id", T.ws_tokens(T.clean("headline")).alias("toks"))
+    lem = LX.lemmatize(m, "row_id", "toks", "lemmatized_headline")
+    vec = ML.word_vectors(lem.select(T.word_tokens("lemmatized_headline").alias("tokens")), "tokens")
     return vec.select("word", F.size(vector_to_array("vector")).alias("dim"))
 
 
@@ -263,7 +327,7 @@ def linear_attributions(spark, sf):
 
 # ---- naive Bayes in relational form (checked against SQL) ----
 
-def _nb_sql() -> str:
+def _nb_ctes() -> str:
     h = "md5(CAST(row_id AS VARCHAR) || '-42')"
     return f"""WITH {S.HEADLINES},
 o AS (SELECT row_id, headline, is_sarcastic AS label, row_number() OVER (ORDER BY {h}, row_id) - 1 AS i,
@@ -286,20 +350,79 @@ th AS (SELECT ncj.label, term, ln((ncj + 1.0) / (nc + 1.0 * v)) AS log_theta FRO
 ll AS (SELECT w.row_id, th.label, sum(w.weight * th.log_theta) AS ll FROM w JOIN th USING (term)
   WHERE w.split = 'test' GROUP BY ALL),
 sc AS (SELECT t.row_id, p.label, p.log_prior + coalesce(ll.ll, 0) AS score FROM (SELECT row_id FROM d WHERE split = 'test') t
-  CROSS JOIN pri p LEFT JOIN ll ON ll.row_id = t.row_id AND ll.label = p.label)
+  CROSS JOIN pri p LEFT JOIN ll ON ll.row_id = t.row_id AND ll.label = p.label)"""
+
+
+def _nb_sql() -> str:
+    return f"""{_nb_ctes()}
 SELECT row_id, CAST(arg_max(label, score * 1e0 - label * 1e-300) AS INTEGER) AS prediction,
   round(max(score) FILTER (WHERE label = 0), 6) AS score_0, round(max(score) FILTER (WHERE label = 1), 6) AS score_1
 FROM sc GROUP BY row_id"""
 
 
-@register("naive_bayes_sql", "L-02 J-05", _nb_sql())
-def naive_bayes_sql(spark, sf):
-    data = labelled_split(spark, sf)
+def _nb_scores(spark, sf):
+    """Scored test rows of the relational NB on the text as it is, with what
+    they were made from: test rows, priors, theta, train and test weights."""
+    data = labelled_split(spark, sf, lemmatised=False)
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
-    idf = EN.tfidf_fit(train, "headline")
-    priors, theta = ML.nb_fit_long(EN.tfidf_apply(train, idf, "headline"), train.select("row_id", "label"),
-                                   idf.select("term"))
-    pred = ML.nb_predict_long(EN.tfidf_apply(test, idf, "headline"), test, priors, theta)
+    # Term counts of both splits feed the fit and the scores.
+    terms = cut_lineage(EN.term_table(data, "headline"))
+    own = train.select("row_id")
+    idf = EN.idf_of(terms.join(own, "row_id", "left_semi"), train.agg(F.count(F.lit(1))).scalar())
+    weights = EN.weights_of(terms, idf)
+    train_w = weights.join(own, "row_id", "left_semi")
+    test_w = weights.join(test.select("row_id"), "row_id", "left_semi")
+    priors, theta = ML.nb_fit_long(train_w, train.select("row_id", "label"), idf.select("term"))
+    return ML.nb_predict_long(test_w, test, priors, theta), test, priors, theta, train_w, test_w, train
+
+
+@register("nb_probabilities", "K-04 M-07", f"""{_nb_ctes()},
+p AS (SELECT row_id, max(score) FILTER (WHERE label = 0) AS s0, max(score) FILTER (WHERE label = 1) AS s1 FROM sc GROUP BY row_id)
+SELECT row_id, round(1 / (1 + exp(s0 - s1)), 6) AS p_1, CASE WHEN 1 / (1 + exp(s0 - s1)) > 0.5 THEN 1 ELSE 0 END AS pred_threshold,
+  CASE WHEN s1 > s0 THEN 1 ELSE 0 END AS pred_argmax FROM p""")
+def nb_probabilities(spark, sf):
+    s = _nb_scores(spark, sf)[0]
+    p1 = 1 / (1 + F.exp(F.col("score_0") - F.col("score_1")))
+    return s.select("row_id", F.round(p1, 6).alias("p_1"), M.threshold(p1).alias("pred_threshold"),
+                    M.argmax(F.array("score_0", "score_1")).alias("pred_argmax"))
+
+
+@register("nb_log_loss", "M-06", f"""{_nb_ctes()},
+p AS (SELECT row_id, max(score) FILTER (WHERE label = 0) AS s0, max(score) FILTER (WHERE label = 1) AS s1 FROM sc GROUP BY row_id),
+q AS (SELECT d.label, CASE WHEN d.label = 1 THEN 1 / (1 + exp(s0 - s1)) ELSE 1 / (1 + exp(s1 - s0)) END AS pl FROM p JOIN d USING (row_id))
+SELECT round(avg(-ln(least(greatest(pl, 1e-15), 1 - 1e-15))), 6) AS log_loss FROM q""")
+def nb_log_loss(spark, sf):
+    s, test, *_ = _nb_scores(spark, sf)
+    gap = F.col("score_0") - F.col("score_1")
+    p = s.withColumn("p", F.array(1 / (1 + F.exp(-gap)), 1 / (1 + F.exp(gap)))).join(test.select("row_id", "label"), "row_id")
+    return M.cross_entropy(p, "label", "p").withColumn("log_loss", F.round("log_loss", 6))
+
+
+@register("nb_attributions", "X-E2 L-02", f"""{_nb_ctes()},
+co AS (SELECT term, max(log_theta) FILTER (WHERE label = 1) - max(log_theta) FILTER (WHERE label = 0) AS coef FROM th GROUP BY term),
+me AS (SELECT term, sum(weight) / (SELECT n FROM nt) AS mean FROM w WHERE split = 'train' GROUP BY term),
+att AS (SELECT w.row_id, w.term, coef * (weight - coalesce(mean, 0)) AS attribution FROM w JOIN co USING (term)
+  LEFT JOIN me USING (term) WHERE w.split = 'test'),
+rk AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(abs(attribution), 9) DESC, term) AS rank FROM att)
+SELECT row_id, CAST(rank AS BIGINT) AS rank, term, round(attribution, 6) AS attribution FROM rk WHERE rank <= 10""")
+def nb_attributions(spark, sf):
+    """Per test row, the ten terms with the largest attribution under the log
+    odds of the relational NB."""
+    _, _, priors, theta, train_w, test_w, train = _nb_scores(spark, sf)
+    d = priors.agg(F.max(F.when(F.col("label") == 0, F.col("log_default"))).alias("d0"),
+                   F.max(F.when(F.col("label") == 1, F.col("log_default"))).alias("d1"))
+    per = theta.groupBy("term").agg(F.max(F.when(F.col("label") == 0, F.col("log_theta"))).alias("t0"),
+                                    F.max(F.when(F.col("label") == 1, F.col("log_theta"))).alias("t1"))
+    coef = per.select("term", (F.coalesce("t1", d.select("d1").scalar())
+                               - F.coalesce("t0", d.select("d0").scalar())).alias("coef"))
+    a = X.linear_attribution(test_w, coef, train_w, train.agg(F.count(F.lit(1))).scalar())
+    return a.select("row_id", F.col("rank").cast("bigint").alias("rank"), "term",
+                    F.round("attribution", 6).alias("attribution"))
+
+
+@register("naive_bayes_sql", "L-02 J-05", _nb_sql())
+def naive_bayes_sql(spark, sf):
+    pred = _nb_scores(spark, sf)[0]
     return pred.select("row_id", F.col("prediction").cast("int").alias("prediction"),
                        F.round("score_0", 6).alias("score_0"), F.round("score_1", 6).alias("score_1"))

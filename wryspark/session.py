@@ -1,14 +1,15 @@
 """Spark session and lineage helpers.
 
-The library never creates machine-local scratch space on a cluster: the
-checkpoint folder comes from ``spark.checkpoint.dir`` when the cluster
-names one; only a local-mode session (tests, bench) gets its own folder.
+The checkpoint folder, where all intermediate data goes, is the one that
+``spark.checkpoint.dir`` names. A session without that setting gets a folder
+of its own below the warehouse, which the driver and the executors share.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,25 +48,18 @@ def get_session(master: str | None = None, app: str = "wryspark",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Point ``SparkContext`` at the shared checkpoint folder.
-
-    Uses ``spark.checkpoint.dir`` when set. Only a local-mode session
-    without that setting gets a fresh folder under the system temp dir.
-    """
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point ``SparkContext`` at the shared checkpoint folder and return it:
+    ``spark.checkpoint.dir`` if set, else a new folder in the warehouse."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="wryspark-ckpt-")
-        sc.setCheckpointDir(path)
-        return path
-    return None
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints/{uuid.uuid4().hex}"
+    sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 _SHIPPED: set[str] = set()
@@ -93,8 +87,7 @@ def ship_package(spark: SparkSession) -> None:
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
-    if ensure_checkpoint_dir(df.sparkSession) is None:
-        raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 

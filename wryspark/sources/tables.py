@@ -27,27 +27,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-# Tables whose rows carry long texts: the per-row regex work is the cost.
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Scan-parallelism guard: when a scan yields fewer splits than the
-    cluster runs tasks at once (e.g. one large Parquet row group), spread
-    the rows round-robin before the CPU-heavy text work. On a large input
-    the scan already has many splits and this adds nothing."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """S-06: Parquet scan of one driver table, optionally pruned; text tables
-    pass the scan-parallelism guard."""
+    """S-06: Parquet scan of one driver table, optionally pruned. Scan tasks
+    follow the files' row groups and ``spark.sql.files.maxPartitionBytes``."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread(df) if name in TEXT_TABLES else df
+    return df.select(*columns) if columns else df
 
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
