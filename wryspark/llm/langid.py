@@ -134,8 +134,9 @@ def fit(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", pl
     sizes = train.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_lang").limit(max_languages)
     drawn = F.pmod(F.xxhash64(F.lit(5), "_text"), F.lit(1 << 30)) / (1 << 30)
     first = Window.partitionBy("_lang").orderBy(F.xxhash64(F.lit(5), "_text"), "_text")
+    # Copies of a text have one hash and are drawn together; one of them is enough.
     sample = (train.join(F.broadcast(sizes), "_lang").filter(drawn < 1.5 * rows_per_language / F.col("_n"))
-              .withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= rows_per_language)
+              .dropDuplicates(["_lang", "_text"]).withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= rows_per_language)
               .select("_lang", "_text"))
 
     def centre(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
