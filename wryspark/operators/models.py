@@ -56,10 +56,11 @@ class RandomFourierFeatures(Estimator, HasInputCol, HasOutputCol):
         self.num_features, self.seed = numFeatures, seed
 
     def _fit(self, dataset):
-        arr = vector_to_array(F.col(self.getInputCol()))
-        stats = dataset.select(F.size(arr).alias("d"),
-                               F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("s"),
-                               F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x).alias("s2")) \
+        # Only stored entries are read; the others are zero and add nothing.
+        parts = F.unwrap_udt(F.col(self.getInputCol()))
+        stats = dataset.select(F.coalesce(parts["size"], F.size(parts["values"])).alias("d"),
+                               F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x).alias("s"),
+                               F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x * x).alias("s2")) \
             .agg(F.max("d").alias("d"), F.sum("s").alias("s"), F.sum("s2").alias("s2"),
                  F.count(F.lit(1)).alias("n")).first()
         cells = stats["n"] * stats["d"]
@@ -79,16 +80,16 @@ class RandomFourierModel(Model, HasInputCol, HasOutputCol):
         dim, D, gamma, seed = self.dim, self.num_features, self.gamma, self.seed
 
         @F.pandas_udf(Ty.ArrayType(Ty.DoubleType()))
-        def rff(xs: pd.Series) -> pd.Series:
+        def rff(indices: pd.Series, values: pd.Series) -> pd.Series:
             rng = np.random.default_rng(seed)
             w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, D))
             b = rng.uniform(0.0, 2 * np.pi, size=D)
-            x = np.stack([np.asarray(v, dtype=float) for v in xs]) if len(xs) else np.zeros((0, dim))
-            z = np.sqrt(2.0 / D) * np.cos(x @ w + b)
-            return pd.Series(list(z))
+            # A sparse row multiplies only the rows of W that it has entries for.
+            return pd.Series([np.sqrt(2.0 / D) * np.cos(np.asarray(v) @ (w if i is None else w[np.asarray(i)]) + b)
+                              for i, v in zip(indices, values)])
 
-        return dataset.withColumn(self.getOutputCol(),
-                                  array_to_vector(rff(vector_to_array(F.col(self.getInputCol())))))
+        parts = F.unwrap_udt(F.col(self.getInputCol()))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(rff(parts["indices"], parts["values"])))
 
 
 def kernel_svm(label_col: str = "label", num_features: int = 300, seed: int = 42):
