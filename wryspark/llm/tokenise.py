@@ -1,74 +1,96 @@
 """Token ids by the tokenizers library, with a cache of words.
 
-The two vocabularies used here never build a token across a place where a
-single space stands between two other characters, so a text is cut there and
-each piece (the space goes with the piece after it) is encoded once per cache.
-A text that has two white-space characters in a row, or one of the
-tokenizer's special strings, is encoded as a whole.
+The vocabularies used here never build a token across a place where a single
+space stands between two other characters, so a text is cut there and each
+piece (the space goes with the piece after it) is encoded once per cache. A
+text with white space on either side of such a cut is encoded as a whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
-
-from .common import slices
-
-_DOUBLE = re.compile(r"\s\s|^\s|\s$")
+from array import array
+
+#: Words of Latin-1 letters: composed already, and lower-cased one by one.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves,
+    the others for the characters from U+0100 on, in order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in own else next(others)) for b in range(256)}
+
+
+class _Uncut(Exception):
+    """The text can't be cut into words."""
+
+
+class _Words(dict):
+    """Ids of words that have a space before them; unknown ones are encoded
+    when they are first asked for."""
+
+    def __init__(self, tokenizer, whole):
+        super().__init__()
+        self.whole, self.merge = whole, tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.lower = whole("A") == whole("a")
+        self.marks = {m: whole(m) for m in ".,;:!?"}
+        # Is the space before a word part of its first token?
+        self.space = self.letters[32] if whole(" a") != whole("a") else ""
+
+    def __missing__(self, word: str) -> bytes:
+        """A letters-only word with one mark at its end is the word's ids and
+        the mark's. A word of plain letters is one piece for the vocabulary's
+        merges, in the byte-level alphabet; a vocabulary without upper case
+        takes it in lower case. Other words take the library's whole path."""
+        if _PLAIN.fullmatch(word):
+            key = word.lower() if self.lower else word
+            if key is not word and key in self:
+                ids = self[key]
+            else:
+                piece = key if key.isascii() else "".join(map(self.letters.__getitem__, key.encode()))
+                ids = array("I", [t.id for t in self.merge(self.space + piece)]).tobytes()
+        elif word[-1:] in self.marks and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.marks[word[-1]]
+        elif not word or word[0].isspace() or word[-1].isspace():
+            raise _Uncut
+        else:
+            ids = self.whole(" " + word)
+        self[word] = ids
+        return ids
 
 
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids. ``cache_words``
     bounds the cache; when it is full it starts anew (it may pass the bound by
-    the words of about a megabyte of text)."""
+    one text's words)."""
 
     def __init__(self, path: str, cache_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_words = cache_words
-        self.cache: dict[str, bytes] = {}
-        self.lower = self.whole("A") == self.whole("a")
-        self.marks = {m: self.whole(m) for m in (*".,;:!?", "")}
+        self.words = _Words(self.tokenizer, self.whole)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words. A letters-only word with one mark at its end is
-        the word's ids and the mark's, so only the bare word is encoded; a
-        vocabulary without upper case encodes ASCII words in lower case."""
-        parts = []
-        for w in words:
-            body, mark = (w[:-1], w[-1]) if w[-1:] in self.marks and w[:-1].isalpha() else (w, "")
-            if self.lower and body.isascii():
-                body = body.lower()
-            parts.append((w, body, mark))
-        cache = self.cache
-        new = list(dict.fromkeys(body for _, body, _ in parts if body not in cache))
-        batch = self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, batch))
-        cache.update((w, cache[body] + self.marks[mark]) for w, body, mark in parts)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def one(self, text: str) -> bytes:
+        if len(self.words) > self.cache_words:
+            self.words.clear()
+        first, *rest = text.split(" ")
+        if first[-1:].isspace():
+            return self.whole(text)
+        try:
+            return self.whole(first) + b"".join(map(self.words.__getitem__, rest))
+        except _Uncut:
+            return self.whole(text)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at, to in slices(list(map(len, texts)), 1 << 20):
-            words = [None if _DOUBLE.search(t) or any(s in t for s in self.special) else t.split(" ")
-                     for t in texts[at:to]]
-            known = self.cache
-            new = {w for ws in words if ws for w in ws[1:] if w not in known}
-            if new:
-                if len(known) + 2 * len(new) > self.cache_words:
-                    known.clear()
-                    new = {w for ws in words if ws for w in ws[1:]}
-                self._learn(list(new))
-            for text, ws in zip(texts[at:to], words):
-                out.append(self.whole(text) if ws is None else
-                           self.whole(ws[0]) + b"".join([known[w] for w in ws[1:]]))
-        return out
+        return [self.one(t) for t in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
