@@ -73,12 +73,13 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, path: str, end_id: i
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a token table with ``start``, the number of ids before the
-    row in the whole table. Its order over files needs one row per file."""
+    row in the whole table. That takes one row of three numbers per file,
+    which is broadcast: the driver lists these files to plan the scan anyway."""
     rows = spark.read.parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = (rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))))
-    return (rows.join(files, "part").withColumn("start", F.col("start_in_part") + F.col("_before"))
+    return (rows.join(F.broadcast(files), "part").withColumn("start", F.col("start_in_part") + F.col("_before"))
             .drop("_n", "_before"))
 
 
