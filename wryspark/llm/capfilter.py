@@ -126,8 +126,13 @@ def _meet(home: dict, look: dict, threshold: float) -> tuple[np.ndarray, np.ndar
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                 threshold: float = 0.98, slack: float = 0.13, block_rows: int = 512) -> DataFrame:
-    """``(id, n_links, component_id, kept)`` for every row."""
+                 threshold: float = 0.98, slack: float = 0.13, block_rows: int = 512,
+                 broadcast_rows: int = 200_000) -> DataFrame:
+    """``(id, n_links, component_id, kept)`` for every row.
+
+    The crowded directions are counted; up to ``broadcast_rows`` of them are
+    broadcast, so that the filed vectors are shuffled once, and more are
+    joined by shuffle."""
     rows = vectors.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"),
                           F.col(label_col).alias("_label"))
     odd = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -141,6 +146,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     n = classes.count()
     # As many directions as there are groups of sixteen vectors.
     per_block = max(4, int(np.ceil((n / 16) ** 0.25)))
+    # Numbers that came as floats travel as floats.
+    single = "float" in dict(vectors.dtypes)[vector_col]
 
     def groups_of(batch: pa.RecordBatch):
         lists = batch.column("_v")
@@ -167,9 +174,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                     row, word = row[order], word[order]
                     edge = np.searchsorted(row, np.arange(len(pick) + 1))
                     home = word == best[row]
-                    looks = [np.sort(word[edge[r]:edge[r + 1]]).astype("<i8").tobytes() if h else None
+                    looks = [word[edge[r]:edge[r + 1]].astype("<i8").tobytes() if h else None
                              for r, h in zip(row, home)]
-                    raw = [x.astype("<f8").tobytes() for x in v]
+                    raw = [x.tobytes() for x in v.astype("<f4" if single else "<f8")]
                     at = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("_label").take(at), pa.array(np.full(len(row), length, np.int32)), pa.array(word),
@@ -180,42 +187,58 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     kind = classes.schema["_label"].dataType.simpleString()
     key = ["_label", "_length", "_word"]
     crowded = (classes.select("_label", "_v").mapInArrow(stored, f"_label {kind}, _length int, _word bigint")
-               .groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")).filter("_blocks > 1"))
+               .groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
+               .filter("_blocks > 1").checkpoint())
+    if crowded.count() <= broadcast_rows:
+        crowded = F.broadcast(crowded)
     filed = classes.select("_label", "_v", "_rep", "_count").mapInArrow(
         decoded, f"_label {kind}, _length int, _word bigint, _rep bigint, _count bigint, _home bigint, _raw binary, _looks binary")
     blocks = F.coalesce("_blocks", F.lit(1))
     filed = filed.join(crowded, key, "left").withColumn("_block", F.pmod(F.xxhash64("_rep"), blocks).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    fields = ["_rep", "_count", "_home", "_raw", "_looks"]
-    # Stored vectors meet every block of looking ones and the other way round.
-    dealt = (filed.filter(F.col("_looks").isNotNull()).select(*key, *fields, F.lit(True).alias("_stored"),
-                                                              F.col("_block").alias("_i"), every.alias("_j"))
-             .unionByName(filed.withColumn("_looks", F.lit(None).cast("binary")).select(
-                 *key, *fields, F.lit(False).alias("_stored"), F.col("_block").alias("_j"), every.alias("_i"))))
-    met = dealt.groupBy(*key, "_i", "_j").agg(F.collect_list(F.struct(*fields, "_stored")).alias("_rows"),
-                                              F.max("_stored").alias("_any"), F.count(F.lit(1)).alias("_m"))
+    # A stored vector meets every block of looking ones, and the other way
+    # round; a vector stored here looks here too.
+    meets = F.sequence(F.lit(0), blocks - 1)
+    as_stored = F.when(F.col("_looks").isNotNull(), F.transform(meets, lambda j: F.struct(
+        F.lit(True).alias("_stored"), F.col("_block").alias("_i"), j.alias("_j"))))
+    as_looking = F.transform(meets, lambda i: F.struct(F.lit(False).alias("_stored"), i.alias("_i"), F.col("_block").alias("_j")))
+    none = F.array().cast("array<struct<_stored:boolean,_i:int,_j:int>>")
+    dealt = filed.withColumn("_m", F.explode(F.concat(F.coalesce(as_stored, none), as_looking))).select(
+        F.xxhash64(*key, "_m._i", "_m._j").alias("_g"), F.xxhash64(F.lit(2), "_m._j", "_m._i", *key).alias("_h"),
+        "_m._stored", "_rep", "_count", "_home", "_raw", F.when(F.col("_m._stored"), F.col("_looks")).alias("_looks"))
+    met = dealt.repartition("_g", "_h").sortWithinPartitions("_g", "_h")
+
+    def side(part: pa.Table, is_stored: bool) -> dict:
+        raw = part.column("_raw").to_pylist()
+        return {"id": part.column("_rep").to_numpy(), "count": part.column("_count").to_numpy(),
+                "home": part.column("_home").to_numpy(),
+                "vec": np.stack([np.frombuffer(x, "<f4" if single else "<f8") for x in raw]).astype(float),
+                "looks": [np.frombuffer(x, "<i8") for x in part.column("_looks").to_pylist()] if is_stored else None}
+
+    def meet(group: pa.Table):
+        is_stored = group.column("_stored").to_numpy()
+        if len(group) > 1 and is_stored.any() and not is_stored.all():
+            yield _meet(side(group.filter(pa.array(is_stored)), True), side(group.filter(pa.array(~is_stored)), False),
+                        threshold)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come one after the other; one may go on in the next batch."""
+        held: pa.Table | None = None
         for batch in batches:
-            found = []
-            for k in range(batch.num_rows):
-                members = batch.column("_rows")[k].as_py()
-                sides = []
-                for stored_side in (True, False):
-                    side = [m for m in members if m["_stored"] == stored_side]
-                    sides.append({
-                        "id": np.array([m["_rep"] for m in side], np.int64),
-                        "count": np.array([m["_count"] for m in side], np.int64),
-                        "home": np.array([m["_home"] for m in side], np.int64),
-                        "vec": np.array([np.frombuffer(m["_raw"], "<f8") for m in side]),
-                        "looks": [np.frombuffer(m["_looks"], "<i8") for m in side] if stored_side else None})
-                if all(len(s["id"]) for s in sides):
-                    found.append(_meet(*sides, threshold))
-            columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_rep", "_links", "_to"])
-
-    linked = (met.filter("_any and _m > 1").select("_rows")
-              .mapInArrow(link, "_rep bigint, _links bigint, _to bigint").checkpoint())
+            now = pa.Table.from_batches([batch])
+            now = now if held is None else pa.concat_tables([held, now]).combine_chunks()
+            g, h = now.column("_g").to_numpy(), now.column("_h").to_numpy()
+            edge = np.r_[0, np.flatnonzero((g[1:] != g[:-1]) | (h[1:] != h[:-1])) + 1]
+            found = [x for a, b in zip(edge[:-1], edge[1:]) for x in meet(now.slice(a, b - a))]
+            held = now.slice(edge[-1])
+            yield answer(found)
+        if held is not None:
+            yield answer(list(meet(held)))
+
+    def answer(found: list) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_rep", "_links", "_to"])
+
+    linked = met.mapInArrow(link, "_rep bigint, _links bigint, _to bigint").checkpoint()
     joined = components(linked, "_rep", "_to")
     numbers = linked.groupBy("_rep").agg(F.sum("_links").alias("_links"))
     summed = (classes.select("_a", "_b", "_rep", "_count").join(numbers, "_rep", "left")
