@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
@@ -77,10 +77,12 @@ _PACKED = "_id {}, piece int, start bigint, length bigint, ids binary, _bin bigi
 
 def pack(documents: DataFrame, tokenizer_path: str, path: str, capacity: int = 2048, end_id: int = 0,
          open_bins: int = 512, id_col: str = "doc_id", text_col: str = "text", refill_below: float = 0.95,
-         bins_per_task: int = 50_000) -> DataFrame:
-    """One row per piece: id, piece, start, length, ``ids`` (little-endian
-    unsigned 32-bit), sequence_id, offset. The pieces with their ids are
-    written once, as Parquet, to ``path`` in the shared folder."""
+         bins_per_task: int = 50_000, carry: tuple[Column | str, ...] = ("ids",)) -> DataFrame:
+    """One row per piece: id, piece, start, length, sequence_id, offset and
+    ``carry``, columns over the piece's ``ids`` (little-endian unsigned
+    32-bit), made before the pieces are joined with their bins' new places.
+    The pieces with their ids are written once, as Parquet, to ``path`` in the
+    shared folder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins = encoder(tokenizer_path), OpenBins(capacity, open_bins)
         base, end = TaskContext.get().partitionId() * _STRIDE, np.array([end_id], "<u4").tobytes()
@@ -104,8 +106,10 @@ def pack(documents: DataFrame, tokenizer_path: str, path: str, capacity: int = 2
     rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(schema).parquet(path)
     moved = _refill(pieces, capacity, open_bins, refill_below, bins_per_task)
-    return (pieces.join(moved, "_bin", "left")
-            .select(F.col("_id").alias(id_col), "piece", "start", "length", "ids",
+    carried = [F.col(c) if isinstance(c, str) else c for c in carry]
+    rows = pieces.select("_id", "piece", "start", "length", "_bin", "offset", F.struct(*carried).alias("_carried"))
+    return (rows.join(moved, "_bin", "left")
+            .select(F.col("_id").alias(id_col), "piece", "start", "length", "_carried.*",
                     F.coalesce("_to", "_bin").alias("sequence_id"),
                     (F.col("offset") + F.coalesce("_shift", F.lit(0))).alias("offset")))
 

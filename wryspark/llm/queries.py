@@ -77,8 +77,8 @@ def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"),
-                        shared_path(spark, "packed"))
-    return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+                        shared_path(spark, "packed"), carry=(F.crc32("ids").alias("ids_crc32"),))
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
