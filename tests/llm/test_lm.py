@@ -71,8 +71,8 @@ def corpus(n, seed):
 
 @pytest.mark.parametrize("order", [2, 3])
 def test_scores_equal_the_formulas(spark, order):
-    train = corpus(80, 1) + ["", None, "one", "a\tb\x0bc  d\n", "é É x y z"] + ["copied text of five words"] * 7
-    other = corpus(20, 2) + [None, "", "never seen words", "copied text of five words", "x " * 3000]
+    train = corpus(80, 1) + ["zz " * 600, "", None, "one", "a\tb\x0bc  d\n", "é É x y z"] + ["copied text of five words"] * 7
+    other = corpus(20, 2) + [None, "", "never seen words", "copied text of five words", "x " * 3000, "zz zz"]
     df = spark.createDataFrame([(t, 0) for t in train], "text string, score int").repartition(3)
     model = lm.fit(df, shared_path(spark, "lm"), order=order, shard_bytes=500, flush=200)
     ref = Reference(train, order)
