@@ -8,7 +8,10 @@ spans of all texts are hashed (128 bits over their lower-cased words) and
 joined globally. A span's first occurrence is the one in the smallest
 document, at the smallest place; units covered by any other occurrence are
 removed, together with the white space after them. Any passage that repeats
-on unit boundaries and has ``min_words + 2 * unit_words`` words is hit.
+on unit boundaries and has ``min_words + 2 * unit_words`` words is hit. What
+repeats inside a text is found there: a text sends each different span once,
+with its other places, so a text that repeats itself weighs no more than any
+other in the join.
 
 Documents are told apart by their id (null counts as the smallest) and, if ids
 repeat, by a hash of the text. Rows that repeat both are one document and all
@@ -69,6 +72,20 @@ def _spans(words: Words, unit: np.ndarray, first: np.ndarray, min_units: int, mi
     return start, end, *keys
 
 
+def _once(owner: np.ndarray, start: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """The first of equal spans of a text, and the others' (start, length)
+    pairs, as bytes, or None."""
+    order = np.lexsort((start, b, a, owner))
+    new = np.ones(len(order), bool)
+    for v in (owner, a, b):
+        new[1:] &= v[order][1:] == v[order][:-1]
+    new[1:] = ~new[1:]
+    at = np.flatnonzero(new)
+    size = np.diff(np.r_[at, len(order)])
+    pairs = np.c_[start, end - start][order].astype("<i4")
+    return order[at], [pairs[x + 1:x + n].tobytes() if n > 1 else None for x, n in zip(at.tolist(), size.tolist())]
+
+
 def _rows_of(batch: pa.RecordBatch, unit_words: int, min_units: int, min_words: int):
     texts = texts_of(batch, "_text")
     for at, to in slices(list(map(len, texts)), _SLICE):
@@ -97,27 +114,31 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             tags = batch.column("_tag").to_numpy()
             for at, to, _, unit, first, (start, end, a, b) in _rows_of(batch, unit_words, min_units, min_words):
                 owner = np.searchsorted(first, start, side="right") - 1
+                place = start - first[owner]
+                one, more = _once(owner, place, place + end - start, a, b)
+                owner = owner[one]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                     batch.column("_id").take(pa.array(at + owner)),
-                     pa.array(tags[at + owner] + start - first[owner]), pa.array((end - start).astype(np.int32))],
-                    ["_a", "_b", "_id", "_at", "_len"])
+                    [pa.array(a[one].view(np.int64)), pa.array(b[one].view(np.int64)),
+                     batch.column("_id").take(pa.array(at + owner)), pa.array(tags[at + owner] + place[one]),
+                     pa.array((end - start)[one].astype(np.int32)), pa.array(more, pa.binary())],
+                    ["_a", "_b", "_id", "_at", "_len", "_more"])
 
     spans = docs.select("_id", "_text", _tag().alias("_tag")).mapInArrow(
-        hashed, f"_a bigint, _b bigint, _id {id_type}, _at bigint, _len int")
+        hashed, f"_a bigint, _b bigint, _id {id_type}, _at bigint, _len int, _more binary")
     firsts = (spans.groupBy("_a", "_b")
-              .agg(F.min(F.struct("_id", "_at")).alias("_first"), F.count(F.lit(1)).alias("_n"))
-              .filter("_n > 1").select("_a", "_b", "_first"))
-    later = (spans.join(firsts, ["_a", "_b"])
-             .filter(~(F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_at") == F.col("_first._at")))))
+              .agg(F.min(F.struct("_id", "_at")).alias("_first"), F.count(F.lit(1)).alias("_n"),
+                   F.max(F.col("_more").isNotNull()).alias("_again"))
+              .filter("_n > 1 or _again").select("_a", "_b", "_first"))
+    is_first = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_at") == F.col("_first._at"))
+    later = spans.join(firsts, ["_a", "_b"]).filter(~is_first | F.col("_more").isNotNull())
+    own = F.when(~is_first, F.struct((F.col("_at") % _POSITIONS).cast("int").alias("at"), F.col("_len").alias("len")))
     # One row per document that loses something; its size is bounded by the text's.
-    covered = (later.select("_id", F.floor(F.col("_at") / _POSITIONS).alias("_text_tag"),
-                            F.struct(F.col("_at") % _POSITIONS, "_len").alias("_span"))
-               .groupBy("_id", "_text_tag").agg(F.collect_set("_span").alias("_spans")))
+    covered = (later.select("_id", F.floor(F.col("_at") / _POSITIONS).alias("_text_tag"), own.alias("_span"), "_more")
+               .groupBy("_id", "_text_tag").agg(F.collect_set("_span").alias("_spans"), F.collect_list("_more").alias("_more")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone = texts_of(batch, "_text"), batch.column("_spans").to_pylist()
+            texts, gone, more = (texts_of(batch, "_text"), *(batch.column(c).to_pylist() for c in ("_spans", "_more")))
             kept, n_units, n_gone, words_gone = list(texts), [0] * len(texts), [0] * len(texts), [0] * len(texts)
             for at, to in slices(list(map(len, texts)), _SLICE):
                 words = Words(texts[at:to])
@@ -126,12 +147,12 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                 for i in range(at, to):
                     u = unit[first[i - at]:first[i - at + 1]]
                     n_units[i] = len(u)
-                    if gone[i]:
+                    if gone[i] or more[i]:
+                        pairs = np.array([tuple(s.values()) for s in gone[i]], "<i4").reshape(-1, 2)
+                        pairs = np.r_[pairs, np.frombuffer(b"".join(more[i]), "<i4").reshape(-1, 2)]
                         out = np.zeros(len(u) + 1, np.int64)
-                        for s in gone[i]:
-                            p, length = s.values()
-                            out[p] += 1
-                            out[p + length] -= 1
+                        np.add.at(out, pairs[:, 0], 1)
+                        np.add.at(out, pairs.sum(1), -1)
                         out = np.cumsum(out[:-1]) > 0
                         # A unit's bytes: from its first word to the next unit's, the text's ends included.
                         edges = np.r_[0, words.start[u[1:]] - offset, len(texts[i])]
@@ -150,7 +171,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = (docs.withColumn("_text_tag", F.floor(_tag() / _POSITIONS)).alias("d")
               .join(covered.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id"))
                     & (F.col("d._text_tag") == F.col("c._text_tag")), "left")
-              .select("d._id", "d._text", "c._spans", *(f"d.{c}" for c in carried)))
+              .select("d._id", "d._text", "c._spans", "c._more", *(f"d.{c}" for c in carried)))
     out = joined.mapInArrow(cut, StructType(
         [docs.schema["_id"], StructField("_text", StringType()), StructField("n_units", IntegerType()),
          StructField("n_removed", IntegerType()), StructField("removed_words", LongType()),
