@@ -68,7 +68,7 @@ class WordEncoder:
     bounds the cache; when it is full it starts anew (it may pass the bound by
     one text's words)."""
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
+    def __init__(self, path: str, cache_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
