@@ -81,7 +81,9 @@ def test_no_pages(spark):
     assert warc.read(spark, normal, warc.normalise(spark, warc.write(marked, raw), raw, normal)).count() == 0
 
 
-def test_least_size_of_revisits(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_least_size_of_revisits(spark, broadcast_rows):
     df = spark.createDataFrame([(1, "short"), (2, "short"), (3, "longer text"), (4, "longer text")], "page_id long, html string")
-    got = {r.page_id: r.refers_to for r in warc.mark_revisits(df, "page_id", "html", min_bytes=6).collect()}
+    got = {r.page_id: r.refers_to for r in warc.mark_revisits(df, "page_id", "html", min_bytes=6,
+                                                                   broadcast_rows=broadcast_rows).collect()}
     assert got == {1: None, 2: None, 3: None, 4: 3}

@@ -53,17 +53,24 @@ def base32_sha1(payload: Column) -> Column:
                       for v in groups for i in range(8)])
 
 
-def mark_revisits(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 0) -> DataFrame:
+def mark_revisits(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 0,
+                  broadcast_rows: int = 200_000) -> DataFrame:
     """The rows with ``payload_digest``, ``payload_bytes``, ``record_type``
     and ``refers_to``: of records with equal payloads of at least
     ``min_bytes`` bytes, those with the smallest id are responses (the null id
     is the largest), the others revisit it. Rows that repeat the smallest id
-    are all responses."""
+    are all responses.
+
+    Payloads that occur more than once are counted; up to ``broadcast_rows``
+    of their digests are broadcast, so that no payload is shuffled, and more
+    are joined by shuffle."""
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
     rows = pages.withColumn("payload_digest", base32_sha1(payload)).withColumn(
         "payload_bytes", F.octet_length(payload).cast("bigint"))
     firsts = (rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
-              .agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+              .agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").checkpoint())
+    if firsts.count() <= broadcast_rows:
+        firsts = F.broadcast(firsts)
     rows = rows.join(firsts, ["payload_digest", "payload_bytes"], "left")
     again = F.col("_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("_first"))
     return rows.select(*pages.columns, "payload_digest", "payload_bytes",
