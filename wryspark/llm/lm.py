@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 from .common import slices, texts_of
 from .wordhash import Words, mix
 
-_SLICE = 2 << 20
+_SLICE = 1 << 20
+#: Counts from here on stand in a table of their own; the others take a byte.
+_LARGE = 255
 _END = np.uint64(0x2545F4914F6CDD1D)
 _BEGIN = np.uint64(0x9FB21C651E98DF25)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -235,7 +237,10 @@ def _reduce(model: NgramModel, k: int):
             gram = _join(*keys) if k > 1 else keys[0]
             order = np.argsort(gram)
             if k > 1:
-                _save(uri, f"g{k}-{shard}", [gram[order], adjusted[order].astype("<u4")])
+                ordered = adjusted[order]
+                large = np.flatnonzero(ordered >= _LARGE)
+                _save(uri, f"g{k}-{shard}", [gram[order], np.minimum(ordered, _LARGE).astype("u1")])
+                _save(uri, f"large{k}-{shard}", [gram[order][large], ordered[large].astype("<u8")])
             else:
                 _save(uri, f"g1-{shard}", [gram[order], adjusted[order].astype("<u8"), plain[order].astype("<u8")])
             stat = [len(gram), int(adjusted.sum()), int(plain.sum()), *_count_of_counts(adjusted)]
@@ -266,7 +271,7 @@ def _reduce(model: NgramModel, k: int):
 
 
 def fit(documents: DataFrame, uri: str, text_col: str = "text", order: int = 2, shard_bytes: int = 32 << 20,
-        flush: int = 3_000_000) -> NgramModel:
+        flush: int = 2_000_000) -> NgramModel:
     """Count the model of ``documents`` into the shared folder ``uri``. One
     shard of each order holds the n-grams of about ``shard_bytes`` of text."""
     texts = documents.select(F.col(text_col).alias("_text"))
@@ -366,7 +371,10 @@ def _probabilities(model: NgramModel, arrays: _Arrays, t: _Tokens) -> tuple[np.n
         free = np.where(total > 0, (d[0] * n1 + d[1] * n2 + d[2] * n3) / seen, 1.0)
         gram, first, same = np.unique(_join(contexts[k - 1][use], t.token[use]), return_index=True, return_inverse=True)
         c, w = contexts[k - 1][use][first], t.token[use][first]
-        counts, = arrays.find(f"g{k}", _gram_shard(c, w, model.shards), gram, ("<u8", "<u4"))
+        shard = _gram_shard(c, w, model.shards)
+        counts, = arrays.find(f"g{k}", shard, gram, ("<u8", "u1"))
+        large = np.flatnonzero(counts == _LARGE)
+        counts[large], = arrays.find(f"large{k}", shard[large], gram[large], ("<u8", "<u8"))
         p[use] = _discount(counts, d)[same] / seen[of] + free[of] * p[use]
     return p, plain
 
