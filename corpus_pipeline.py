@@ -38,7 +38,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Takes repeated sentence spans out of the texts; no document goes."""
     _ready(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = spans.remove_repeats(docs, carry=tuple(others))
+    found = spans.remove_repeats(docs, carry=tuple(others), by_words=True)
 
     def column(c: str):
         if c in ("doc_id", "text"):

@@ -90,3 +90,51 @@ def test_empty_table_and_carried_columns(spark):
     df = spark.createDataFrame([(1, "t", "src", 5)], "doc_id long, text string, n_removed string, carried int")
     r = spans.remove_repeats(df, carry=("n_removed", "carried")).first()
     assert r.text == "t" and r.n_removed == 0 and tuple(r.carried) == ("src", 5)
+
+
+def test_a_passage_between_random_words_goes_wherever_it_stands(spark):
+    rng = random.Random(7)
+    line = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    docs, least = [], []
+    for i in range(120):
+        passage = line(rng.choice([51, 60, 100]))
+        if i % 2:
+            for at in range(rng.randint(0, 8), len(passage), rng.randint(4, 25)):
+                passage[at] += rng.choice(".!?")
+        for _ in range(2):
+            docs.append((len(docs), " ".join([*line(rng.randint(0, 40)), *passage, *line(rng.randint(0, 40))])))
+        least.append(len(passage))
+    by = {r.doc_id: r for r in run(spark, docs, by_words=True)}
+    assert all(by[2 * i].n_removed == 0 for i in range(120))
+    gone = [by[2 * i + 1].removed_words for i in range(120)]
+    assert all(0 < g <= n for g, n in zip(gone, least))
+    assert sum(gone) >= 0.6 * sum(least)
+
+
+def units_by_words(text, unit_words):
+    """Byte starts of the units that depend on words, window by window."""
+    words = spans.Words([text.encode()])
+    h = [int(x) for x in words.hashes()]
+    whole = [start for start, _ in units_of(text, 10 ** 9)]
+    starts = [int(x) for x in words.start]
+    out, edges = set(whole), [*(starts.index(s) for s in whole), len(starts)]
+    for a, b in zip(edges, edges[1:]):
+        key = [int(spans.mix(spans.np.array([(h[i] * int(spans._PAIR) + (h[i + 1] if i + 1 < b else 0)) % 2 ** 64],
+                                            spans.np.uint64))[0]) for i in range(a, b)]
+        if b - a > unit_words:
+            for at in range(b - a - unit_words + 1):
+                out.add(starts[a + min(range(at, at + unit_words), key=lambda k: (key[k], -k))])
+    return sorted(out)
+
+
+def test_units_by_words_against_windows(spark):
+    rng = random.Random(8)
+    texts = [" ".join(sentences(rng, rng.randint(0, 12))) for _ in range(40)] + ["a " * 50, "x. " * 30, ""]
+    for text in texts:
+        words = spans.Words([text.encode()])
+        unit, _ = spans._units(words, 12, True)
+        assert words.start[unit].tolist() == units_by_words(text, 12)
+        assert (spans.np.diff(spans.np.r_[unit, len(words.start)]) <= 12).all()
+    together = spans.Words([t.encode() for t in texts])
+    unit, first = spans._units(together, 12, True)
+    assert spans.np.diff(first).tolist() == [len(units_by_words(t, 12)) for t in texts]

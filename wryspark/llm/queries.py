@@ -49,7 +49,7 @@ def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return spans.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), by_words=True)
 
 
 @query

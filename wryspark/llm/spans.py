@@ -1,14 +1,22 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into units: sentences (ended by . ! or ? before white space, or
-by a line break), of which those over ``unit_words`` words are cut again every
-``unit_words`` words. From every unit a span starts: the shortest run of at
+by a line break), of which those over ``unit_words`` words are cut again: with
+``by_words`` before the word of every ``unit_words`` consecutive ones whose
+hash, taken together with the next word's, is smallest (the last of equal
+ones), else every ``unit_words`` words. From every unit a span starts: the shortest run of at
 least ``min_units`` consecutive units with at least ``min_words`` words. All
 spans of all texts are hashed (128 bits over their lower-cased words) and
 joined globally. A span's first occurrence is the one in the smallest
 document, at the smallest place; units covered by any other occurrence are
-removed, together with the white space after them. Any passage that repeats
-on unit boundaries and has ``min_words + 2 * unit_words`` words is hit. What
+removed, together with the white space after them.
+
+With ``by_words`` the cuts depend on nothing but nearby words and no unit has
+more than ``unit_words``, so two copies of a passage, wherever they stand in
+their sentences and with or without punctuation, fall in step within
+``unit_words`` words of its start and stay so until as many plus one before its
+end. With the usual 12, 3 and 20 any passage of 49 words is hit. Without it a
+passage is only hit if its copies stand on the same unit boundaries. What
 repeats inside a text is found there: a text sends each different span once,
 with its other places, so a text that repeats itself weighs no more than any
 other in the join.
@@ -37,9 +45,26 @@ _STOP[list(b".!?")] = True
 _SLICE = 2 << 20
 #: Positions take the low half of an occurrence's number, the text's tag the high one.
 _POSITIONS = 1 << 32
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _units(words: Words, unit_words: int) -> tuple[np.ndarray, np.ndarray]:
+def _smallest(words: Words, new: np.ndarray, place: np.ndarray, size: np.ndarray, unit_words: int) -> np.ndarray:
+    """In sentences over ``unit_words`` words, the words with the smallest hash
+    of a pair in any window of that many words."""
+    h = words.hashes()
+    follow = np.r_[h[1:], np.uint64(0)]
+    follow[np.r_[new[1:], True]] = 0
+    pair = mix(h * _PAIR + follow)
+    window = np.flatnonzero((size > unit_words) & (size - place >= unit_words))
+    at, least = window.copy(), pair[window]
+    for k in range(1, unit_words):
+        value = pair[window + k]
+        lower = value <= least
+        least[lower], at[lower] = value[lower], window[lower] + k
+    return at
+
+
+def _units(words: Words, unit_words: int, by_words: bool) -> tuple[np.ndarray, np.ndarray]:
     """First word of each unit, and for each text its first unit."""
     n = len(words.start)
     if not n:
@@ -51,7 +76,12 @@ def _units(words: Words, unit_words: int) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = _STOP[words.data[words.end[:-1] - 1]] | (breaks[words.start[1:]] > breaks[words.end[:-1]])
     sentence = np.flatnonzero(new)
     place = np.arange(n) - sentence[np.cumsum(new) - 1]
-    unit = np.flatnonzero(place % unit_words == 0)
+    if by_words:
+        cut, size = new.copy(), np.diff(np.r_[sentence, n])[np.cumsum(new) - 1]
+        cut[_smallest(words, new, place, size, unit_words)] = True
+        unit = np.flatnonzero(cut)
+    else:
+        unit = np.flatnonzero(place % unit_words == 0)
     return unit, np.searchsorted(unit, words.first)
 
 
@@ -86,11 +116,11 @@ def _once(owner: np.ndarray, start: np.ndarray, end: np.ndarray, a: np.ndarray,
     return order[at], [pairs[x + 1:x + n].tobytes() if n > 1 else None for x, n in zip(at.tolist(), size.tolist())]
 
 
-def _rows_of(batch: pa.RecordBatch, unit_words: int, min_units: int, min_words: int):
+def _rows_of(batch: pa.RecordBatch, unit_words: int, by_words: bool, min_units: int, min_words: int):
     texts = texts_of(batch, "_text")
     for at, to in slices(list(map(len, texts)), _SLICE):
         words = Words(texts[at:to])
-        unit, first = _units(words, unit_words)
+        unit, first = _units(words, unit_words, by_words)
         yield at, to, words, unit, first, _spans(words, unit, first, min_units, min_words)
 
 
@@ -100,7 +130,8 @@ def _tag() -> Column:
 
 
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_words: int = 12,
-                   min_units: int = 3, min_words: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
+                   min_units: int = 3, min_words: int = 20, carry: tuple[str, ...] = (),
+                   by_words: bool = False) -> DataFrame:
     """``(id, text, n_units, n_removed, removed_words)`` for every row; the
     text is without the removed units. ``carry`` names columns that go along,
     in a struct ``carried``."""
@@ -112,7 +143,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tags = batch.column("_tag").to_numpy()
-            for at, to, _, unit, first, (start, end, a, b) in _rows_of(batch, unit_words, min_units, min_words):
+            for at, to, _, unit, first, (start, end, a, b) in _rows_of(batch, unit_words, by_words, min_units, min_words):
                 owner = np.searchsorted(first, start, side="right") - 1
                 place = start - first[owner]
                 one, more = _once(owner, place, place + end - start, a, b)
@@ -124,16 +155,21 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                     ["_a", "_b", "_id", "_at", "_len", "_more"])
 
     spans = docs.select("_id", "_text", _tag().alias("_tag")).mapInArrow(
-        hashed, f"_a bigint, _b bigint, _id {id_type}, _at bigint, _len int, _more binary")
-    firsts = (spans.groupBy("_a", "_b")
-              .agg(F.min(F.struct("_id", "_at")).alias("_first"), F.count(F.lit(1)).alias("_n"),
+        hashed, f"_a bigint not null, _b bigint not null, _id {id_type}, _at bigint not null, _len int not null, _more binary")
+    # Half the hash tells nearly all spans that stand alone, in the smallest rows that can be shuffled.
+    again = (spans.groupBy("_a").agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_more").isNotNull()).alias("_again"))
+             .filter("_n > 1 or _again").select("_a"))
+    repeated = spans.join(again, "_a", "left_semi")
+    # With _len, which changes nothing, and without null checks both readers of the repeated spans share one shuffle.
+    firsts = (repeated.groupBy("_a", "_b")
+              .agg(F.min(F.struct("_id", "_at", "_len")).alias("_first"), F.count(F.lit(1)).alias("_n"),
                    F.max(F.col("_more").isNotNull()).alias("_again"))
               .filter("_n > 1 or _again").select("_a", "_b", "_first"))
     is_first = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_at") == F.col("_first._at"))
-    later = spans.join(firsts, ["_a", "_b"]).filter(~is_first | F.col("_more").isNotNull())
+    later = repeated.join(firsts, ["_a", "_b"]).filter(~is_first | F.col("_more").isNotNull())
     own = F.when(~is_first, F.struct((F.col("_at") % _POSITIONS).cast("int").alias("at"), F.col("_len").alias("len")))
     # One row per document that loses something; its size is bounded by the text's.
-    covered = (later.select("_id", F.floor(F.col("_at") / _POSITIONS).alias("_text_tag"), own.alias("_span"), "_more")
+    covered = (later.select("_id", F.shiftright("_at", 32).alias("_text_tag"), own.alias("_span"), "_more")
                .groupBy("_id", "_text_tag").agg(F.collect_set("_span").alias("_spans"), F.collect_list("_more").alias("_more")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +178,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             kept, n_units, n_gone, words_gone = list(texts), [0] * len(texts), [0] * len(texts), [0] * len(texts)
             for at, to in slices(list(map(len, texts)), _SLICE):
                 words = Words(texts[at:to])
-                unit, first = _units(words, unit_words)
+                unit, first = _units(words, unit_words, by_words)
                 offset = 0
                 for i in range(at, to):
                     u = unit[first[i - at]:first[i - at + 1]]
@@ -168,7 +204,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                  *map(batch.column, carried)],
                 ["_id", "_text", "n_units", "n_removed", "removed_words", *carried])
 
-    joined = (docs.withColumn("_text_tag", F.floor(_tag() / _POSITIONS)).alias("d")
+    joined = (docs.withColumn("_text_tag", F.shiftright(_tag(), 32)).alias("d")
               .join(covered.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id"))
                     & (F.col("d._text_tag") == F.col("c._text_tag")), "left")
               .select("d._id", "d._text", "c._spans", "c._more", *(f"d.{c}" for c in carried)))
