@@ -103,3 +103,14 @@ def test_nothing_to_learn_from(spark):
     assert (r.n_tokens, r.n_known, r.score) == (3, 0, 0.0)
     some = lm.fit(spark.createDataFrame([(1, None)], "doc_id long, text string"), shared_path(spark, "lm"))
     assert some.tokens == 1 and lm.score(empty, some).count() == 0
+
+
+def test_the_query_has_two_words_of_context(spark, tmp_path):
+    from wryspark.llm.queries import QUERIES
+    from wryspark.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    texts = ["a b c", "x b d"] * 20
+    spark.createDataFrame(list(enumerate([*texts, "a b c", "a b d"])), "doc_id long, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    by = {r.doc_id: r.score for r in QUERIES["op1_kneser_ney"](spark, str(tmp_path)).collect()}
+    assert by[40] > by[41] + 0.5

@@ -31,7 +31,7 @@ def vocabulary(name: str) -> str:
 @query
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
-    model = lm.fit(documents.filter(crc_mod("doc_id", 10) != 0), shared_path(spark, "lm"))
+    model = lm.fit(documents.filter(crc_mod("doc_id", 10) != 0), shared_path(spark, "lm"), order=3)
     return lm.score(documents, model).select(
         "doc_id", (crc_mod("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
