@@ -74,3 +74,14 @@ def test_quality_with_one_class_or_none(spark):
         scores = [r.score for r in quality.score(docs, model).collect()]
         assert len(scores) == 20 and all(0 <= s <= 1 for s in scores)
     assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_dictionaries_see_what_stands_late_in_long_texts(spark):
+    rng = random.Random(3)
+    marks = [["".join(rng.choices("abcdefghij", k=60)) for _ in range(10)] for _ in range(2)]
+    rows = [(i, "".join(chr(rng.randint(48, 122)) for _ in range(4500)) + " ".join(rng.choices(marks[i % 2], k=80)))
+            for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, quality int"))
+    assert sum(m.encode()[10:50] in model.good for m in marks[1]) >= 8
+    assert sum(m.encode()[10:50] in model.bad for m in marks[0]) >= 8

@@ -16,6 +16,7 @@ class has no labelled text, every score is 0.5. Extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,6 +50,16 @@ def _features(batch_texts: list[bytes], good: bytes, bad: bytes, level: int) ->
     return out
 
 
+def _pieces(text: bytes, size: int, piece: int = 500) -> bytes:
+    """At most ``size`` bytes of a text: all of it, or pieces drawn by its hash
+    from all over it, in their order."""
+    if len(text) <= size:
+        return text
+    piece = min(piece, size)
+    drawn = np.random.default_rng(zlib.crc32(text)).choice(-(-len(text) // piece), size // piece, replace=False)
+    return b"".join(text[at * piece:(at + 1) * piece] for at in sorted(drawn.tolist()))
+
+
 def _train_dictionary(texts: list[bytes], size: int, level: int) -> bytes:
     total = sum(map(len, texts))
     try:
@@ -73,7 +84,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         dictionary_bytes: int = 112 * 1024, level: int = 3) -> CompressionModel:
     """Fit on a bounded sample: of each class the ``rows_per_class`` labelled
     ids that are smallest by hash. Half of them, with ``bytes_per_row`` bytes
-    of each text, make the dictionary; the whole texts of the other half make
+    from all over each text, make the dictionary; the whole texts of the other half make
     the calibration curve. Only the former's bytes and the latter's features
     reach the driver: 2 x rows_per_class x bytes_per_row / 2 bytes at most."""
     ids = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter(
@@ -88,8 +99,15 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = (documents.select(F.col(id_col).alias("_id"), F.encode(F.coalesce(text_col, F.lit("")), "UTF-8").alias("_text"))
               .join(F.broadcast(picked), "_id")
               .withColumn("_half", F.pmod(F.xxhash64(F.lit(10), F.col("_id")), F.lit(2))))
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = pa.array([_pieces(t, bytes_per_row) for t in texts_of(batch, "_text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_y"), short, batch.column("_id")], ["_y", "_text", "_id"])
+
+    id_type = sample.schema["_id"].dataType.simpleString()
     # Ids may repeat in documents; the driver takes the bound's number of rows.
-    rows = (sample.filter("_half = 0").select("_y", F.substring("_text", 1, bytes_per_row).alias("_text"), "_id")
+    rows = (sample.filter("_half = 0").select("_y", "_text", "_id")
+            .mapInArrow(shorten, f"_y int, _text binary, _id {id_type}")
             .orderBy("_id", "_text").limit(2 * rows_per_class).collect())
     by = {y: [bytes(r["_text"]) for r in rows if r["_y"] == y and r["_text"]] for y in (0, 1)}
     flat = CompressionModel(b"", b"", [0.0] * 4, [0.0] * 3, [1.0] * 3, level)
@@ -103,7 +121,6 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), *map(pa.array, x.T)],
                                              ["_id", "_y", "a", "b", "c"])
 
-    id_type = sample.schema["_id"].dataType.simpleString()
     seen = (sample.filter("_half = 1").select("_id", "_y", "_text")
             .mapInArrow(measure, f"_id {id_type}, _y int, a double, b double, c double")
             .orderBy("_id", "_y", "a").limit(2 * rows_per_class).collect())
