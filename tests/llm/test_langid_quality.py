@@ -85,3 +85,13 @@ def test_dictionaries_see_what_stands_late_in_long_texts(spark):
     model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, quality int"))
     assert sum(m.encode()[10:50] in model.good for m in marks[1]) >= 8
     assert sum(m.encode()[10:50] in model.bad for m in marks[0]) >= 8
+
+
+def test_languages_of_copied_texts_and_small_ones_are_learnt(spark):
+    rng = random.Random(4)
+    # Rows of "aa" hold one text 4,000 times: by rows, it would be drawn with a share of 1.5 * 10 / 4,000.
+    rows = [("the wing " * 5, "aa")] * 4000 + [(text_in("bb", rng, 9), "bb") for _ in range(30)] + [("eau qu", "cc")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for most in (1000, 1):
+        model = langid.fit(docs, rows_per_language=10, clusters=2, max_languages=most)
+        assert sorted(set(model.languages)) == ["aa", "bb", "cc"]

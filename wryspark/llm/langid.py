@@ -9,8 +9,8 @@ centroid's own training texts have, the prediction is marked as rejected. The
 score is the language's share in a softmax of the best cosines.
 
 Document frequencies cover all training texts. The centroids are fitted on a
-sample of at most ``rows_per_language`` texts of each language, picked by the
-hash of the text.
+sample of ``rows_per_language`` different texts of each language (all, if it has
+fewer), picked by the hash of the text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 so is every text if there is no training text with a letter. Null languages
@@ -109,7 +109,9 @@ def _k_means(v: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.nd
 def fit(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", places: int = 1 << 13, clusters: int = 4,
         rows_per_language: int = 600, max_languages: int = 1000, reject_quantile: float = 0.002) -> CentroidModel:
     """Fit on ``documents`` with a language. The driver gets one number per
-    place and ``clusters`` centroids per language."""
+    place and ``clusters`` centroids per language. Every language is learnt;
+    up to ``max_languages`` their sizes are broadcast, beyond that joined by
+    shuffle."""
     train = documents.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).filter(
         "_text is not null and _lang is not null")
 
@@ -130,12 +132,14 @@ def fit(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", pl
     df = np.zeros(places)
     df[list(found)] = list(found.values())
     idf = np.log((1 + rows) / (1 + df)) + 1
-    # One row per language, at most max_languages: bounded.
-    sizes = train.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_lang").limit(max_languages)
+    # Different texts of each language: copies don't count. The 1.5 below is far beyond the estimate's error.
+    sizes = train.groupBy("_lang").agg(F.approx_count_distinct(F.xxhash64(F.lit(5), "_text"), 0.02).alias("_n"))
+    if train.select("_lang").distinct().count() <= max_languages:
+        sizes = F.broadcast(sizes)
     drawn = F.pmod(F.xxhash64(F.lit(5), "_text"), F.lit(1 << 30)) / (1 << 30)
     first = Window.partitionBy("_lang").orderBy(F.xxhash64(F.lit(5), "_text"), "_text")
     # Copies of a text have one hash and are drawn together; one of them is enough.
-    sample = (train.join(F.broadcast(sizes), "_lang").filter(drawn < 1.5 * rows_per_language / F.col("_n"))
+    sample = (train.join(sizes, "_lang").filter(drawn < 1.5 * rows_per_language / F.col("_n"))
               .dropDuplicates(["_lang", "_text"]).withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= rows_per_language)
               .select("_lang", "_text"))
 
