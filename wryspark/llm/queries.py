@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capfilter, dartminhash, langid, lm, packing, quality, spans, tokenfile, warc, winnow
+from . import (capfilter, contentsort, dartminhash, langid, lm, packing, quality, spans, squares, tokenfile, vectorcodes,
+               warc, winnow)
 from .common import crc_mod, shared_path, table
 from .oracles import ORACLES  # noqa: F401  (for the entry module)
 
@@ -100,3 +101,43 @@ def op10_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     tokenfile.write_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("word_bpe_49k.json"), path)
     return tokenfile.with_crc32(tokenfile.read_tokens(spark, path))
+
+
+@query
+def op11_grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vectorcodes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    code = F.array_join(F.transform("codes", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "")
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """The contract's periodic tails: in a tenth of the documents, every word
+    from word a on becomes original word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    told = documents.select("doc_id", "text", h.alias("_h"), F.when(h % 10 == 0, words).alias("_w"))
+    n, g = F.size("_w").cast("bigint"), F.floor(F.col("_h") / 10)
+    told = told.withColumn("_n", F.when(n > 0, n)).withColumn("_a", (g % F.col("_n")).cast("int"))
+    told = told.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + g % 8))).cast("int"))
+    once, left = F.slice("_w", F.col("_a") + 1, F.col("_p")), (F.col("_n") - F.col("_a")).cast("int")
+    times = F.ceil(left / F.size(once)).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(once, times)), F.lit(1), left)
+    changed = F.array_join(F.concat(F.slice("_w", F.lit(1), F.col("_a")), tail), " ")
+    return told.select("doc_id", F.coalesce(F.when(F.col("_n").isNotNull(), changed), "text").alias("text"))
+
+
+@query
+def op12_dyadic_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = squares.repeated_runs(with_planted_runs(table(spark, sf_dir, "documents", "doc_id", "text")))
+    greatest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"),
+                                                                   (-r["period"]).alias("slow"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", "runs", "collapsed", greatest.alias("top")).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.back")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.slow")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.slow")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contentsort.exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
