@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from tests import plain_lcs as plain
+from tests.plain_html import extract_body
+from wryspark.functions import lcs as LC
 from wryspark.operators import encode as EN
 from wryspark.operators import metrics as M
 from wryspark.operators import rouge as RG
-from wryspark.operators.articles import extract_body
 
 
 def test_pad(spark):
@@ -62,7 +64,27 @@ def test_lcs_bit_parallel_matches_table():
     for _ in range(200):
         a = [rng.choice("abcd") for _ in range(rng.randint(0, 12))]
         b = [rng.choice("abcd") for _ in range(rng.randint(0, 12))]
-        assert RG.lcs_length(a, b) == RG.lcs_table(a, b)[len(a)][len(b)]
+        assert plain.lcs_length(a, b) == plain.lcs_table(a, b)[len(a)][len(b)]
+
+
+def test_lcs_columns_match_plain_python(spark):
+    import random
+    rng = random.Random(2)
+    def words(n, letters):
+        return [rng.choice(letters) for _ in range(n)]
+    rows = []
+    for i in range(120):
+        letters = rng.choice(["ab", "abcd", "abcdefghij"])
+        a, b = words(rng.choice([0, 1, 5, 61, 62, 63, 130]), letters), words(rng.choice([0, 1, 7, 62, 90]), letters)
+        refs = [words(rng.randint(1, 14), letters) for _ in range(rng.randint(0, 4))]
+        cands = [words(rng.choice([1, 3, 12, 70]), letters) for _ in range(rng.randint(0, 3))]
+        rows.append((i, a, b, refs, cands))
+    df = spark.createDataFrame(rows, "id int, a array<string>, b array<string>, refs array<array<string>>, cands array<array<string>>")
+    got = {r.id: r for r in df.select("id", LC.lcs_length(F.col("a"), F.col("b")).alias("n"),
+                                      LC.union_hits(F.col("refs"), F.col("cands")).alias("hits")).collect()}
+    for i, a, b, refs, cands in rows:
+        assert got[i].n == plain.lcs_length(a, b)
+        assert got[i].hits == plain.summary_lcs_hits(refs, cands)[0]
 
 
 def test_html_body_rule():

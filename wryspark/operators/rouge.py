@@ -2,24 +2,18 @@
 
 ROUGE-1/2 are plain Spark: n-grams of both sides are exploded, counted per
 (pair, n-gram), clipped with ``least`` and summed per pair. ROUGE-L and
-ROUGE-Lsum need a longest-common-subsequence dynamic program, which no
-built-in expresses; it runs as an Arrow ``pandas_udf`` on token arrays
-already prepared by Spark.
+ROUGE-Lsum fold the dynamic program of the longest common subsequence over
+the pair's word arrays (``functions.lcs``), row by row in the JVM.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as Ty
-
+from ..functions.lcs import lcs_length, union_hits
 from ..functions.regex import ROUGE_TOKEN
 
-_PRF = Ty.StructType([Ty.StructField(n, Ty.DoubleType()) for n in ("precision", "recall", "fmeasure")])
-
 
 def rouge_tokens(c) -> Column:
     """Lower-case, keep runs of ``[a-z0-9]`` (everything else separates)."""
@@ -55,97 +49,10 @@ def rouge_n(pairs: DataFrame, id_col: str, pred_col: str, ref_col: str, n: int)
     return out.select(id_col, p.alias("precision"), r.alias("recall"), _f(p, r).alias("fmeasure"))
 
 
-def lcs_length(a, b) -> int:
-    """Length of the longest common subsequence, bit-parallel over ``a``
-    (one big-integer add/or/and per token of ``b``)."""
-    if len(a) == 0 or len(b) == 0:
-        return 0
-    masks: dict = {}
-    for i, x in enumerate(a):
-        masks[x] = masks.get(x, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for y in b:
-        u = v & masks.get(y, 0)
-        v = (v + u) | (v - u)
-    return len(a) - bin(v & full).count("1")
-
-
-def lcs_table(a, b) -> np.ndarray:
-    """Lengths of the longest common subsequences of all prefixes. A row is
-    the running maximum of the row before, one more after each match."""
-    t = np.zeros((len(a) + 1, len(b) + 1), np.int32)
-    b = np.asarray(b, dtype=object)
-    for i, x in enumerate(a, 1):
-        step = t[i - 1].copy()
-        step[1:] = np.maximum(step[1:], t[i - 1, :-1] + (b == x))
-        t[i] = np.maximum.accumulate(step)
-    return t
-
-
-def _lcs_positions(ref, cand) -> set[int]:
-    """Positions in ``ref`` on one longest common subsequence with ``cand``;
-    where both ways back are as long, a word of ``ref`` is passed over."""
-    t = lcs_table(ref, cand)
-    i, j, hits = len(ref), len(cand), set()
-    while i > 0 and j > 0:
-        if ref[i - 1] == cand[j - 1]:
-            hits.add(i - 1)
-            i, j = i - 1, j - 1
-        elif t[i, j - 1] > t[i - 1, j]:
-            j -= 1
-        else:
-            i -= 1
-    return hits
-
-
-def summary_lcs_hits(ref_sents, cand_sents) -> tuple[int, int, int]:
-    """Union-LCS hits of ROUGE-Lsum: for each reference sentence, the union
-    of its LCS positions with every candidate sentence; hits are capped by
-    how often each token occurs on either side. Returns (hits, m, n)."""
-    from collections import Counter
-    ref_cnt = Counter(t for s in ref_sents for t in s)
-    cand_cnt = Counter(t for s in cand_sents for t in s)
-    m, n = sum(ref_cnt.values()), sum(cand_cnt.values())
-    hits = 0
-    for r in ref_sents:
-        union = set()
-        for c in cand_sents:
-            union |= _lcs_positions(r, c)
-        for pos in sorted(union):
-            tok = r[pos]
-            if ref_cnt[tok] > 0 and cand_cnt[tok] > 0:
-                hits += 1
-                ref_cnt[tok] -= 1
-                cand_cnt[tok] -= 1
-    return hits, m, n
-
-
-def _prf(hit, np_, nr):
-    p = hit / np_ if np_ else 0.0
-    r = hit / nr if nr else 0.0
-    return p, r, (2 * p * r / (p + r) if p + r else 0.0)
-
-
-@F.pandas_udf(_PRF)
-def rouge_l_udf(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    rows = []
-    for a, b in zip(pred, ref):
-        a = list(a) if a is not None else []
-        b = list(b) if b is not None else []
-        rows.append(_prf(lcs_length(a, b), len(a), len(b)))
-    return pd.DataFrame(rows, columns=["precision", "recall", "fmeasure"])
-
-
-@F.pandas_udf(_PRF)
-def rouge_lsum_udf(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    rows = []
-    for a, b in zip(pred, ref):
-        cand = [list(s) for s in (a if a is not None else []) if len(s)]
-        refs = [list(s) for s in (b if b is not None else []) if len(s)]
-        hits, m, n = summary_lcs_hits(refs, cand)
-        rows.append(_prf(hits, n, m))
-    return pd.DataFrame(rows, columns=["precision", "recall", "fmeasure"])
+def _scores(hit: Column, n_pred: Column, n_ref: Column) -> list[Column]:
+    p = F.when(n_pred > 0, hit / n_pred).otherwise(F.lit(0.0))
+    r = F.when(n_ref > 0, hit / n_ref).otherwise(F.lit(0.0))
+    return [p.alias("precision"), r.alias("recall"), _f(p, r).alias("fmeasure")]
 
 
 def _sentence_tokens(c) -> Column:
@@ -155,14 +62,20 @@ def _sentence_tokens(c) -> Column:
 
 def rouge_l(pairs: DataFrame, id_col: str, pred_col: str, ref_col: str) -> DataFrame:
     """R-04: ROUGE-L on whole texts."""
-    s = rouge_l_udf(rouge_tokens(pred_col), rouge_tokens(ref_col))
-    return pairs.select(id_col, s.alias("_s")).select(id_col, "_s.*")
+    rows = pairs.select(id_col, rouge_tokens(pred_col).alias("_p"), rouge_tokens(ref_col).alias("_r"))
+    counted = rows.select(id_col, lcs_length(F.col("_p"), F.col("_r")).alias("_hit"), F.size("_p").alias("_np"),
+                          F.size("_r").alias("_nr"))
+    return counted.select(id_col, *_scores(F.col("_hit"), F.col("_np"), F.col("_nr")))
 
 
 def rouge_lsum(pairs: DataFrame, id_col: str, pred_col: str, ref_col: str) -> DataFrame:
     """R-05: ROUGE-Lsum; sentences are the newline-separated lines."""
-    s = rouge_lsum_udf(_sentence_tokens(pred_col), _sentence_tokens(ref_col))
-    return pairs.select(id_col, s.alias("_s")).select(id_col, "_s.*")
+    def sentences(c: str) -> Column:
+        return F.filter(_sentence_tokens(c), lambda s: F.size(s) > 0)
+    rows = pairs.select(id_col, sentences(pred_col).alias("_p"), sentences(ref_col).alias("_r"))
+    counted = rows.select(id_col, union_hits(F.col("_r"), F.col("_p")).alias("_hit"), F.size(F.flatten("_p")).alias("_np"),
+                          F.size(F.flatten("_r")).alias("_nr"))
+    return counted.select(id_col, *_scores(F.col("_hit"), F.col("_np"), F.col("_nr")))
 
 
 def corpus_scores(pairs: DataFrame, id_col: str, pred_col: str, ref_col: str,
