@@ -2,112 +2,25 @@
 stored pages (T-13), summarisation pairs, lead-1 and extractive summaries
 (R-01, R-07, R-08).
 
-Body extraction is the one per-row parser: a small stdlib ``html.parser``
-helper run by ``mapInPandas`` over Arrow batches, so Spark partitions the
-pages and nothing is collected. (Spark's ``xpath`` fails the whole job on
-malformed HTML, and the stored pages are malformed.)
+Body extraction is a state machine over a page's tags, in columns
+(``functions.markup``). (Spark's ``xpath`` fails the whole job on malformed
+HTML, and the stored pages are malformed.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.markup import title_and_body
 from ..functions.wordlists import BODY_ALLOWED_PARENTS, BODY_BLOCKLIST, LINK_PREFIX_LEN
 
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
-         "param", "source", "track", "wbr"}
-_SKIP = {"script", "style"}
-
-
-class _BodyParser(HTMLParser):
-    """Collects text nodes whose immediate parent is an allowed tag.
-
-    Tag rules for malformed input: void tags are never opened; a ``<p>``
-    start closes an open ``<p>`` (and what is open inside it); an end tag
-    closes up to its matching open tag, or is ignored when none is open.
-    Comments and script/style contents are skipped.
-    """
-
-    def __init__(self, allowed, blocked):
-        super().__init__(convert_charrefs=True)
-        self.allowed, self.blocked = set(allowed), list(blocked)
-        self.stack: list[str] = []
-        self.nodes: list[str] = []
-        self.title: list[str] = []
-        self.text: list[str] = []
-
-    def _end_of_text(self):
-        """What came since the last tag or comment is one text node; a bare
-        ``<`` makes the parser hand it over in pieces."""
-        data, self.text = "".join(self.text), []
-        if not data or not self.stack:
-            return
-        parent = self.stack[-1]
-        if parent == "title":
-            self.title.append(data)
-        if parent not in _SKIP and parent in self.allowed and not any(b in data for b in self.blocked):
-            self.nodes.append(data)
-
-    def close(self):
-        super().close()
-        self._end_of_text()
-
-    def handle_comment(self, data):
-        self._end_of_text()
-
-    handle_decl = handle_pi = unknown_decl = handle_comment
-
-    def handle_starttag(self, tag, attrs):
-        self._end_of_text()
-        if tag in _VOID:
-            return
-        if tag == "p" and "p" in self.stack:
-            while self.stack and self.stack.pop() != "p":
-                pass
-        self.stack.append(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self._end_of_text()
-
-    def handle_endtag(self, tag):
-        self._end_of_text()
-        if tag in self.stack:
-            while self.stack and self.stack.pop() != tag:
-                pass
-
-    def handle_data(self, data):
-        self.text.append(data)
-
-
-def extract_body(html: str | None, allowed=BODY_ALLOWED_PARENTS, blocked=BODY_BLOCKLIST) -> tuple[str, str]:
-    """(title, body) of one page; body = kept text nodes joined by a space."""
-    if not html:
-        return "", ""
-    p = _BodyParser(allowed, blocked)
-    p.feed(html)
-    p.close()
-    return "".join(p.title).strip(), " ".join(p.nodes)
-
-
-ARTICLE_SCHEMA = "page_id long, url string, title string, body string"
-
-
-def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        parsed = [extract_body(h) for h in pdf["html"]]
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"],
-                            "title": [t for t, _ in parsed], "body": [b for _, b in parsed]})
-
-
 def extract_articles(pages: DataFrame) -> DataFrame:
-    """T-13: ``(page_id, url, title, body)`` for every stored page."""
-    return pages.select("page_id", "url", "html").mapInPandas(_extract_batches, ARTICLE_SCHEMA)
+    """T-13: ``(page_id, url, title, body)`` for every stored page; a null or
+    empty page has an empty title and body."""
+    page = title_and_body(F.col("html"), BODY_ALLOWED_PARENTS, BODY_BLOCKLIST)
+    return pages.select("page_id", "url", page.alias("_page")).select("page_id", "url", "_page.title", "_page.body")
 
 
 def lookup_bodies(links: DataFrame, link_col: str, articles: DataFrame,

@@ -10,7 +10,8 @@ from ..operators import articles as AR
 from ..operators import reconcile as R
 from ..operators import rouge as RG
 from ..operators import split as SP
-from ..functions.wordlists import LINK_PREFIX_LEN
+from ..functions import markup as MK
+from ..functions.wordlists import BODY_ALLOWED_PARENTS, BODY_BLOCKLIST, LINK_PREFIX_LEN
 from ..operators.encode import TERM_PATTERN, tfidf_long
 from ..session import cut_lineage
 from ..sources.tables import documents, pages, read_table
@@ -41,14 +42,55 @@ def page_titles(spark, sf):
     return pages(spark, sf).select("page_id", _title_col().alias("title"))
 
 
-@register("article_bodies", "T-13 V-02 E-06")
+def _articles_sql() -> str:
+    """``articles(page_id, url, title, body)``: the state machine of
+    ``functions.markup`` as a fold over a list of its states. References are
+    replaced as far as the stored pages hold them; the unit tests have all."""
+    low = "lower(regexp_extract(t, {}, 1))"
+    start, end = low.format(S.q(MK.START_NAME)), low.format(S.q(MK.END_NAME))
+    closed = S.str_list([*MK.VOID_TAGS, "script", "style"])
+    state = "struct_pack(k := {}, name := {}, text := {}, stack := {}, nodes := {})"
+    none, no_nodes = "CAST([] AS VARCHAR[])", "CAST([] AS STRUCT(parent VARCHAR, text VARCHAR)[])"
+    token = f"""CASE WHEN length(t) < 2 OR NOT starts_with(t, '<') THEN {state.format("'text'", "''", "t", none, no_nodes)}
+  WHEN {end} <> '' THEN {state.format("'close'", end, "''", none, no_nodes)} WHEN t = '</>' THEN {state.format("'none'", "''", "''", none, no_nodes)}
+  WHEN {start} <> '' AND NOT list_contains({closed}, {start}) AND NOT ends_with(t, '/>') THEN {state.format("'open'", start, "''", none, no_nodes)}
+  ELSE {state.format("'cut'", "''", "''", none, no_nodes)} END"""
+    ends = "t.k IN ('open', 'close', 'cut') AND s.text <> ''"
+    base = """CASE WHEN (t.k = 'close' OR (t.k = 'open' AND t.name = 'p')) AND list_contains(s.stack, t.name)
+    THEN list_slice(s.stack, 1, len(s.stack) - list_position(list_reverse(s.stack), t.name)) ELSE s.stack END"""
+    step = state.format("''", "''", f"CASE WHEN t.k = 'text' THEN s.text || t.text WHEN {ends} THEN '' ELSE s.text END",
+                        f"CASE WHEN t.k = 'open' THEN list_append({base}, t.name) ELSE {base} END",
+                        f"CASE WHEN {ends} AND len(s.stack) > 0 THEN list_append(s.nodes, struct_pack(parent := s.stack[-1], text := s.text)) "
+                        "ELSE s.nodes END")
+    first = state.format("''", "''", "''", none, no_nodes)
+    last = state.format("'cut'", "''", "''", none, no_nodes)
+    text = "n.text"
+    for a, b in [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "'")]:
+        text = f"replace({text}, {S.q(a)}, {S.q(b)})"
+    text = S.rr(text, "&amp;?", "&")
+    blocked = " AND ".join(f"NOT contains(x, {S.q(b)})" for b in BODY_BLOCKLIST)
+    return f"""tokens AS (SELECT page_id, url, list_transform(regexp_extract_all(coalesce(html, ''), {S.q(MK.token_pattern(possessive=False))}),
+  lambda t: {token}) AS l FROM pages),
+walked AS (SELECT page_id, url, list_reduce(list_append(list_prepend({first}, l), {last}), lambda s, t: {step}).nodes AS nodes FROM tokens),
+articles AS (SELECT page_id, url, {S.strip(f"array_to_string(list_transform(list_filter(nodes, lambda n: n.parent = 'title'), lambda n: {text}), '')")} AS title,
+  array_to_string(list_filter(list_transform(list_filter(nodes, lambda n: list_contains({S.str_list(BODY_ALLOWED_PARENTS)}, n.parent)),
+    lambda n: {text}), lambda x: {blocked}), ' ') AS body FROM walked)"""
+
+
+ARTICLES = _articles_sql()
+
+
+@register("article_bodies", "T-13 V-02 E-06",
+          f"WITH {ARTICLES} SELECT page_id, title, body, {S.word_count('body')} AS body_words FROM articles")
 def article_bodies(spark, sf):
-    """Rows-only: the body parser is Python (checked by unit fixtures)."""
     a = AR.extract_articles(pages(spark, sf))
     return a.select("page_id", "title", "body", word_count("body").alias("body_words"))
 
 
-@register("link_bodies", "J-03 T-14 Q-10")
+@register("link_bodies", "J-03 T-14 Q-10", f"""WITH {ARTICLES}, one AS (SELECT url, arg_min(body, page_id) AS body FROM articles
+  WHERE url IS NOT NULL GROUP BY url)
+SELECT p.page_id, p.url AS article_link, coalesce(a.body, b.body, '') AS body FROM pages p LEFT JOIN one a ON a.url = p.url
+LEFT JOIN one b ON b.url = substr(p.url, {LINK_PREFIX_LEN + 1}) AND substr(p.url, {LINK_PREFIX_LEN + 1}) <> ''""")
 def link_bodies(spark, sf):
     """Each stored link resolved to its body with the two-step fallback."""
     p = pages(spark, sf)
@@ -87,12 +129,21 @@ def _pairs(spark, sf):
     """Summarisation pairs: body = extracted text, headline = page title.
 
     The parsed pairs feed several branches (filters, slices, TF-IDF); they
-    are checkpointed once so the HTML parser runs once per page."""
+    are checkpointed once so the pages are parsed once."""
     a = AR.extract_articles(pages(spark, sf))
     return cut_lineage(a.select(F.col("page_id").alias("row_id"), "body", F.col("title").alias("headline")))
 
 
-@register("article_splits", "Q-05 A-15 P-04 W-03")
+_SLICES = f"""{ARTICLES},
+o AS (SELECT page_id AS row_id, body, title AS headline, row_number() OVER (ORDER BY md5(CAST(page_id AS VARCHAR) || '-42'), page_id) - 1 AS i,
+  count(*) OVER () AS n FROM articles WHERE {S.word_count('body')} > 30),
+sl AS (SELECT *, CASE WHEN i < floor({0.8!r}e0 * n) THEN 'train' WHEN i < floor({0.8 + 0.1!r}e0 * n) THEN 'val'
+  WHEN i < floor({0.8 + 0.1 + 0.1!r}e0 * n) THEN 'test' END AS split FROM o)"""
+
+
+@register("article_splits", "Q-05 A-15 P-04 W-03", f"""WITH {_SLICES}
+SELECT split, count(*) AS n, CAST(floor(quantile_cont({S.word_count('body')}, 0.995)) AS BIGINT) AS body_cap,
+  CAST(floor(quantile_cont({S.word_count('headline')}, 0.995)) AS BIGINT) AS headline_cap FROM sl WHERE split IS NOT NULL GROUP BY split""")
 def article_splits(spark, sf):
     """Long bodies (> 30 words) shuffled and cut 80/10/10; per split the
     row count and the 99.5th-percentile word caps of body and headline."""
@@ -144,7 +195,7 @@ def sentence_lines(spark, sf):
     return documents(spark, sf).select("doc_id", T.newline_sentences("text").alias("lines"))
 
 
-_SUMMARIES = f"""long AS (SELECT doc_id, text FROM documents WHERE {S.word_count('text')} > 30),
+SUMMARIES = f"""long AS (SELECT doc_id, text FROM documents WHERE {S.word_count('text')} > 30),
 tt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id,
   unnest(regexp_extract_all(lower(text), {S.q(TERM_PATTERN)})) AS term FROM long) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM long),
@@ -164,7 +215,7 @@ summ AS (SELECT doc_id, array_to_string(list_slice(words, 1, least(30, greatest(
 
 
 @register("document_summaries", "R-07 R-08 E-01",
-          f"""WITH {_SUMMARIES} SELECT doc_id, text AS "Body", {S.lead_sentence('text')} AS "Headline", summary AS "Summary"
+          f"""WITH {SUMMARIES} SELECT doc_id, text AS "Body", {S.lead_sentence('text')} AS "Headline", summary AS "Summary"
 FROM long JOIN summ USING (doc_id)""")
 def document_summaries(spark, sf):
     """Prediction table over all long documents: body, lead sentence as the
@@ -240,11 +291,52 @@ def conversation_rouge_corpus(spark, sf):
     return RG.corpus_scores(_conv_pairs(spark, sf), "pair_id", "pred", "ref", with_lcs=False)
 
 
-@register("conversation_rouge_lcs", "R-04 R-05 T-11")
+def _lcs_sql() -> str:
+    """The table of prefix lengths for every pair of texts (kind 0) and of
+    their lines (kind 1), a word of the reference a round; then the way back."""
+    def lines(x: str) -> str:
+        text = f"array_to_string({S.sentences(x)}, chr(10))"
+        return f"list_filter(list_transform(string_split({text}, chr(10)), lambda s: {S.rouge_tokens('s')}), lambda s: len(s) > 0)"
+    return f"""WITH RECURSIVE {_CONV_PAIRS.replace("AS (SELECT", "AS MATERIALIZED (SELECT", 1)},
+s AS MATERIALIZED (SELECT pair_id, {lines('pred')} AS cands, {lines('ref')} AS refs FROM p),
+u AS MATERIALIZED (SELECT pair_id, 0 AS kind, 0 AS r, 0 AS c, flatten(refs) AS ref, flatten(cands) AS cand FROM s
+  UNION ALL SELECT pair_id, 1, r, c, refs[r], cands[c] FROM s, unnest(generate_series(1, len(refs))) a(r), unnest(generate_series(1, len(cands))) b(c)),
+t(pair_id, kind, r, c, i, j, v) AS (
+  SELECT pair_id, kind, r, c, 0, j, 0 FROM u, unnest(generate_series(0, len(cand))) x(j)
+  UNION ALL
+  SELECT pair_id, kind, r, c, i + 1, j, CAST(max(best) OVER (PARTITION BY pair_id, kind, r, c ORDER BY j) AS INTEGER) FROM (
+    SELECT t.pair_id, t.kind, t.r, t.c, t.i, t.j, greatest(t.v, CASE WHEN t.j > 0 AND u.ref[t.i + 1] = u.cand[t.j] THEN
+      lag(t.v) OVER (PARTITION BY t.pair_id, t.kind, t.r, t.c ORDER BY t.j) + 1 ELSE 0 END) AS best
+    FROM t JOIN u USING (pair_id, kind, r, c) WHERE t.i < len(u.ref))),
+lens AS MATERIALIZED (SELECT * FROM t),
+way(pair_id, r, c, i, j, hit) AS (
+  SELECT pair_id, r, c, len(ref), len(cand), 0 FROM u WHERE kind = 1
+  UNION ALL
+  SELECT w.pair_id, w.r, w.c, CASE WHEN same OR NOT shorter THEN w.i - 1 ELSE w.i END, CASE WHEN same OR shorter THEN w.j - 1 ELSE w.j END,
+    CASE WHEN same THEN w.i ELSE 0 END FROM (
+    SELECT w.*, u.ref[w.i] = u.cand[w.j] AS same, x.v > y.v AS shorter FROM way w JOIN u ON u.pair_id = w.pair_id AND u.kind = 1 AND u.r = w.r AND u.c = w.c
+    JOIN lens x ON x.pair_id = w.pair_id AND x.kind = 1 AND x.r = w.r AND x.c = w.c AND x.i = w.i AND x.j = w.j - 1
+    JOIN lens y ON y.pair_id = w.pair_id AND y.kind = 1 AND y.r = w.r AND y.c = w.c AND y.i = w.i - 1 AND y.j = w.j) w),
+found AS (SELECT pair_id, refs[r][hit] AS word FROM (SELECT DISTINCT pair_id, r, hit FROM way WHERE hit > 0) JOIN s USING (pair_id)),
+held AS (SELECT pair_id, word, count(*) AS n FROM (SELECT pair_id, unnest(flatten(cands)) AS word FROM s) GROUP BY ALL),
+hits AS (SELECT pair_id, sum(least(f.n, h.n)) AS hit FROM (SELECT pair_id, word, count(*) AS n FROM found GROUP BY ALL) f
+  JOIN held h USING (pair_id, word) GROUP BY pair_id),
+both_scores AS (SELECT s.pair_id, len(flatten(cands)) AS np, len(flatten(refs)) AS nr, coalesce(l.v, 0) AS hit_l, coalesce(h.hit, 0) AS hit_s
+  FROM s JOIN u ON u.pair_id = s.pair_id AND u.kind = 0
+  JOIN lens l ON l.pair_id = s.pair_id AND l.kind = 0 AND l.i = len(u.ref) AND l.j = len(u.cand) LEFT JOIN hits h ON h.pair_id = s.pair_id)
+SELECT pair_id, {_f_sql('hit_l')} AS "rougeL", {_f_sql('hit_s')} AS "rougeLsum" FROM both_scores"""
+
+
+def _f_sql(hit: str) -> str:
+    p, r = f"{hit} / np", f"{hit} / nr"
+    return f"round(CASE WHEN np > 0 AND nr > 0 AND {hit} > 0 THEN 2 * ({p}) * ({r}) / ({p} + {r}) ELSE 0 END, 6)"
+
+
+@register("conversation_rouge_lcs", "R-04 R-05 T-11", _lcs_sql())
 def conversation_rouge_lcs(spark, sf):
-    """Rows-only: ROUGE-L / Lsum per pair (LCS in an Arrow UDF)."""
+    """ROUGE-L and ROUGE-Lsum of every pair, sentences on lines of their own."""
     p = _conv_pairs(spark, sf).select("pair_id", T.newline_sentences("pred").alias("pred"),
                                       T.newline_sentences("ref").alias("ref"))
-    l1 = RG.rouge_l(p, "pair_id", "pred", "ref").select("pair_id", F.col("fmeasure").alias("rougeL"))
-    l2 = RG.rouge_lsum(p, "pair_id", "pred", "ref").select("pair_id", F.col("fmeasure").alias("rougeLsum"))
+    l1 = RG.rouge_l(p, "pair_id", "pred", "ref").select("pair_id", F.round("fmeasure", 6).alias("rougeL"))
+    l2 = RG.rouge_lsum(p, "pair_id", "pred", "ref").select("pair_id", F.round("fmeasure", 6).alias("rougeLsum"))
     return l1.join(l2, "pair_id")
