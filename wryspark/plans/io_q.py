@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from ..functions import text as T
-from ..operators.reconcile import merge_versions
+from ..operators.reconcile import merge_versions, word_count_filter
 from ..sources import files as FS
 from ..sources.tables import documents, headlines, versions
 from ..streaming import live as LV
 from . import sqltext as S
+from .articles_q import SUMMARIES
 from .catalog import register
 
 
@@ -66,6 +67,18 @@ def stream_summaries(spark, sf):
     return out.select("row_id", "summary")
 
 
+@register("stream_document_summaries", "X-02 R-07 E-01",
+          f"WITH {SUMMARIES} SELECT doc_id AS row_id, summary FROM summ")
+def stream_document_summaries(spark, sf):
+    """Extractive summaries of all long documents by a streaming job that
+    joins stored term weights: what ``document_summaries`` gives in batch."""
+    long = word_count_filter(documents(spark, sf), "text", 30, keep_long=True)
+    src, root = FS.scratch_path(spark, "live-src"), FS.scratch_path(spark, "live-out")
+    FS.write_json_lines(long.select(F.col("doc_id").alias("row_id"), "text"), src)
+    weights = LV.store_term_weights(long, "text", "doc_id", os.path.join(root, "idf"))
+    return LV.summarise_stream_extractive(spark, src, weights, os.path.join(root, "sink"), os.path.join(root, "ckpt"))
+
+
 @register("stream_scoring", "X-01 L-07")
 def stream_scoring(spark, sf):
     """Test rows scored by a streaming job with the pipeline fitted on the
