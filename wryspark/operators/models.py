@@ -18,7 +18,9 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -41,7 +43,16 @@ def naive_bayes(label_col: str = "label"):
     return NaiveBayes(featuresCol="features", labelCol=label_col, smoothing=1.0, modelType="multinomial")
 
 
-class RandomFourierFeatures(Estimator, HasInputCol, HasOutputCol):
+class _FourierParams(HasInputCol, HasOutputCol):
+    """What both stages keep as parameters, so that they save and load."""
+
+    numFeatures = Param(Params._dummy(), "numFeatures", "number of random features", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the projection", TypeConverters.toInt)
+    dim = Param(Params._dummy(), "dim", "length of the input vectors", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+
+
+class RandomFourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultParamsWritable):
     """L-03 feature map ``z(x) = sqrt(2/D) cos(W x + b)`` approximating an RBF
     kernel (Rahimi & Recht 2007) with ``gamma = 1 / (d * Var(X))``.
 
@@ -52,32 +63,33 @@ class RandomFourierFeatures(Estimator, HasInputCol, HasOutputCol):
 
     def __init__(self, inputCol="features", outputCol="rff", numFeatures=300, seed=42):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        self.num_features, self.seed = numFeatures, seed
+        self._set(inputCol=inputCol, outputCol=outputCol, numFeatures=numFeatures, seed=seed)
 
     def _fit(self, dataset):
-        # Only stored entries are read; the others are zero and add nothing.
-        parts = F.unwrap_udt(F.col(self.getInputCol()))
-        stats = dataset.select(F.coalesce(parts["size"], F.size(parts["values"])).alias("d"),
-                               F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x).alias("s"),
-                               F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x * x).alias("s2")) \
-            .agg(F.max("d").alias("d"), F.sum("s").alias("s"), F.sum("s2").alias("s2"),
-                 F.count(F.lit(1)).alias("n")).first()
-        cells = stats["n"] * stats["d"]
-        var = stats["s2"] / cells - (stats["s"] / cells) ** 2
-        gamma = 1.0 / (stats["d"] * var) if var > 0 else 1.0
-        return RandomFourierModel(self.getInputCol(), self.getOutputCol(), int(stats["d"]),
-                                  self.num_features, gamma, self.seed)
-
-
-class RandomFourierModel(Model, HasInputCol, HasOutputCol):
-    def __init__(self, inputCol, outputCol, dim, num_features, gamma, seed):
-        super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        self.dim, self.num_features, self.gamma, self.seed = dim, num_features, gamma, seed
-
+        d, gamma = kernel_width(dataset, self.getInputCol())
+        model = RandomFourierModel()
+        model._set(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), dim=d, gamma=gamma,
+                   numFeatures=self.getOrDefault("numFeatures"), seed=self.getOrDefault("seed"))
+        return model
+
+
+def kernel_width(dataset: DataFrame, input_col: str) -> tuple[int, float]:
+    """Length of the vectors and ``gamma = 1 / (d * Var(X))``, the variance
+    over all entries. Only stored entries are read; the others add nothing."""
+    parts = F.unwrap_udt(F.col(input_col))
+    stats = dataset.select(F.coalesce(parts["size"], F.size(parts["values"])).alias("d"),
+                           F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x).alias("s"),
+                           F.aggregate(parts["values"], F.lit(0.0), lambda a, x: a + x * x).alias("s2")) \
+        .agg(F.max("d").alias("d"), F.sum("s").alias("s"), F.sum("s2").alias("s2"),
+             F.count(F.lit(1)).alias("n")).first()
+    cells = stats["n"] * stats["d"]
+    var = stats["s2"] / cells - (stats["s"] / cells) ** 2
+    return int(stats["d"]), 1.0 / (stats["d"] * var) if var > 0 else 1.0
+
+
+class RandomFourierModel(Model, _FourierParams, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset):
-        dim, D, gamma, seed = self.dim, self.num_features, self.gamma, self.seed
+        dim, D, gamma, seed = (self.getOrDefault(p) for p in ("dim", "numFeatures", "gamma", "seed"))
 
         @F.pandas_udf(Ty.ArrayType(Ty.DoubleType()))
         def rff(indices: pd.Series, values: pd.Series) -> pd.Series:

@@ -109,6 +109,7 @@ def confusion_matrix(spark, sf):
 
 # ---- models over the merged headline table, exact 80/20 split (seed 42) ----
 
+from pyspark.ml import Pipeline  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -118,6 +119,7 @@ from ..functions import text as T  # noqa: E402
 from ..operators import explain as X  # noqa: E402
 from ..operators import lexicon as LX  # noqa: E402
 from ..operators import models as ML  # noqa: E402
+from ..operators import selection as SL  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators.reconcile import merge_versions  # noqa: E402
 from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
@@ -220,18 +222,19 @@ def model_dense_head(spark, sf):
 
 @register("model_selection", "L-09 L-01 L-02")
 def model_selection(spark, sf):
-    """Best of LR and NB by validation accuracy (``max_by`` over a metrics table)."""
-    data = labelled_split(spark, sf)
+    """A grid of LR and NB on one TF-IDF table fitted on the training slice,
+    chosen on the validation slice; the test slice scores the chosen one."""
+    v1, v2 = versions(spark, sf)
+    m = merge_versions(v1, v2).select("row_id", "headline", F.col("is_sarcastic").alias("label"))
+    data = cut_lineage(SL.three_way_split(m))
     train = data.filter(F.col("split") == "train")
+    tfidf = Pipeline(stages=EN.tfidf_stages("headline", "features", 5000)).fit(train)
+    features = cut_lineage(tfidf.transform(data).select("row_id", "label", "split", "features"))
     n = train.count()
-    rows = []
-    for name, clf in [("lr", ML.logistic_regression(1.0, n, 1000)), ("nb", ML.naive_bayes())]:
-        scored = fit_pipeline(train, clf, 5000).transform(data.filter(F.col("split") == "test"))
-        rows.append(M.binary_scores(scored.withColumn("prediction", F.col("prediction").cast("int")))
-                    .select(F.lit(name).alias("model"), "accuracy"))
-    table = rows[0].unionByName(rows[1])
-    return table.agg(F.max_by("model", F.struct("accuracy", F.col("model"))).alias("best_model"),
-                     F.max("accuracy").alias("best_accuracy"))
+    lr, nb = ML.logistic_regression(1.0, n, 1000), ML.naive_bayes()
+    candidates = [("lr", lr, {"regParam": 1.0 / (c * n)}) for c in (0.1, 1.0, 10.0)]
+    candidates += [("nb", nb, {"smoothing": a}) for a in (0.1, 1.0)]
+    return SL.fit_grid(features, candidates)
 
 
 @register("word2vec_vectors", "E-05 T-05")
@@ -327,12 +330,12 @@ def linear_attributions(spark, sf):
 
 # ---- naive Bayes in relational form (checked against SQL) ----
 
-def _nb_ctes() -> str:
+def _nb_ctes(split: str = "CASE WHEN i < ceil(0.2 * n) THEN 'test' ELSE 'train' END") -> str:
     h = "md5(CAST(row_id AS VARCHAR) || '-42')"
     return f"""WITH {S.HEADLINES},
 o AS (SELECT row_id, headline, is_sarcastic AS label, row_number() OVER (ORDER BY {h}, row_id) - 1 AS i,
   count(*) OVER () AS n FROM merged),
-d AS (SELECT *, CASE WHEN i < ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM o),
+d AS (SELECT *, {split} AS split FROM o),
 tt AS (SELECT row_id, split, term, count(*) AS tf FROM (SELECT row_id, split,
   unnest(regexp_extract_all(lower(headline), {S.q(EN.TERM_PATTERN)})) AS term FROM d) GROUP BY ALL),
 nt AS (SELECT count(*) AS n FROM d WHERE split = 'train'),
@@ -399,6 +402,36 @@ def nb_log_loss(spark, sf):
     return M.cross_entropy(p, "label", "p").withColumn("log_loss", F.round("log_loss", 6))
 
 
+SMOOTHING = [0.0001, 0.001, 0.01, 0.1, 1.0, 10.0]
+
+_GRID = f"""{_nb_ctes("CASE WHEN i < ceil(0.2 * n) THEN 'test' WHEN i < ceil(0.2 * n) + ceil(0.1 * n) THEN 'val' ELSE 'train' END")},
+al AS (SELECT unnest(CAST({SMOOTHING} AS DOUBLE[])) AS alpha),
+ga AS (SELECT alpha, w.row_id, g.label, sum(weight * ln((ncj + alpha) / (nc + alpha * v))) AS s FROM w
+  JOIN ncj g ON g.term = w.term JOIN nc ON nc.label = g.label, v, al WHERE w.split <> 'train' GROUP BY ALL),
+gs AS (SELECT al.alpha AS alpha, d.row_id, d.split, d.label, p.label AS c, p.log_prior + coalesce(s, 0) AS score FROM d CROSS JOIN al CROSS JOIN pri p
+  LEFT JOIN ga ON ga.row_id = d.row_id AND ga.label = p.label AND ga.alpha = al.alpha WHERE d.split <> 'train'),
+gp AS (SELECT alpha, row_id, split, any_value(label) AS label, first(c ORDER BY score DESC, c) AS guess FROM gs GROUP BY ALL),
+gt AS (SELECT alpha, avg(CASE WHEN label = guess THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'val') AS val_accuracy,
+  avg(CASE WHEN label = guess THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'test') AS t FROM gp GROUP BY alpha),
+gc AS (SELECT *, row_number() OVER (ORDER BY val_accuracy DESC, alpha) = 1 AS chosen FROM gt)"""
+
+
+@register("nb_smoothing_selection", "L-09 L-02", f"""{_GRID} SELECT alpha, round(val_accuracy, 6) AS val_accuracy, chosen,
+  CASE WHEN chosen THEN round(t, 6) END AS test_accuracy FROM gc""")
+def nb_smoothing_selection(spark, sf):
+    """The relational NB's smoothing chosen on the validation slice."""
+    v1, v2 = versions(spark, sf)
+    m = merge_versions(v1, v2).select("row_id", "headline", F.col("is_sarcastic").alias("label"))
+    data = cut_lineage(SL.three_way_split(m))
+    train = data.filter(F.col("split") == "train").select("row_id")
+    terms = cut_lineage(EN.term_table(data, "headline"))
+    idf = EN.idf_of(terms.join(train, "row_id", "left_semi"), train.agg(F.count(F.lit(1))).scalar())
+    weights = cut_lineage(EN.weights_of(terms, idf))
+    g = SL.nb_grid(weights, data.select("row_id", "label", "split"), SMOOTHING)
+    return g.select("alpha", F.round("val_accuracy", 6).alias("val_accuracy"), "chosen",
+                    F.round("test_accuracy", 6).alias("test_accuracy"))
+
+
 @register("nb_attributions", "X-E2 L-02", f"""{_nb_ctes()},
 co AS (SELECT term, max(log_theta) FILTER (WHERE label = 1) - max(log_theta) FILTER (WHERE label = 0) AS coef FROM th GROUP BY term),
 me AS (SELECT term, sum(weight) / (SELECT n FROM nt) AS mean FROM w WHERE split = 'train' GROUP BY term),
