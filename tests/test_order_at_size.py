@@ -114,3 +114,33 @@ def test_ridge_is_the_same_in_either_space():
     wide_x = np.r_[x, x]
     b, _ = _ridge(np.r_[wide_x, wide_x], np.r_[y, y, y, y], np.r_[w, w, w, w] / 4, 0.5)
     assert np.allclose(a, b)
+
+
+def test_quantiles_of_a_value_that_most_rows_hold(spark):
+    import numpy as np
+    from wryspark.operators.ordering import exact_quantiles
+    df = spark.range(ROWS).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 10 > 0, F.lit(7.0)).otherwise(F.col("id") / 3).alias("v"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.97, 1.0]
+    got = {(r.g, r.p): r.q for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    ids = np.arange(ROWS)
+    values = np.where(ids % 10 > 0, 7.0, ids / 3)
+    for g in (0, 1):
+        for p in probs:
+            assert abs(got[g, p] - np.quantile(values[ids % 2 == g], p)) < 1e-9
+    whole = {r.p: r.q for r in exact_quantiles(df, "v", probs).collect()}
+    assert all(abs(whole[p] - np.quantile(values, p)) < 1e-9 for p in probs)
+    # Two values in all: what is ranked is one row for each.
+    flags = spark.range(ROWS).select(F.when(F.col("id") % 10 > 0, F.lit(1)).otherwise(F.lit(0)).alias("v"))
+    assert [r.q for r in exact_quantiles(flags, "v", [0.05, 0.5]).orderBy("p").collect()] == [0.0, 1.0]
+    assert exact_quantiles(df.limit(0), "v", probs, ["g"]).count() == 0
+
+
+def test_numbering_has_small_windows(spark, wide):
+    from wryspark.operators.ordering import hashed_index
+    rows = wide.withColumn("h", F.md5(F.col("text")))
+    for digits in (2, 3, 5):
+        idx = hashed_index(rows, "h", ["row_id"], ["g"], "i", "n", digits=digits)
+        r = idx.groupBy("g").agg(F.min("i"), F.max("i"), F.countDistinct("i"), F.first("n"), F.count(F.lit(1))).collect()
+        assert all((a, b + 1, c, n) == (0, k, k, k) for _, a, b, c, n, k in r)
+    got = [x.row_id for x in hashed_index(rows, "h", ["row_id"], [], "i").orderBy("i").select("row_id").collect()]
+    assert got == [x.row_id for x in rows.orderBy("h", "row_id").select("row_id").collect()]

@@ -2,7 +2,7 @@
 
 Every summary is per (feature, label) group. Quantiles are exact
 (``exact_quantiles``: range shuffle, no single-task window); the per-group
-threshold tables are groups-sized and join back as broadcasts. Histogram
+threshold tables are groups-sized, counted, and broadcast when small. Histogram
 bins (<= 50) and the KDE grid (200 points) are bounded per group, so the
 density curve is computed from binned counts, never from all pairs of
 points.
@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
 from .ordering import exact_quantiles
 
 
@@ -48,7 +49,7 @@ def box_stats(long: DataFrame, group_cols: list[str], whis: float = 1.5,
     """A-06: quartiles, whiskers (furthest points within ``whis`` IQR of
     the box) and the outlier count per group."""
     q = quartiles(long, group_cols, bounded_values).withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = long.join(F.broadcast(q), group_cols)
+    j = long.join(small_side(q), group_cols)
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")
     return j.groupBy(*group_cols, "q1", "median", "q3", "iqr").agg(
@@ -62,7 +63,7 @@ def outliers(long: DataFrame, group_cols: list[str], whis: float = 1.5,
              bounded_values: bool = False) -> DataFrame:
     """A-07: the rows beyond the whiskers."""
     q = quartiles(long, group_cols, bounded_values).withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = long.join(F.broadcast(q), group_cols)
+    j = long.join(small_side(q), group_cols)
     return j.filter((F.col("value") < F.col("q1") - whis * F.col("iqr"))
                     | (F.col("value") > F.col("q3") + whis * F.col("iqr"))).drop("q1", "median", "q3", "iqr")
 
@@ -81,7 +82,7 @@ def histogram(long: DataFrame, group_cols: list[str], max_bins: int = 50) -> Dat
     st = st.withColumn("lo", F.when(F.col("vmax") > F.col("vmin"), F.col("vmin")).otherwise(F.col("vmin") - 0.5)) \
         .withColumn("hi", F.when(F.col("vmax") > F.col("vmin"), F.col("vmax")).otherwise(F.col("vmax") + 0.5)) \
         .withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins"))
-    j = long.join(F.broadcast(st.select(*group_cols, "bins", "lo", "width")), group_cols)
+    j = long.join(small_side(st.select(*group_cols, "bins", "lo", "width")), group_cols)
     idx = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")).cast("int"), F.col("bins") - 1)
     counts = j.groupBy(*group_cols, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = st.select(*group_cols, "n", "lo", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
@@ -106,7 +107,7 @@ def kde(long: DataFrame, group_cols: list[str], grid_size: int = 200, cut: float
         .filter(F.col("bw") > 0) \
         .withColumn("lo", F.col("vmin") - cut * F.col("bw")) \
         .withColumn("delta", (F.col("vmax") + cut * F.col("bw") - F.col("lo")) / (grid_size - 1))
-    j = long.join(F.broadcast(st.select(*group_cols, "lo", "delta")), group_cols)
+    j = long.join(small_side(st.select(*group_cols, "lo", "delta")), group_cols)
     pos = (F.col("value") - F.col("lo")) / F.col("delta")
     j = j.withColumn("_j", F.floor(pos).cast("int")).withColumn("_t", pos - F.col("_j"))
     parts = j.select(*group_cols, F.explode(F.array(

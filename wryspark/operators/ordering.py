@@ -43,7 +43,7 @@ def block_of(row_id, block_rows: int) -> Column:
 
 
 def hashed_index(df: DataFrame, hash_col: str, tie_cols: list[str], group_cols: list[str] = (),
-                 name: str = "idx", total: str | None = None, digits: int = 3) -> DataFrame:
+                 name: str = "idx", total: str | None = None, digits: int = 5) -> DataFrame:
     """Append ``name``: 0-based position of each row in the order of
     ``hash_col`` (a hex digest) and ``tie_cols``, restarting per
     ``group_cols``; with ``total`` also the group's number of rows.
@@ -51,21 +51,29 @@ def hashed_index(df: DataFrame, hash_col: str, tie_cols: list[str], group_cols:
     A row's bucket is the first ``digits`` digits of its hash, so it is a pure
     function of the row: whatever other columns the frame has and however
     often it is computed, the bucket counts and the places inside the buckets
-    fit together. A window holds one bucket, 1/16**digits of a group.
+    fit together. A window holds one bucket, 1/16**digits of a group: some
+    10,000 rows of 10 billion. The prefix sum over the buckets is taken in two
+    steps, so that none of its windows has more than 16**3 rows either.
     """
     group_cols = list(group_cols)
+    groups = [f"_g{i}" for i in range(len(group_cols))]
     rows = df.withColumn("_bucket", F.substring(hash_col, 1, digits))
     inside = Window.partitionBy(*group_cols, "_bucket").orderBy(hash_col, *tie_cols)
-    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_total"))
-    same = F.col("_bucket") == F.col("_b")
-    for i, c in enumerate(group_cols):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    out = rows.withColumn("_place", F.row_number().over(inside) - 1).join(counts, same)
+    counts = rows.groupBy(*[F.col(c).alias(g) for c, g in zip(group_cols, groups)], F.col("_bucket").alias("_b")) \
+        .agg(F.count(F.lit(1)).alias("_n")).withColumn("_top", F.substring("_b", 1, max(digits - 3, 0)))
+    tops = counts.groupBy(*groups, "_top").agg(F.sum("_n").alias("_sum"))
+    earlier = Window.partitionBy(*groups).orderBy("_top").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(*[F.col(g).alias(f"{g}t") for g in groups], F.col("_top").alias("_t"),
+                       F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"),
+                       F.sum("_sum").over(Window.partitionBy(*groups)).alias("_total"))
+    before = Window.partitionBy(*groups, "_top").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    of_top, of_bucket = F.col("_top") == F.col("_t"), F.col("_bucket") == F.col("_b")
+    for c, g in zip(group_cols, groups):
+        of_top = of_top & F.col(g).eqNullSafe(F.col(f"{g}t"))
+        of_bucket = of_bucket & F.col(c).eqNullSafe(F.col(g))
+    counts = counts.join(tops, of_top).select(*groups, "_b", "_total", (F.col("_base") + F.col("_before")).alias("_off"))
+    out = rows.withColumn("_place", F.row_number().over(inside) - 1).join(counts, of_bucket)
     return out.select(*df.columns, (F.col("_off") + F.col("_place")).cast("bigint").alias(name),
                       *([F.col("_total").cast("bigint").alias(total)] if total else []))
 
@@ -113,27 +121,35 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     ``quantile_cont``), exact for any value type and any number of
     distinct values.
 
-    Rows are numbered in value order with ``dense_index`` (range shuffle,
-    no single-task window); the two order statistics around each
-    ``(n-1)*p`` are picked by a join to a target table of
-    groups x probs x 2 rows, then interpolated. Output: group columns,
-    ``p``, ``q``.
+    Rows are first summed to ``(value, count)``, partially before the shuffle,
+    so a value that most rows hold is one row. The distinct values are range
+    partitioned and written once; a prefix sum over the slices' totals says
+    which slice holds an order statistic, and only those slices are numbered.
+    Output: group columns, ``p``, ``q``.
     """
-    group_cols = list(group_cols)
-    base = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")) \
-        .filter(F.col("_v").isNotNull())
-    counts = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    targets = (counts.select(*group_cols, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-               .withColumn("_lo", F.floor("_h").cast("bigint"))
-               .withColumn("_hi", F.ceil("_h").cast("bigint"))
-               .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    picks = targets.select(*group_cols, "p", "_lo", "_hi", "_frac",
-                           F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("idx"))
-    indexed = dense_index(base, ["_v"], group_cols, "idx", num_partitions)
-    hit = indexed.join(picks, [*group_cols, "idx"])
-    agg = hit.groupBy(*group_cols, "p").agg(
-        F.max(F.when(F.col("idx") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("idx") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    return agg.select(*group_cols, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))
+    keys = [f"_k{i}" for i in range(max(1, len(group_cols)))]
+    named = [F.col(c).alias(k) for c, k in zip(group_cols, keys)] or [F.lit(0).alias(keys[0])]
+    values = (df.select(*named, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(values.repartitionByRange(n, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
+    # As many rows as slices and groups.
+    slices = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(*keys, "_pid", "_s", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
+                           F.sum("_s").over(Window.partitionBy(*keys)).alias("_n"))
+    place = slices.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))) \
+        .withColumn("_h", (F.col("_n") - 1) * F.col("p")).withColumn("_lo", F.floor("_h").cast("bigint")) \
+        .withColumn("_frac", F.col("_h") - F.col("_lo")) \
+        .withColumn("_idx", F.explode(F.array_distinct(F.array("_lo", F.ceil("_h").cast("bigint"))))) \
+        .filter((F.col("_idx") >= F.col("_off")) & (F.col("_idx") < F.col("_off") + F.col("_s")))
+    wanted = place.groupBy(*keys, "_pid", "_off").agg(F.collect_list(F.struct("p", "_idx", "_lo", "_frac")).alias("_w"))
+    running = Window.partitionBy(*keys, "_pid").orderBy("_v")
+    near = ranged.join(wanted, [*keys, "_pid"]).withColumn("_end", F.col("_off") + F.sum("_c").over(running))
+    hit = near.withColumn("_w", F.explode(F.filter(
+        "_w", lambda w: (w["_idx"] < F.col("_end")) & (w["_idx"] >= F.col("_end") - F.col("_c")))))
+    both = hit.groupBy(*keys, F.col("_w.p").alias("p")).agg(
+        F.max(F.when(F.col("_w._idx") == F.col("_w._lo"), F.col("_v"))).alias("_vlo"), F.max("_v").alias("_vhi"),
+        F.first("_w._frac").alias("_frac"))
+    return both.select(*[F.col(k).alias(c) for c, k in zip(group_cols, keys)], "p",
+                       (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))

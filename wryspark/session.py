@@ -91,5 +91,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """A table written once and, if it has at most ``max_rows`` rows, marked
+    for a broadcast; larger ones are left to the join's own choice."""
+    from pyspark.sql import functions as F
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
