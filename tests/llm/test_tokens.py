@@ -15,7 +15,8 @@ from wryspark.llm.queries import vocabulary
 from wryspark.llm.tokenise import WordEncoder
 
 ODD = [None, "", " ", "a  b", " lead", "trail ", "a\n b", "a \nb", "x\ty z", "Don't 's ' s", "1 22 ²½ Ⅷ", "é ÀÉ Σς ΑΣ İ I ǅ ﬁ.",
-       "a<|endoftext|> b <|startoftext|>c", "A. B, C; d: e! f? .", "\x1c a b\x1c c", "😀 zwj 👩‍👩‍👧", "word " * 3000, "　 a"]
+       "a<|endoftext|> b <|startoftext|>c", "A. B, C; d: e! f? .", "\x1c a b\x1c c", "😀 zwj 👩‍👩‍👧", "word " * 3000, "　 a", "a one.\nTwo three\nfour,,\nÉté!\n five\n\nsix.\n7 x\n\ty end.\n", "a que&&& *** x_y_ __ a- -b it's, 'tis' don't.\nIt's",
+       "a b<|endoftext|>.\nc b|. d>.\nE ﬁn.\nFin x.\n'y"]
 
 
 def texts():

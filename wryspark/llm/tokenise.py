@@ -12,8 +12,16 @@ import os
 import re
 from array import array
 
+from .common import CACHES
+
 #: Words of Latin-1 letters: composed already, and lower-cased one by one.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Such a word and marks after it: always a piece of its own for the
+#: vocabularies. The apostrophe and the signs of special tokens are left out.
+_MARKS = r"[!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]"
+_MARKED = re.compile(f"({_PLAIN.pattern})({_MARKS}+)")
+#: The same as the first word of a line, after a line that ends in a letter or mark.
+_LINES = re.compile(f"({_PLAIN.pattern}{_MARKS}*)\n({_PLAIN.pattern})({_MARKS}*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -30,22 +38,37 @@ class _Uncut(Exception):
 
 class _Words(dict):
     """Ids of words that have a space before them; unknown ones are encoded
-    when they are first asked for."""
+    when they are first asked for. ``older`` holds words of before, which come
+    back when they are asked for again."""
 
     def __init__(self, tokenizer, whole):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.whole, self.merge = whole, tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.lower = whole("A") == whole("a")
-        self.marks = {m: whole(m) for m in ".,;:!?"}
+        self.marks: dict[str, bytes] = {}
         # Is the space before a word part of its first token?
         self.space = self.letters[32] if whole(" a") != whole("a") else ""
+        # The ids of a line break between two words.
+        self.line = whole("a\nb")[len(whole("a")):-len(whole("b"))] if self.space else b""
+
+    def of_marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[marks] = self.whole(marks)
+        return self.marks[marks]
 
     def __missing__(self, word: str) -> bytes:
-        """A letters-only word with one mark at its end is the word's ids and
-        the mark's. A word of plain letters is one piece for the vocabulary's
+        """A letters-only word with marks at its end is the word's ids and
+        the marks'. A word of plain letters is one piece for the vocabulary's
         merges, in the byte-level alphabet; a vocabulary without upper case
         takes it in lower case. Other words take the library's whole path."""
+        ids = self.older.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         if _PLAIN.fullmatch(word):
             key = word.lower() if self.lower else word
             if key is not word and key in self:
@@ -53,8 +76,18 @@ class _Words(dict):
             else:
                 piece = key if key.isascii() else "".join(map(self.letters.__getitem__, key.encode()))
                 ids = array("I", [t.id for t in self.merge(self.space + piece)]).tobytes()
-        elif word[-1:] in self.marks and word[:-1].isalpha():
-            ids = self[word[:-1]] + self.marks[word[-1]]
+        elif marked := _MARKED.fullmatch(word):
+            letters, marks = marked.groups()
+            ids = self[letters] + self.of_marks(marks)
+        elif lines := _LINES.fullmatch(word):
+            # A line break is a piece of its own, and the next line's first word has no space.
+            before, letters, marks = lines.groups()
+            if self.space:
+                piece = letters if letters.isascii() else "".join(map(self.letters.__getitem__, letters.encode()))
+                ids = array("I", [t.id for t in self.merge(piece)]).tobytes()
+            else:
+                ids = self[letters]
+            ids = self[before] + self.line + ids + (self.of_marks(marks) if marks else b"")
         elif not word or word[0].isspace() or word[-1].isspace():
             raise _Uncut
         else:
@@ -65,10 +98,10 @@ class _Words(dict):
 
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids. ``cache_words``
-    bounds the cache; when it is full it starts anew (it may pass the bound by
-    one text's words)."""
+    bounds the cache: when half of it is full, its words become the older ones
+    and the older ones go (it may pass the bound by one text's words)."""
 
-    def __init__(self, path: str, cache_words: int = 600_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,7 +112,8 @@ class WordEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def one(self, text: str) -> bytes:
-        if len(self.words) > self.cache_words:
+        if len(self.words) > self.cache_words // 2:
+            self.words.older = dict(self.words)
             self.words.clear()
         first, *rest = text.split(" ")
         if first[-1:].isspace():
@@ -94,6 +128,7 @@ class WordEncoder:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+CACHES.append(_ENCODERS.clear)
 
 
 def encoder(path: str) -> WordEncoder:

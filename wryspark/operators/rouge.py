@@ -8,6 +8,8 @@ the pair's word arrays (``functions.lcs``), row by row in the JVM.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,3 +93,44 @@ def corpus_scores(pairs: DataFrame, id_col: str, pred_col: str, ref_col: str,
         m = df.agg(F.round(F.avg("fmeasure"), 4).alias("score")).select(F.lit(name).alias("metric"), "score")
         out = m if out is None else out.unionByName(m)
     return out
+
+
+_PER_DIGEST = 8
+
+
+def _poisson_steps(limit: int = 10) -> list[int]:
+    """Where, of 65,536 equal parts, a Poisson(1) count goes up by one."""
+    steps, total, term = [], 0.0, math.exp(-1)
+    for k in range(limit):
+        total += term
+        term /= k + 1
+        steps.append(math.floor(total * 65536))
+    return [s for s in steps if s < 65536]
+
+
+POISSON_STEPS = _poisson_steps()
+
+
+def bootstrap_scores(scored: DataFrame, id_col: str, metrics: list[str], replicates: int = 1000,
+                     confidence: float = 0.95) -> DataFrame:
+    """R-06 with its resampling: ``(metric, low, mid, high)``, the percentiles
+    of the mean over ``replicates`` bootstrap samples of the rows.
+
+    A row stands in a sample a Poisson(1) number of times, read from a hash of
+    its id and the sample's number (Poisson bootstrap). So no sample is ever
+    drawn or stored: one aggregate holds the sums of all samples, partially
+    summed before its shuffle of ``replicates`` keys."""
+    blocks = -(-replicates // _PER_DIGEST)
+    digest = scored.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
+        .withColumn("_h", F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.col("_block").cast("string"))))
+    part = digest.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(_PER_DIGEST - 1))))
+    value = F.conv(F.substr("_h", 4 * F.col("_j") + 1, F.lit(4)), 16, 10).cast("int")
+    times = sum(((value >= s).cast("int") for s in POISSON_STEPS[1:]), (value >= POISSON_STEPS[0]).cast("int"))
+    drawn = part.select((F.col("_block") * _PER_DIGEST + F.col("_j")).alias("_rep"), times.alias("_times"), *metrics) \
+        .filter((F.col("_times") > 0) & (F.col("_rep") < replicates))
+    means = drawn.groupBy("_rep").agg(*[(F.sum(F.col(m) * F.col("_times")) / F.sum("_times")).alias(m) for m in metrics])
+    tail = (1 - confidence) / 2
+    cut = means.agg(*[F.percentile(m, F.array(F.lit(tail), F.lit(0.5), F.lit(1 - tail))).alias(m) for m in metrics])
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.round(F.col(m)[0], 4).alias("low"), F.round(F.col(m)[1], 4).alias("mid"),
+                              F.round(F.col(m)[2], 4).alias("high")) for m in metrics])
+    return cut.select(F.explode(rows).alias("_r")).select("_r.*")

@@ -9,8 +9,10 @@ from ..functions.features import word_count
 from ..operators import articles as AR
 from ..operators import reconcile as R
 from ..operators import rouge as RG
+from ..operators import sentences as SE
 from ..operators import split as SP
 from ..functions import markup as MK
+from ..functions import regex as rx
 from ..functions.wordlists import BODY_ALLOWED_PARENTS, BODY_BLOCKLIST, LINK_PREFIX_LEN
 from ..operators.encode import TERM_PATTERN, tfidf_long
 from ..session import cut_lineage
@@ -340,3 +342,69 @@ def conversation_rouge_lcs(spark, sf):
     l1 = RG.rouge_l(p, "pair_id", "pred", "ref").select("pair_id", F.round("fmeasure", 6).alias("rougeL"))
     l2 = RG.rouge_lsum(p, "pair_id", "pred", "ref").select("pair_id", F.round("fmeasure", 6).alias("rougeLsum"))
     return l1.join(l2, "pair_id")
+
+
+def _bootstrap_sql(replicates: int = 1000) -> str:
+    def f(n: int) -> str:
+        return (f"SELECT pair_id, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS rouge{n} "
+                f"FROM (WITH {_rouge_n_sql(n)} SELECT * FROM f)")
+    value = "CAST('0x' || substr(h, 4 * j + 1, 4) AS INTEGER)"
+    times = " + ".join(f"CAST({value} >= {s} AS INTEGER)" for s in RG.POISSON_STEPS)
+    cut = ", ".join(f"round(quantile_cont(s / n, {x}), 4) AS {name}" for x, name in ((0.025, "low"), (0.5, "mid"), (0.975, "high")))
+    return f"""WITH {_CONV_PAIRS}, sc AS MATERIALIZED (SELECT * FROM ({f(1)}) JOIN ({f(2)}) USING (pair_id)),
+hh AS (SELECT rouge1, rouge2, b, j, md5(pair_id || '-' || CAST(b AS VARCHAR)) AS h FROM sc, unnest(range({-(-replicates // 8)})) x(b), unnest(range(8)) y(j)),
+dr AS (SELECT 8 * b + j AS rep, {times} AS times, rouge1, rouge2 FROM hh),
+me AS (SELECT rep, metric, sum(v * times) AS s, sum(times) AS n FROM (SELECT rep, times, 'rouge1' AS metric, rouge1 AS v FROM dr
+  UNION ALL SELECT rep, times, 'rouge2', rouge2 FROM dr) WHERE rep < {replicates} AND times > 0 GROUP BY ALL)
+SELECT metric, {cut} FROM me GROUP BY metric"""
+
+
+@register("conversation_rouge_bootstrap", "R-06", _bootstrap_sql())
+def conversation_rouge_bootstrap(spark, sf):
+    """Low, middle and high of the mean F over 1,000 resamples of the pairs."""
+    pairs = cut_lineage(_conv_pairs(spark, sf))
+    one, two = (RG.rouge_n(pairs, "pair_id", "pred", "ref", n).select("pair_id", F.col("fmeasure").alias(f"rouge{n}")) for n in (1, 2))
+    return RG.bootstrap_scores(one.join(two, "pair_id"), "pair_id", ["rouge1", "rouge2"])
+
+
+def _types_sql(x: str) -> str:
+    bare = f"list_transform({S.ws_tokens(x)}, lambda t: lower({S.rr('t', SE.AROUND, '')}))"
+    pairs = f"list_transform({bare}, lambda t: struct_pack(word := regexp_replace(t, '\\.$', ''), period := ends_with(t, '.')))"
+    return f"list_filter({pairs}, lambda p: regexp_matches(p.word, {S.q(SE.TYPE)}))"
+
+
+_ABBREVIATIONS = f"""ty AS (SELECT unnest({_types_sql('text')}) AS p FROM documents),
+ct AS (SELECT p.word AS word, count(*) AS n, sum(CAST(p.period AS BIGINT)) AS dots FROM ty GROUP BY ALL),
+tt AS (SELECT sum(dots) / sum(n) AS rate FROM ct),
+lr AS (SELECT word, n - dots AS without, length(word) - length(replace(word, '.', '')) + 1 AS periods, length(replace(word, '.', '')) AS letters,
+  -2 * ((dots * ln(rate) + CASE WHEN n > dots THEN (n - dots) * ln(1 - rate) ELSE 0 END) - (dots * ln(0.99) + (n - dots) * ln(0.01))) AS ll
+  FROM ct, tt WHERE dots > 0),
+ab AS (SELECT word, round(ll * exp(-letters) * periods * pow(CAST(letters AS DOUBLE), -without), 9) AS score FROM lr),
+abbr AS MATERIALIZED (SELECT * FROM ab WHERE score >= {SE.THRESHOLD})"""
+
+
+@register("learned_abbreviations", "T-09", f"WITH {_ABBREVIATIONS} SELECT word, round(score, 6) AS score FROM abbr")
+def learned_abbreviations(spark, sf):
+    found = SE.learn_abbreviations(documents(spark, sf), "text")
+    return found.select("word", F.round("score", 6).alias("score"))
+
+
+def _learned_sql() -> str:
+    marked = f"regexp_replace({S.strip('text')}, '([.!?][\"'')\\]]*)' || {S.q(rx.SPACE + '+')}, '\\1' || chr(1), 'g')"
+    pieces = f"list_filter(list_transform(string_split(coalesce({marked}, ''), chr(1)), lambda s: {S.strip('s')}), lambda s: s <> '')"
+    last = f"""lower({S.rr("regexp_extract(piece, '([^ \\t\\n\\x0B\\f\\r]*)$', 1)", SE.AROUND, '')})"""
+    return f"""WITH {_ABBREVIATIONS},
+pc AS (SELECT doc_id, unnest(l) AS piece, unnest(generate_series(1, len(l))) AS i FROM (SELECT doc_id, {pieces} AS l FROM documents)),
+op AS (SELECT doc_id, piece, i, ends_with({last}, '.') AND regexp_replace({last}, '\\.$', '') IN (SELECT word FROM abbr) AS open FROM pc),
+gr AS (SELECT *, coalesce(sum(CAST(NOT open AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM op),
+se AS (SELECT doc_id, g, string_agg(piece, ' ' ORDER BY i) AS sentence FROM gr GROUP BY ALL),
+li AS (SELECT doc_id, count(*) AS n, string_agg(sentence, chr(10) ORDER BY g) AS lines FROM se GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(lines, '') AS lines FROM documents LEFT JOIN li USING (doc_id)"""
+
+
+@register("learned_sentences", "T-09 T-11", _learned_sql())
+def learned_sentences(spark, sf):
+    """Sentences by the abbreviations learnt from the same documents."""
+    docs = documents(spark, sf)
+    s = SE.split_sentences(docs, "doc_id", "text", SE.learn_abbreviations(docs, "text"))
+    return s.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"), F.array_join("sentences", "\n").alias("lines"))
