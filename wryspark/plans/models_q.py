@@ -114,6 +114,7 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from ..functions.wordlists import CLASS_NAMES  # noqa: E402
+from ..operators import cbow as CB  # noqa: E402
 from ..operators import encode as EN  # noqa: E402
 from ..functions import text as T  # noqa: E402
 from ..operators import explain as X  # noqa: E402
@@ -246,6 +247,16 @@ def word2vec_vectors(spark, sf):
     return vec.select("word", F.size(vector_to_array("vector")).alias("dim"))
 
 
+@register("cbow_vectors", "E-05 T-05")
+def cbow_vectors(spark, sf):
+    """Continuous-bag-of-words vectors, 100 numbers a word, of the lemmatised
+    headlines (rows-only: they are trained)."""
+    v1, v2 = versions(spark, sf)
+    m = merge_versions(v1, v2).select("row_id", T.ws_tokens(T.clean("headline")).alias("toks"))
+    lem = LX.lemmatize(m, "row_id", "toks", "lemmatized_headline")
+    return CB.cbow_vectors(lem.select("row_id", T.word_tokens("lemmatized_headline").alias("tokens")), "row_id", "tokens")
+
+
 @register("model_roundtrip", "S-07 L-07")
 def model_roundtrip(spark, sf):
     """Save the fitted pipeline under the checkpoint folder, load it back,
