@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as P
 from ..operators import reconcile as R
+from ..operators import sketches as SK
+from ..sources import files as FS
 from ..sources.tables import documents, headlines, read_table, versions
 from . import sqltext as S
 from .catalog import register
@@ -70,6 +72,20 @@ def distinct_headlines(spark, sf):
                    F.sum(F.col("in1") * F.col("in2")).cast("bigint").alias("common"))
 
 
+@register("sketched_headlines", "A-03 U-02", f"""WITH {H}
+SELECT 'distinct' AS kind, '1' AS versions, count(DISTINCT headline) AS n FROM v1
+UNION ALL SELECT 'distinct', '2', count(DISTINCT headline) FROM v2
+UNION ALL SELECT 'union', '1+2', count(DISTINCT headline) FROM (SELECT headline FROM v1 UNION ALL SELECT headline FROM v2)
+UNION ALL SELECT 'common', '1&2', count(*) FROM (SELECT headline FROM v1 INTERSECT SELECT headline FROM v2)""")
+def sketched_headlines(spark, sf):
+    """Distinct and common headlines from stored sketches, version 2 added to
+    the table after version 1; exact up to 65,536 different headlines."""
+    path = FS.scratch_path(spark, "sketches")
+    for name, rows in zip("12", versions(spark, sf)):
+        SK.store_sketches(rows.withColumn("version", F.lit(name)), "version", "headline", path)
+    return SK.stored_distinct(spark, path, ["1", "2"])
+
+
 @register("common_documents", "U-02",
           """SELECT text FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT text FROM documents WHERE doc_id % 2 = 1""")
 def common_documents(spark, sf):
