@@ -104,10 +104,87 @@ class RandomFourierModel(Model, _FourierParams, DefaultParamsReadable, DefaultPa
         return dataset.withColumn(self.getOutputCol(), array_to_vector(rff(parts["indices"], parts["values"])))
 
 
-def kernel_svm(label_col: str = "label", num_features: int = 300, seed: int = 42):
-    """L-03: RBF-kernel SVM stand-in = random Fourier features + linear SVM."""
-    return [RandomFourierFeatures("features", "rff", num_features, seed),
-            LinearSVC(featuresCol="rff", labelCol=label_col, regParam=0.0, maxIter=100)]
+class _LandmarkParams(HasInputCol, HasOutputCol):
+    numLandmarks = Param(Params._dummy(), "numLandmarks", "number of landmark rows", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the landmarks' choice", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    indices = Param(Params._dummy(), "indices", "entries of each landmark: places")
+    values = Param(Params._dummy(), "values", "entries of each landmark: values")
+    projection = Param(Params._dummy(), "projection", "kernel values to features")
+
+
+class LandmarkFeatures(Estimator, _LandmarkParams, DefaultParamsReadable, DefaultParamsWritable):
+    """L-03 feature map from the data itself (Nystroem): the kernel values of
+    a row with landmark rows, turned so that dot products of features are the
+    kernel's best approximation on the landmarks' span.
+
+    Landmarks are the ``numLandmarks`` different rows that come first by a
+    hash; they and one small eigenproblem are all that the driver holds."""
+
+    def __init__(self, inputCol="features", outputCol="landmarks", numLandmarks=300, seed=42):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, numLandmarks=numLandmarks, seed=seed)
+
+    def _fit(self, dataset):
+        _, gamma = kernel_width(dataset, self.getInputCol())
+        parts = F.unwrap_udt(F.col(self.getInputCol()))
+        rows = dataset.select(F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1)).alias("i"),
+                              parts["values"].alias("v")).distinct()
+        # The hash of a row decides, so equal rows are one landmark.
+        first = rows.orderBy(F.xxhash64(F.lit(self.getOrDefault("seed")), "i", "v"), "i", "v") \
+            .limit(self.getOrDefault("numLandmarks")).collect()
+        indices, values = [list(r.i) for r in first], [list(r.v) for r in first]
+        kernel = _rbf(indices, values, _Landmarks(indices, values), gamma)
+        size, turned = np.linalg.eigh((kernel + kernel.T) / 2)
+        keep = size > 1e-10 * size.max()
+        model = LandmarkModel()
+        model._set(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), gamma=gamma, indices=indices, values=values,
+                   numLandmarks=len(first), seed=self.getOrDefault("seed"),
+                   projection=(turned[:, keep] / np.sqrt(size[keep])).tolist())
+        return model
+
+
+class _Landmarks:
+    """Landmark rows as a dense table over the places that any of them has."""
+
+    def __init__(self, indices: list, values: list):
+        self.places = np.unique(np.concatenate([np.asarray(i, np.int64) for i in indices]))
+        self.table = np.zeros((len(self.places), len(indices)))
+        for k, (i, v) in enumerate(zip(indices, values)):
+            self.table[np.searchsorted(self.places, i), k] = v
+        self.squares = (self.table ** 2).sum(0)
+
+
+def _rbf(indices, values, landmarks: _Landmarks, gamma: float) -> np.ndarray:
+    """Kernel values of sparse rows with the landmarks."""
+    out = np.empty((len(values), landmarks.table.shape[1]))
+    for r, (i, v) in enumerate(zip(indices, values)):
+        v = np.asarray(v, float)
+        i = np.arange(len(v)) if i is None else np.asarray(i)
+        at = np.searchsorted(landmarks.places, i).clip(max=len(landmarks.places) - 1)
+        shared = landmarks.places[at] == i
+        out[r] = v @ v + landmarks.squares - 2 * (v[shared] @ landmarks.table[at[shared]])
+    return np.exp(-gamma * np.maximum(out, 0))
+
+
+class LandmarkModel(Model, _LandmarkParams, DefaultParamsReadable, DefaultParamsWritable):
+    def _transform(self, dataset):
+        gamma, indices, values, projection = (self.getOrDefault(p) for p in ("gamma", "indices", "values", "projection"))
+
+        @F.pandas_udf(Ty.ArrayType(Ty.DoubleType()))
+        def near(i: pd.Series, v: pd.Series) -> pd.Series:
+            return pd.Series(list(_rbf(i, v, _Landmarks(indices, values), gamma) @ np.array(projection)))
+
+        parts = F.unwrap_udt(F.col(self.getInputCol()))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(near(parts["indices"], parts["values"])))
+
+
+def kernel_svm(label_col: str = "label", num_features: int = 300, seed: int = 42, landmarks: bool = False):
+    """L-03: RBF-kernel SVM stand-in = kernel features + linear SVM. The
+    features are random (Fourier) or, with ``landmarks``, made from the data."""
+    features = LandmarkFeatures("features", "kernel", num_features, seed) if landmarks \
+        else RandomFourierFeatures("features", "rff", num_features, seed)
+    return [features, LinearSVC(featuresCol=features.getOutputCol(), labelCol=label_col, regParam=0.0, maxIter=100)]
 
 
 #: Rows that a forest of unpruned trees is fitted on at most: such trees grow

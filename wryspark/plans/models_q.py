@@ -124,6 +124,7 @@ from ..operators import selection as SL  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators.reconcile import merge_versions  # noqa: E402
 from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
+from ..sources import files as FS  # noqa: E402
 from ..sources.tables import read_table, versions  # noqa: E402
 from . import sqltext as S  # noqa: E402
 
@@ -192,6 +193,14 @@ def model_kernel_svm(spark, sf):
     return _split_scores(a, "svm_rff")
 
 
+@register("model_landmark_svm", "L-03 S-07")
+def model_landmark_svm(spark, sf):
+    """The kernel SVM on landmark features, saved and loaded before it scores."""
+    model, _ = _fit_score(spark, sf, ML.kernel_svm(landmarks=True), 5000)
+    loaded = ML.save_and_load(model, FS.scratch_path(spark, "landmark-svm"))
+    return _split_scores(loaded.transform(labelled_split(spark, sf)), "svm_landmarks")
+
+
 @register("model_random_forest", "L-04")
 def model_random_forest(spark, sf):
     _, a = _fit_score(spark, sf, ML.random_forest(), 5000, fit_rows=ML.bounded_fit_rows)
