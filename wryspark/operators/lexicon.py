@@ -12,7 +12,9 @@ word lists are tables and the work is joins:
 * polarity (F-11): tokens join a polarity lexicon; a per-document window
   looks one or two tokens back for intensifiers and negations.
 
-Lexicon joins carry no hint: AQE picks broadcast or shuffle from their size.
+Lexicons may have any size: rows of words behind a large share of the tokens
+(a bounded number) are broadcast, the others joined as AQE picks from their
+size.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # WordNet morphological detachment rules (suffix, replacement).
 NOUN_RULES = [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"),
               ("shes", "sh"), ("men", "man"), ("ies", "y")]
@@ -103,7 +107,8 @@ def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemma
     ex = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word"))
     # One map-side-combined aggregate gives both the distinct words, whose
     # class and lemma are worked out once, and, by default, the vocabulary.
-    words = ex.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n")).select("word")
+    counted = cut_lineage(ex.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("_n")))
+    words = counted.select("word")
     rule = word_class("word") if pos_mode else F.lit("n")
     if tags is None:
         words = words.select("word", rule.alias("tag"))
@@ -114,13 +119,57 @@ def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemma
         vocab = words.select("word")
     if exceptions is None:
         exceptions = spark.createDataFrame(DEFAULT_EXCEPTIONS, "word string, tag string, lemma string")
-    lemmas = lemma_table(words, vocab, exceptions)
-    out = ex.join(lemmas.select("word", "lemma"), "word", "left").withColumn("lemma", F.coalesce("lemma", "word"))
+    lemmas = cut_lineage(lemma_table(words, vocab, exceptions))
+    out = join_words(ex, counted, lemmas.select("word", "lemma"), [id_col, "pos"]) \
+        .withColumn("lemma", F.coalesce("lemma", "word"))
     per = out.groupBy(id_col).agg(F.sort_array(F.collect_list(
         F.when(F.col("word").isNotNull(), F.struct("pos", "lemma")))).alias("_l"))
     return per.select(id_col, F.array_join(F.transform("_l", lambda s: s["lemma"]), " ").alias(out_col))
 
 
+#: A word that has more than this share of all tokens is a hot one; there are fewer than 1 / share of them.
+HOT_SHARE = 1e-4
+
+
+def join_words(tokens: DataFrame, counted: DataFrame, table: DataFrame, place: list[str]) -> DataFrame:
+    """``tokens`` left-joined with ``table`` on ``word`` (one row a word).
+    ``counted (word, _n)`` holds the tokens' counts, ``place`` columns that
+    tell tokens of one word apart.
+
+    Words behind a large share of the tokens would all meet in one task. They
+    are fewer than 1 / HOT_SHARE, so their rows are broadcast; their tokens
+    then need no key and are dealt out evenly, like tokens without a word."""
+    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = counted.filter(F.col("_n") > max(1.0, total * HOT_SHARE)).select(F.col("word").alias("_hot"))
+    values = [c for c in table.columns if c != "word"]
+    hot_rows = table.join(F.broadcast(hot), F.col("word") == F.col("_hot")).select(
+        "_hot", *[F.col(c).alias(f"_h_{c}") for c in values])
+    near = tokens.join(F.broadcast(hot_rows), F.col("word") == F.col("_hot"), "left")
+    # A word never holds this character first, so the even keys match nothing.
+    even = F.concat(F.lit("\u0000"), F.xxhash64(*place).cast("string"))
+    keyed = near.withColumn("_key", F.when(F.col("word").isNull() | F.col("_hot").isNotNull(), even).otherwise(F.col("word")))
+    rest = table.select(F.col("word").alias("_key"), *[F.col(c).alias(f"_r_{c}") for c in values])
+    joined = keyed.join(rest, "_key", "left")
+    return joined.select(*tokens.columns, *[F.when(F.col("_hot").isNotNull(), F.col(f"_h_{c}")).otherwise(F.col(f"_r_{c}")).alias(c)
+                                            for c in values])
+
+
+def context_tags(df: DataFrame, tokens_col: str, before_noun: list[str], before_verb: list[str]) -> DataFrame:
+    """T-10: a tag table ``(word, tag)`` from the words' company: a word that
+    stands after one of ``before_noun`` at least as often as after one of
+    ``before_verb`` is a noun, the other way round a verb. Words that follow
+    neither are not in the table. Tokens are compared lower-cased; the two
+    counts are partial sums, and only following words are shuffled."""
+    toks = F.transform(tokens_col, lambda t: F.lower(t))
+    pairs = F.transform(F.filter(F.arrays_zip(F.slice("_t", F.lit(1), F.greatest(F.size("_t") - 1, F.lit(0))).alias("a"),
+                                              F.slice("_t", F.lit(2), F.greatest(F.size("_t") - 1, F.lit(0))).alias("b")),
+                                 lambda p: p["a"].isin(before_noun + before_verb)),
+                        lambda p: F.struct(p["b"].alias("word"), p["a"].isin(before_noun).alias("noun")))
+    said = df.select(toks.alias("_t")).filter(F.size("_t") > 1).select(F.explode(pairs).alias("_p")).select("_p.*")
+    counts = said.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum(F.col("noun").cast("long")).alias("n"), F.count(F.lit(1)).alias("both"))
+    return counts.select("word", F.when(2 * F.col("n") >= F.col("both"), "n").otherwise("v").alias("tag"))
+
+
 def polarity(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
              negations=None) -> DataFrame:
     """F-11: ``(id, sentiment_polarity)`` in [-1, 1]: the mean over lexicon
@@ -134,7 +183,8 @@ def polarity(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | Non
         lexicon = spark.createDataFrame(DEFAULT_POLARITY, "word string, polarity double, intensity double")
     toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD + "+"), 0)
     ex = df.select(id_col, F.posexplode_outer(toks).alias("pos", "word")).filter(F.col("word").isNotNull())
-    j = ex.join(lexicon, "word", "left")
+    counted = cut_lineage(ex.groupBy("word").agg(F.count(F.lit(1)).alias("_n")))
+    j = join_words(ex, counted, lexicon.select("word", "polarity", "intensity"), [id_col, "pos"])
     w = Window.partitionBy(id_col).orderBy("pos")
     j = (j.withColumn("_w1", F.lag("word", 1).over(w)).withColumn("_w2", F.lag("word", 2).over(w))
          .withColumn("_i1", F.lag("intensity", 1).over(w)).withColumn("_p1", F.lag("polarity", 1).over(w)))

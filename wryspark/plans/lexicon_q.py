@@ -38,9 +38,19 @@ def _tag_sql(w: str) -> str:
             f"WHEN suffix({w}, 'ous') OR suffix({w}, 'ful') OR suffix({w}, 'ive') THEN 'a' ELSE 'n' END")
 
 
-def _lemma_sql(noun: bool = False) -> str:
+# Words of the four languages that stand before a noun, and before a verb.
+BEFORE_NOUN = ["the", "a", "an", "der", "die", "das", "le", "la", "les", "el", "los"]
+BEFORE_VERB = ["to", "will", "zu", "que", "ne"]
+
+_CONTEXT = f"""cx AS (SELECT lower(word) AS word, lower(lag(word) OVER (PARTITION BY row_id ORDER BY pos)) AS prior FROM e),
+ct AS (SELECT word, CASE WHEN 2 * count(*) FILTER (WHERE prior IN ({', '.join(map(S.q, BEFORE_NOUN))})) >= count(*) THEN 'n' ELSE 'v' END AS tag
+  FROM cx WHERE prior IN ({', '.join(map(S.q, BEFORE_NOUN + BEFORE_VERB))}) GROUP BY word),
+"""
+
+
+def _lemma_sql(noun: bool = False, tags: bool = False) -> str:
     rules = []
-    tag_of = (lambda w: "'n'") if noun else _tag_sql
+    tag_of = (lambda w: "'n'") if noun else (lambda w: f"coalesce(ct.tag, {_tag_sql(w)})") if tags else _tag_sql
     for tag, rs in LX.RULES.items():
         for s, r in rs:
             rules.append(f"SELECT word, tag, left(word, length(word) - {len(s)}) || {S.q(r)} AS form FROM w "
@@ -48,7 +58,7 @@ def _lemma_sql(noun: bool = False) -> str:
     return f"""{S.HEADLINES},
 t AS (SELECT row_id, {S.ws_tokens(S.clean('headline'))} AS toks FROM merged),
 e AS (SELECT row_id, unnest(toks) AS word, unnest(generate_series(0, len(toks) - 1)) AS pos FROM t),
-tg AS (SELECT *, {tag_of('word')} AS tag FROM e),
+{_CONTEXT if tags else ""}tg AS (SELECT e.*, {tag_of('e.word')} AS tag FROM e {"LEFT JOIN ct ON ct.word = e.word" if tags else ""}),
 vocab AS (SELECT DISTINCT word FROM e),
 w AS (SELECT DISTINCT word, tag FROM tg),
 c AS (SELECT word, tag, word AS form FROM w UNION ALL {' UNION ALL '.join(rules)}),
@@ -77,6 +87,16 @@ def lemmatized_text_noun(spark, sf):
     return LX.lemmatize(m, "row_id", "toks", "lemmatized_headline", pos_mode=False)
 
 
+@register("context_tagged_lemmas", "T-10 T-08",
+          f"WITH {_lemma_sql(tags=True)} SELECT row_id, lemmatized_headline FROM lt")
+def context_tagged_lemmas(spark, sf):
+    """Lemmas by a tag table made from the words' company in the same texts;
+    the suffix rule has the words that the table lacks."""
+    m = _merged(spark, sf).withColumn("toks", T.ws_tokens(T.clean("headline")))
+    tags = LX.context_tags(m, "toks", BEFORE_NOUN, BEFORE_VERB)
+    return LX.lemmatize(m, "row_id", "toks", "lemmatized_headline", tags=tags)
+
+
 @register("tfidf_lemmatised", "E-01 T-08", f"""WITH {_lemma_sql()},
 tt AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id,
   unnest(regexp_extract_all(lower(lemmatized_headline), {S.q(TERM_PATTERN)})) AS term FROM lt) GROUP BY ALL),
