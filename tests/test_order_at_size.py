@@ -144,3 +144,10 @@ def test_numbering_has_small_windows(spark, wide):
         assert all((a, b + 1, c, n) == (0, k, k, k) for _, a, b, c, n, k in r)
     got = [x.row_id for x in hashed_index(rows, "h", ["row_id"], [], "i").orderBy("i").select("row_id").collect()]
     assert got == [x.row_id for x in rows.orderBy("h", "row_id").select("row_id").collect()]
+
+
+def test_bounded_fit_rows(spark, wide):
+    few = ML.bounded_fit_rows(wide, limit=1000)
+    assert few.columns == wide.columns and few.count() == few.distinct().count() == 1000
+    assert {r.row_id for r in few.collect()} == {r.row_id for r in ML.bounded_fit_rows(wide.repartition(7), limit=1000).collect()}
+    assert ML.bounded_fit_rows(wide.limit(50).checkpoint(), limit=1000).count() == 50
