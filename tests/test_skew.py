@@ -4,6 +4,7 @@ them. Results must equal a brute-force computation."""
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
 
 from wryspark.operators import profile as P
 
@@ -43,3 +44,13 @@ def test_cross_row_bigrams_under_skew(spark):
         for a, b in zip(stream, stream[1:]):
             exp[(lab, f"{a} {b}")] += 1
     assert got == dict(exp)
+
+
+def test_samples_of_one_explained_row_fill_all_tasks(spark):
+    from wryspark.operators.explain import perturb
+    rows = spark.createDataFrame([(1, "a few words to explain and a few more")], "row_id long, headline string").coalesce(1)
+    got = perturb(rows, "headline", 400).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in got.groupBy("task").count().collect()]
+    assert sum(sizes) == 400 and len(sizes) == 4 and max(sizes) < 160
+    whole = got.filter("sample = 0").first()
+    assert whole.headline == "a few words to explain and a few more" and list(whole._vocab) == ["a", "few", "words", "to", "explain", "and", "more"]
