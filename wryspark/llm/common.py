@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,18 @@ def crc_mod(column: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % n, F.lit(-1))
 
 
+#: What a worker process keeps between tasks of one operator: functions that let go of it.
+CACHES: list[Callable[[], None]] = []
+
+
+def drop_caches() -> None:
+    """For tasks that need none of the caches: a worker that ran another
+    operator before gives its memory back."""
+    for clear in CACHES:
+        clear()
+    pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty, without going through
     Python strings."""
