@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import drop_caches, slices, texts_of
 from .components import components
 from .wordhash import Words, mix, run_hash, run_sums
 
@@ -155,6 +155,7 @@ def _classes(docs: DataFrame, threshold: float, run_words: int, bands: int, rows
              block_words: int) -> DataFrame:
     """(_id, _hash, _class) of rows (_id, _text), one each."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             texts = texts_of(batch, "_text")
             for at, to in slices(list(map(len, texts)), _SLICE):
@@ -222,6 +223,7 @@ def _verify(docs: DataFrame, members: DataFrame, run_words: int, threshold: floa
         "_rep", "_a", "_b", "_group", "_blocks", F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int").alias("_block"))
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             texts = texts_of(batch, "_text")
             for at, to in slices(list(map(len, texts)), _SLICE):

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from .common import slices, texts_of
+from .common import drop_caches, slices, texts_of
 from .wordhash import Words, mix, run_hash, run_sums
 
 _STOP = np.zeros(256, bool)
@@ -141,6 +141,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             tags = batch.column("_tag").to_numpy()
             for at, to, _, unit, first, (start, end, a, b) in _rows_of(batch, unit_words, by_words, min_units, min_words):
@@ -173,6 +174,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                .groupBy("_id", "_text_tag").agg(F.collect_set("_span").alias("_spans"), F.collect_list("_more").alias("_more")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             texts, gone, more = (texts_of(batch, "_text"), *(batch.column(c).to_pylist() for c in ("_spans", "_more")))
             kept, n_units, n_gone, words_gone = list(texts), [0] * len(texts), [0] * len(texts), [0] * len(texts)
