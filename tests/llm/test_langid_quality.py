@@ -67,6 +67,81 @@ def test_quality(spark):
     assert quality.accepted(docs, model).columns == docs.columns
 
 
+def plain_scores(texts, learn, order, half, piece=200, level=3, size=112 * 1024):
+    """Texts' scores from ``learn`` [(id, text, label)] in plain Python; the
+    ids' hashes come from outside."""
+    import numpy as np
+    import zstandard
+    learn = sorted({(order[i], t.encode(), y, half[i]) for i, t, y in learn}, key=lambda r: r[0])
+    packs = []
+    for y in (1, 0):
+        samples = [t[k:k + 1000] for _, t, label, h in learn if (label, h) == (y, 0) for k in range(0, len(t), 1000)]
+        made = zstandard.train_dictionary(min(size, max(1024, sum(map(len, samples)) // 8)), samples, k=64, d=8, level=level)
+        packs.append(zstandard.ZstdCompressor(level=level, dict_data=made, write_content_size=False, write_checksum=False, write_dict_id=False))
+
+    def difference(t):
+        if not t:
+            return 0.0
+        g, b = (sum(len(p.compress(t[k:k + piece])) for k in range(0, len(t), piece)) for p in packs)
+        return (b - g) / min(b, g)
+
+    seen = {}
+    for _, t, y, h in learn:
+        if h == 1:
+            seen.setdefault(difference(t), []).append(y)
+    # The isotonic curve by its min-max formula.
+    xs = sorted(seen)
+    n, s = [len(seen[x]) for x in xs], [sum(seen[x]) for x in xs]
+    value = [max(min(sum(s[a:b + 1]) / sum(n[a:b + 1]) for b in range(i, len(xs))) for a in range(i + 1)) for i in range(len(xs))]
+    steps = []
+    for v in sorted(set(value)):
+        at = [i for i, u in enumerate(value) if abs(u - v) < 1e-12]
+        step = [xs[at[0]], xs[at[-1]], sum(s[i] for i in at), sum(n[i] for i in at)]
+        if steps and (steps[-1][3] < 10 or steps[-1][0] == step[0]):
+            old = steps.pop()
+            step = step if old[0] == step[0] else [old[0], step[1], old[2] + step[2], old[3] + step[3]]
+        steps.append(step)
+    if len(steps) > 1 and steps[-1][3] < 10:
+        last = steps.pop()
+        steps[-1] = [steps[-1][0], last[1], steps[-1][2] + last[2], steps[-1][3] + last[3]]
+    top = np.maximum.accumulate([(c + 1) / (m + 2) for _, _, c, m in steps]).tolist()
+    curve = []
+    for i, (lo, hi, _, _) in enumerate(steps):
+        lo = np.nextafter(steps[i - 1][1], np.inf) if i else lo
+        curve += [(lo, top[i] - 0.1 * (top[i] - (top[i - 1] if i else 0))), (hi, top[i] + 0.1 * ((top + [1])[i + 1] - top[i]))]
+    return [float(np.interp(difference(t.encode()), *map(list, zip(*curve)))) for t in texts]
+
+
+def test_quality_against_plain_python(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(6)
+    rows = [(i, bad(rng) if i % 3 == 0 else good(rng) if i % 5 else good(rng) + " " + bad(rng)) for i in range(160)]
+    learn = [(i, t, int(i % 3 != 0)) for i, t in rows[:120]]
+    rows += [(200, ""), (201, "x"), (202, good(rng) * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = docs.select("doc_id", F.xxhash64(F.lit(9), "doc_id").alias("o"), F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(2)).alias("h")).collect()
+    want = plain_scores([t for _, t in rows], learn, {r.doc_id: r.o for r in ids}, {r.doc_id: r.h for r in ids})
+    model = quality.fit(docs, spark.createDataFrame([(i, y) for i, _, y in learn], "doc_id long, quality int"))
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert all(abs(got[i] - w) < 1e-9 for (i, _), w in zip(rows, want))
+
+
+def test_a_repeated_id_does_not_crowd_out_the_others(spark):
+    rng = random.Random(7)
+    rows = [(i, bad(rng) if i % 4 == 0 else good(rng)) for i in range(400)]
+    labels = [(i, int(i % 4 != 0)) for i in range(400)] + [(1000, 0), (1001, 0)]
+    many = [(1000, f"{good(rng)} {k}") for k in range(6000)] + [(1001, "the same text")] * 7000
+    docs = spark.createDataFrame(rows + many, "doc_id long, text string").repartition(4)
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), rows_per_class=300)
+    got = {r.doc_id: r.score for r in quality.score(docs.filter("doc_id < 400"), model).collect()}
+    assert sum((got[i] >= 0.5) == (i % 4 != 0) for i in range(400)) >= 0.95 * 400
+
+
+def test_the_byte_bound_takes_whole_texts(spark):
+    rows = [{"_size": n} for n in (5, 100, 3, 7, 1)]
+    assert quality._chosen(rows, 9) == [{"_size": 5}, {"_size": 3}, {"_size": 1}]
+
+
 def test_quality_with_one_class_or_none(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
     for labels in ([], [(1, 1), (2, 1)], [(77, 0), (78, 1)], [(1, 0), (2, 1)]):
