@@ -246,12 +246,14 @@ def normalise(spark: SparkSession, archives: DataFrame, source: str, target: str
 _INDEX = "archive string, offset bigint, length bigint, type string, record_id string"
 
 
-def read(spark: SparkSession, target: str, archives: DataFrame, run_bytes: int = 8 << 20) -> DataFrame:
+def read(spark: SparkSession, target: str, archives: DataFrame, run_bytes: int = 8 << 20,
+         task_bytes: int = 16 << 20) -> DataFrame:
     """Every record of the normalised archives, read member by member at the
     index's offsets: ``(archive, record_id, record_type, refers_to,
     payload_digest, payload_bytes, payload)``. For a response the digest and
     the number of bytes are taken from the payload as read, for a revisit,
-    which stores none, from its header."""
+    which stores none, from its header. A task reads about ``task_bytes`` of the
+    archives, or less if every core is to have one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_name = stream = None
         for batch in batches:
@@ -289,7 +291,9 @@ def read(spark: SparkSession, target: str, archives: DataFrame, run_bytes: int =
     index = spark.read.schema(_INDEX).option("sep", "\t").option("quote", "").csv(f"{target}/*.idx")
     # Runs of neighbouring records go to one task; a large archive is many runs.
     run_no = F.floor(F.col("offset") / run_bytes)
-    dealt = (index.repartition(F.xxhash64("archive", run_no))
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    dealt = (index.repartition(tasks, F.xxhash64("archive", run_no))
              .sortWithinPartitions("archive", "offset").select("archive", "offset", "length"))
     return dealt.mapInArrow(run, "archive string, record_id string, record_type string, refers_to string, "
                                  "payload_digest string, payload_bytes bigint, payload binary")
