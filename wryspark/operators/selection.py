@@ -57,7 +57,7 @@ def fit_grid(features: DataFrame, candidates: list[tuple[str, Estimator, dict]],
 
     pool = ThreadPool(min(parallelism, len(candidates)))
     try:
-        fitted = pool.map(inheritable_thread_target(fit), candidates, chunksize=1)
+        fitted = pool.map(inheritable_thread_target(spark)(fit), candidates, chunksize=1)
     finally:
         pool.close()
     best = max(range(len(fitted)), key=lambda i: (fitted[i][1], -i))
