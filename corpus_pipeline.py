@@ -75,9 +75,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Rows that a Python worker is handed at a time: whole documents, a few kilobytes each as a rule.
+ROWS_PER_BATCH = 2000
+
+
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
+        spark.conf.set(setting, str(ROWS_PER_BATCH))
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
