@@ -210,7 +210,7 @@ def model_random_forest(spark, sf):
 @register("model_gradient_boosting", "L-05")
 def model_gradient_boosting(spark, sf):
     ensure_checkpoint_dir(spark)
-    _, a = _fit_score(spark, sf, ML.gradient_boosting(), 5000)
+    _, a = _fit_score(spark, sf, ML.gradient_boosting(), 5000, fit_rows=ML.spread_rows)
     return _split_scores(a, "gbt")
 
 
