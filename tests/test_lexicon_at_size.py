@@ -57,3 +57,24 @@ def test_context_tags(spark):
     out = LX.lemmatize(spark.createDataFrame([(1, ["lies"])], "row_id long, toks array<string>"), "row_id", "toks",
                        vocab=spark.createDataFrame([("lie",), ("ly",)], "word string"), tags=spark.createDataFrame([("lies", "n")], "word string, tag string"))
     assert out.first().lemmatized == "ly"
+
+
+def test_lemmas_are_put_into_whole_texts(spark):
+    rows = [(1, "dogs ran home".split()), (2, None), (3, []), (None, ["dogs", None, "dog"]), (4, ["dogs", "b"]), (4, ["a", "cats", "c"]), (4, None)]
+    df = spark.createDataFrame(rows, "row_id long, toks array<string>")
+    vocab = spark.createDataFrame([("dog",), ("cat",)], "word string")
+    lem = LX.lemmatize(df, "row_id", "toks", "out", vocab=vocab)
+    assert {r.row_id: r.out for r in lem.collect()} == {1: "dog ran home", 2: "", 3: "", None: "dog dog", 4: "a dog b cat c"}
+    assert "Generate" not in lem._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rare_words_are_replaced_beyond_the_broadcast_ones(spark):
+    rows = [(i, [f"w{i % 7}", "kept", f"w{i % 5}", None]) for i in range(40)] + [(None, ["w6", "w0"]), (50, None), (50, ["w1"])]
+    df = spark.createDataFrame(rows, "row_id long, toks array<string>")
+    changed = spark.createDataFrame([(f"w{k}", f"l{k}", 40 - k) for k in range(7)], "word string, lemma string, _n long")
+
+    def got(limit):
+        return sorted(map(str, LX.replace_words(df, "row_id", "toks", changed, limit).collect()))
+    want = sorted(str(r) for r in spark.createDataFrame(
+        [(i, t and [w and w.replace("w", "l") for w in t]) for i, t in rows], "row_id long, toks array<string>").collect())
+    assert got(100) == want and got(3) == want and got(7) == want
