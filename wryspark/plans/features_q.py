@@ -24,9 +24,9 @@ def clean_text(spark, sf):
           f"""SELECT doc_id, {S.ws_tokens('text')} AS ws_tokens, {S.word_tokens('text')} AS word_tokens,
   {S.alpha_tokens('text')} AS alpha_tokens, {S.filtered_tokens('text')} AS filtered_tokens FROM documents""")
 def token_arrays(spark, sf):
-    return documents(spark, sf).select(
-        "doc_id", T.ws_tokens("text").alias("ws_tokens"), T.word_tokens("text").alias("word_tokens"),
-        T.alpha_tokens("text").alias("alpha_tokens"), T.filtered_tokens("text").alias("filtered_tokens"))
+    # Each list is made from the one before, so that a text is tokenised once.
+    rows = documents(spark, sf).select("doc_id", T.ws_tokens("text").alias("ws_tokens"), T.word_tokens("text").alias("word_tokens"))
+    return rows.withColumn("alpha_tokens", T.alphabetic("word_tokens")).withColumn("filtered_tokens", T.filtered("alpha_tokens"))
 
 
 @register("stopword_text", "T-06 T-12",
