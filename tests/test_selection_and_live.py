@@ -107,3 +107,24 @@ def test_live_summaries_equal_the_batch(spark):
     batch = extractive_summary(docs, "row_id", "text", EN.tfidf_apply(docs, spark.read.parquet(weights), "text"))
     assert got == {r.row_id: r.summary for r in batch.collect()} and len(got) == 44
     assert got[103] == "only unseen terms qqqq. zzzz rrrr." and got[101] == ""
+
+
+def test_sentences_are_scored_inside_their_document(spark):
+    rows = [(1, "plain words stand here. rare zebra. plain words again."), (2, "One two. Three four."), (2, "Five six. Zebra seven."),
+            (3, None), (4, ""), (None, "First here. Zebra there."), (5, "No weight. At all.")]
+    docs = spark.createDataFrame(rows, "row_id long, text string")
+    weights = spark.createDataFrame([(1, "rare", 0.5), (1, "zebra", 0.9), (1, "plain", 0.1), (2, "zebra", 1.0), (None, "zebra", 1.0)],
+                                    "row_id long, term string, weight double")
+    out = extractive_summary(docs, "row_id", "text", weights, 1, 2)
+    got = sorted((r.row_id or 0, r.summary if r.summary is not None else "-") for r in out.collect())
+    assert got == [(0, "First here."), (1, "rare zebra."), (2, "Three four."), (2, "Zebra seven."), (3, "-"), (4, ""), (5, "No weight.")]
+    # Only texts that share an id are taken apart again; sentences and terms are not.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
+def test_tokens_are_made_once(spark, tmp_path):
+    from wryspark.plans.features_q import token_arrays
+    spark.createDataFrame([(1, "It's a dog... yes.")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = token_arrays(spark, str(tmp_path))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(r"\.{2,}") == 2  # one tokenising, with and without apostrophes
+    assert out.first().filtered_tokens == ["dog", "yes"]

@@ -9,7 +9,10 @@ HTML, and the stored pages are malformed.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -56,24 +59,66 @@ def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: Dat
     earlier one), then take ``clamp(words in it, min_words, max_words)``
     whitespace words starting at it.
 
-    ``weights`` is a long table ``(id_col, term, weight)`` such as
-    ``tfidf_long`` over the same documents. Work per document only:
-    sentences and their terms never leave their document's group.
+    ``weights`` is a long table ``(id_col, term, weight)``, a row per term of
+    a document, such as ``tfidf_long`` over the same documents. A document's
+    weights come to its text as one list, and its sentences are scored there;
+    neither sentences nor their terms are shuffled. Rows that repeat an id are
+    scored together, sentence by sentence; rows without an id take their first.
     """
     from ..operators.encode import tfidf_terms
-    sents = docs.select(id_col, F.posexplode_outer(T.sentences(text_col)).alias("s_idx", "sentence")) \
-        .filter(F.col("sentence").isNotNull())
-    terms = sents.select(id_col, "s_idx", F.explode(tfidf_terms("sentence")).alias("term"))
-    scored = terms.join(weights, [id_col, "term"], "left").groupBy(id_col, "s_idx").agg(
-        # Rounded, so that sentences of one weight tie whatever the order of the sum.
-        F.round(F.avg(F.coalesce("weight", F.lit(0.0))), 9).alias("score"))
-    best = scored.withColumn("_r", F.row_number().over(
-        Window.partitionBy(id_col).orderBy(F.col("score").desc(), "s_idx"))).filter("_r = 1") \
-        .select(id_col, F.col("s_idx").alias("best"))
-    d = docs.select(id_col, T.sentences(text_col).alias("_s")).join(best, id_col, "left") \
-        .withColumn("best", F.coalesce("best", F.lit(0)))
+    own = weights.groupBy(F.col(id_col).alias("_of")).agg(
+        F.collect_list("term").alias("_terms"), F.collect_list(F.coalesce("weight", F.lit(0.0))).alias("_weights"))
+    d = docs.groupBy(id_col).agg(F.collect_list(F.struct(T.sentences(text_col).alias("s"))).alias("_rows")) \
+        .join(own, F.col(id_col) == F.col("_of"), "left")
+    terms = F.transform("_rows", lambda row: F.transform(row["s"], lambda s: tfidf_terms(s)))
+    best = F.when(F.col(id_col).isNotNull(), F.arrow_udf(_best_sentences, "int")(terms, "_terms", "_weights")).otherwise(0)
+    d = d.select(id_col, best.alias("best"), F.explode("_rows").alias("_row")).select(id_col, "best", F.col("_row.s").alias("_s"))
     tail = F.slice("_s", F.col("best") + 1, F.greatest(F.size("_s"), F.lit(1)))
     first_len = F.size(T.ws_tokens(F.coalesce(F.try_element_at("_s", F.col("best") + 1), F.lit(""))))
     words = T.ws_tokens(F.array_join(tail, " "))
     n_take = F.least(F.lit(max_words), F.greatest(F.lit(min_words), first_len))
     return d.select(id_col, F.array_join(F.slice(words, 1, n_take), " ").alias("summary"))
+
+
+#: Documents scored at once, so that the arrays stay small.
+_SCORED_ROWS = 500
+
+
+def _best_sentences(rows: pa.Array, terms: pa.Array, weights: pa.Array) -> pa.Array:
+    """Per document the place of the sentence with the highest mean weight."""
+    parts = [_best(*(x.slice(at, _SCORED_ROWS) for x in (rows, terms, weights))) for at in range(0, len(rows), _SCORED_ROWS)]
+    return pa.array(np.concatenate([np.zeros(0, np.int32), *parts]))
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+
+
+def _best(rows: pa.Array, terms: pa.Array, weights: pa.Array) -> np.ndarray:
+    texts = rows.flatten()
+    sentences = texts.flatten()
+    doc = np.repeat(np.repeat(np.arange(len(rows)), _sizes(rows)), _sizes(texts))
+    in_text = _sizes(texts)
+    place = np.arange(len(sentences)) - np.repeat(np.cumsum(in_text) - in_text, in_text)
+    said, known = sentences.flatten().cast(pa.string()), terms.flatten().cast(pa.string())
+    codes = pa.concat_arrays([known, said]).dictionary_encode()
+    span, codes = len(codes.dictionary), codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.arange(len(sentences)), _sizes(sentences))
+    keys = np.repeat(np.arange(len(terms)), _sizes(terms)) * span + codes[:len(known)]
+    order = np.argsort(keys, kind="stable")
+    keys, value = keys[order], weights.flatten().to_numpy(zero_copy_only=False)[order]
+    weight = np.zeros(len(said))
+    if len(keys):
+        asked = doc[of] * span + codes[len(known):]
+        at = np.searchsorted(keys, asked).clip(max=len(keys) - 1)
+        weight = np.where(keys[at] == asked, value[at], 0.0)
+    # Sentences of one document and place are one: they come from rows with one id.
+    wide = int(place.max(initial=0)) + 1
+    group, back = np.unique((doc * wide + place)[of], return_inverse=True)
+    # Rounded, so that sentences of one weight tie whatever the order of the sum.
+    score = np.round(np.bincount(back, weight, len(group)) / np.bincount(back, minlength=len(group)), 9)
+    out = np.zeros(len(rows), np.int32)
+    first = np.lexsort((group % wide, -score, group // wide))
+    docs, start = np.unique(group[first] // wide, return_index=True)
+    out[docs] = group[first][start] % wide
+    return out
