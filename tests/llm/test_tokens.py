@@ -34,6 +34,15 @@ def test_ids_are_the_librarys(name):
         assert np.frombuffer(encode([t or ""])[0], "<u4").tolist() == want
 
 
+def test_the_library_is_asked_once_for_a_word():
+    encode, asked = WordEncoder(vocabulary("byte_bpe_50k.json")), []
+    merge, whole = encode.words.merge, encode.whole
+    encode.words.merge = lambda w: asked.append(w) or merge(w)
+    encode.whole = encode.words.whole = lambda t: asked.append(t) or whole(t)
+    encode([f"First word{c}.\nThen last." for c in "abcdefgh"])
+    assert len(asked) == len(set(asked))
+
+
 def test_packing(spark):
     rows = [(i * 7, t, 1) for i, t in enumerate(texts())] + [(None, "null id", 1), (7, "a second row", 1), (7, "a second row", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, piece int").repartition(4)
