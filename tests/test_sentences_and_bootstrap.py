@@ -65,6 +65,14 @@ def test_planted_abbreviations_are_learnt_and_end_no_sentence(spark):
     assert none.sentences == ["Ends with dr."]
 
 
+def test_pieces_are_joined_without_a_fold(spark):
+    docs = spark.createDataFrame([(1, "Ask (Dr. No) or\tdr. Who. Then\u2028dr. go dr."), (2, "It's a dr.\u2028 No end")], "id long, t string")
+    cut = SE.split_sentences(docs, "id", "t", spark.createDataFrame([("dr",)], "word string"))
+    assert "aggregate(" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: r.sentences for r in cut.collect()}
+    assert got[1] == ["Ask (Dr. No) or\tdr. Who.", "Then\u2028dr.", "go dr."] and got[2] == ["It's a dr.\u2028 No end"]
+
+
 def test_abbreviations_of_nothing(spark):
     docs = spark.createDataFrame([(1, "no period here"), (2, None)], "id long, t string")
     assert SE.learn_abbreviations(docs, "t").count() == 0

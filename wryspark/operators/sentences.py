@@ -5,8 +5,9 @@ is learnt from the corpus alone, without labels: an abbreviation nearly always
 has its period, is short, and may hold more periods inside. One aggregate
 counts every word with and without a period; a log-likelihood ratio weighted
 by those three properties decides. The table of abbreviations is joined to
-the different period-ended words of each document, so that a document's own
-few abbreviations come back to it and the splitting is local to the row.
+the different words that end a piece of a document with a period, so that a
+document's own few abbreviations come back to it and the splitting is local to
+the row.
 
 The later stages of the paper (initials, ordinals, and the spelling of the
 word after the period) are not built.
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import regex as rx
 from ..functions import text as T
+from ..session import cut_lineage
 
 #: What may stand around a word, and what a word with a period looks like.
 AROUND = r"^[\"'(\[]+|[\"')\],;:!?]+$"
@@ -31,14 +33,6 @@ def _bare(token: Column) -> Column:
     return F.lower(F.regexp_replace(token, AROUND, ""))
 
 
-def word_types(c) -> Column:
-    """Array of ``(word, period)``: every word of letters, lower-cased and
-    without its last period, and whether it had one."""
-    bare = F.transform(T.ws_tokens(c), _bare)
-    pairs = F.transform(bare, lambda t: F.struct(F.regexp_replace(t, r"\.$", "").alias("word"), t.endswith(".").alias("period")))
-    return F.filter(pairs, lambda p: p["word"].rlike(TYPE))
-
-
 def learn_abbreviations(docs: DataFrame, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """``(word, score)`` of the words whose score reaches ``threshold``.
 
@@ -46,8 +40,13 @@ def learn_abbreviations(docs: DataFrame, text_col: str, threshold: float = THRES
     log-likelihood ratio of "the period comes at the corpus's rate" against
     "it comes in 99 of 100 cases"; ``periods`` counts the last one too, and
     ``without`` how often the word had none."""
-    words = docs.select(F.explode(word_types(text_col)).alias("_p")).select("_p.*")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("period").cast("long")).alias("dots"))
+    # Words are counted as they stand, so that only different ones are stripped of their marks.
+    tokens = docs.select(F.explode_outer(F.split(text_col, rx.SPACE + "+")).alias("_token")).filter("_token != ''") \
+        .groupBy("_token").agg(F.count(F.lit(1)).alias("_n"))
+    words = tokens.select(_bare(F.col("_token")).alias("_bare"), "_n") \
+        .select(F.regexp_replace("_bare", r"\.$", "").alias("word"), F.when(F.endswith("_bare", F.lit(".")), F.col("_n")).otherwise(0).alias("_dots"), "_n")
+    # Read twice below.
+    counts = cut_lineage(words.filter(F.col("word").rlike(TYPE)).groupBy("word").agg(F.sum("_n").alias("n"), F.sum("_dots").alias("dots")))
     total = counts.agg(F.sum("n").alias("tokens"), F.sum("dots").alias("all_dots"))
     rate = F.col("all_dots") / F.col("tokens")
     without = F.col("n") - F.col("dots")
@@ -66,25 +65,20 @@ def split_sentences(docs: DataFrame, id_col: str, text_col: str, abbreviations:
     space, unless the word before a lone period is one of ``abbreviations
     (word)``. Sentences are stripped, empty ones dropped; a null text has none.
     Ids must be unique."""
-    dotted = F.filter(word_types(text_col), lambda p: p["period"])
-    own = docs.select(id_col, F.explode(F.array_distinct(F.transform(dotted, lambda p: p["word"]))).alias("word")) \
-        .join(abbreviations.select("word"), "word", "left_semi").groupBy(id_col).agg(F.collect_set("word").alias("_abbr"))
-    rows = docs.select(id_col, F.col(text_col).alias("_t")).join(own, id_col, "left") \
-        .withColumn("_abbr", F.coalesce("_abbr", F.array().cast("array<string>")))
-    marked = F.regexp_replace(T.strip(F.col("_t")), r"([.!?][\"')\]]*)" + rx.SPACE + "+", "$1" + _MARK)
-
-    def is_open(piece: Column) -> Column:
-        """Does a piece end in an abbreviation and its period?"""
-        last = _bare(F.regexp_extract(piece, r"([^ \t\n\x0B\f\r]*)$", 1))
-        return last.endswith(".") & F.array_contains("_abbr", F.regexp_replace(last, r"\.$", ""))
-
-    def add(state: Column, piece: Column) -> Column:
-        joined = F.concat(F.slice(state["done"], F.lit(1), F.size(state["done"]) - 1),
-                          F.array(F.concat(F.element_at(state["done"], -1), F.lit(" "), piece)))
-        done = F.when(state["open"], joined).otherwise(F.concat(state["done"], F.array(piece)))
-        return F.struct(is_open(piece).alias("open"), done.alias("done"))
-
+    marked = F.regexp_replace(T.strip(F.col(text_col)), r"([.!?][\"')\]]*)" + rx.SPACE + "+", "$1" + _MARK)
     pieces = F.filter(F.transform(F.split(F.coalesce(marked, F.lit("")), _MARK), T.strip), lambda s: s != "")
-    start = F.struct(F.lit(False).alias("open"), F.array().cast("array<string>").alias("done"))
-    return rows.select(id_col, pieces.alias("_pieces"), "_abbr").select(
-        id_col, F.aggregate("_pieces", start, add)["done"].alias("sentences"))
+
+    def ending(piece: Column) -> Column:
+        """The word before a piece's last period, empty if that doesn't end it."""
+        last = F.regexp_extract(piece, r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]*+)\z", 1)
+        return F.regexp_extract(_bare(last), r"(?s)^(.*)\.\z", 1)
+
+    own = docs.select(id_col, F.explode_outer(F.array_distinct(F.transform(pieces, ending))).alias("word")) \
+        .filter("word != ''").join(abbreviations.select("word"), "word", "left_semi") \
+        .groupBy(id_col).agg(F.collect_set("word").alias("_abbr"))
+    rows = docs.select(id_col, F.col(text_col)).join(own, id_col, "left")
+    # A piece that ends in an abbreviation goes on after a space; no piece holds the mark.
+    is_open = lambda piece: F.array_contains("_abbr", ending(piece))
+    lines = F.concat_ws("", F.transform(pieces, lambda p: F.concat(p, F.when(is_open(p), " ").otherwise(_MARK))))
+    done = F.filter(F.transform(F.split(lines, _MARK), T.strip), lambda s: s != "")
+    return rows.select(id_col, done.alias("sentences"))
