@@ -38,3 +38,15 @@ def test_rows_of_a_boosting_task_are_bounded(spark):
     assert max(len(p) for p in got.rdd.glom().collect()) < 200
     assert sorted(r.row_id for r in got.collect()) == list(range(2000))
     assert spread_rows(df, rows=1000).rdd.getNumPartitions() == 2
+
+
+def test_relational_weights_are_made_once(spark, tmp_path):
+    from wryspark.plans.models_q import nb_attributions
+    rows = [(i, f"word{i % 7} other{i % 3} both {'good' if i % 2 else 'bad'}{i}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    made = nb_attributions(spark, str(tmp_path))
+    # The one window that is left ranks the attributions.
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert made.select("row_id").distinct().count() == 12

@@ -404,8 +404,9 @@ def _nb_scores(spark, sf):
     # Term counts of both splits feed the fit and the scores.
     terms = cut_lineage(EN.term_table(data, "headline"))
     own = train.select("row_id")
-    idf = EN.idf_of(terms.join(own, "row_id", "left_semi"), train.agg(F.count(F.lit(1))).scalar())
-    weights = EN.weights_of(terms, idf)
+    idf = cut_lineage(EN.idf_of(terms.join(own, "row_id", "left_semi"), train.agg(F.count(F.lit(1))).scalar()))
+    # The fit, the means and the test rows read the weights.
+    weights = cut_lineage(EN.weights_of(terms, idf))
     train_w = weights.join(own, "row_id", "left_semi")
     test_w = weights.join(test.select("row_id"), "row_id", "left_semi")
     priors, theta = ML.nb_fit_long(train_w, train.select("row_id", "label"), idf.select("term"))
