@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from wryspark.llm import lm
@@ -114,3 +115,58 @@ def test_the_query_has_two_words_of_context(spark, tmp_path):
         .write.parquet(str(tmp_path / "documents.parquet"))
     by = {r.doc_id: r.score for r in QUERIES["op1_kneser_ney"](spark, str(tmp_path)).collect()}
     assert by[40] > by[41] + 0.5
+
+
+def test_order_four_equals_the_formulas(spark):
+    train = corpus(60, 4) + ["zz " * 400, "", "one two"] + ["copied text of five words"] * 5
+    other = corpus(10, 5) + ["", "never seen words at all", "copied text of five words", "w0"]
+    model = lm.fit(spark.createDataFrame([(t,) for t in train], "text string").repartition(3),
+                   shared_path(spark, "lm"), order=4, shard_bytes=500, flush=200)
+    ref = Reference(train, 4)
+    for r in lm.score(spark.createDataFrame(list(enumerate(other)), "doc_id long, text string"), model).collect():
+        assert abs(r.score - ref.score(other[r.doc_id])[3]) < 1e-9 * abs(r.score)
+
+
+def test_bytes_a_gram(spark):
+    """The model takes under 16 bytes of disk a token, and a trigram under 9 on its way through the shuffle."""
+    from urllib.parse import urlparse
+    from pathlib import Path
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(20000)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(20000)], k=300)) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = lm.fit(df, shared_path(spark, "lm"), order=3)
+    size = sum(f.stat().st_size for f in Path(urlparse(model.uri).path).iterdir())
+    assert model.tokens == 150_500 and size < 16 * model.tokens
+    runs = [["<s>", *tokens(t)] for t in texts]
+    trigrams = len({g for r in runs for g in zip(r, r[1:], r[2:])})
+    dealt = df.selectExpr("text as _text").coalesce(1).mapInArrow(lm._count_task(model, 2_000_000), lm._DEALT)
+    assert sum(len(r.blob) for r in dealt.collect()) < 9 * trigrams
+
+
+@pytest.mark.parametrize("ids", [7, 1 << 21, 1 << 23, 1 << 40])
+def test_rows_are_grouped_packed_and_unpacked(ids):
+    rng = np.random.default_rng(7)
+    some = rng.integers(0, ids, 6, dtype=np.uint64)
+    keys = [rng.choice(some, 5000) for _ in range(4)]
+    keys[3][:2] = ids
+    counts = rng.integers(1, 1 << 33, 5000, dtype=np.uint64)
+    want = Counter()
+    for *key, n in zip(*(k.tolist() for k in keys), counts.tolist()):
+        want[tuple(key)] += n
+    got, (sums,) = lm._grouped(keys, [counts], ids)
+    assert list(zip(zip(*(k.tolist() for k in got)), sums.tolist())) == sorted(want.items())
+    back, values = lm._unpack(lm._pack(got, [sums, sums % np.uint64(3)]))
+    assert all((a == b).all() for a, b in zip([*got, sums, sums % np.uint64(3)], [*back, *values], strict=True))
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 40, 5000])
+def test_hashes_are_found_in_their_buckets(n):
+    rng = np.random.default_rng(8)
+    have = rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
+    if n:
+        # Many that differ only in the lowest bits that are kept.
+        have = np.unique(np.r_[have, have[0] ^ (np.arange(200, dtype=np.uint64) << np.uint64(25))])
+    wanted = np.r_[have, rng.integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1), have ^ np.uint64(1 << 40)]
+    row = {h: i for i, h in enumerate(have.tolist())}
+    assert lm._places(wanted, *lm._bucketed(have)).tolist() == [row.get(h, -1) for h in wanted.tolist()]
