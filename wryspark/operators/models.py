@@ -2,9 +2,9 @@
 
 Everything is a ``pyspark.ml`` ``Pipeline``: fitting is distributed by
 MLlib, scoring is ``PipelineModel.transform``. The only custom stages are
-the smooth IDF (``encode.SmoothIDF``) and the random Fourier features of
-the kernel-SVM stand-in, an Arrow ``pandas_udf`` that regenerates its
-projection from a seed on each worker (nothing is broadcast).
+the smooth IDF (``encode.SmoothIDF``), the trees over sparse features
+(``trees``), and the kernel features of the kernel-SVM stand-in; the random
+ones regenerate their projection from a seed on each worker.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes,
-                                       RandomForestClassifier)
+                                       MultilayerPerceptronClassifier, NaiveBayes)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -27,6 +26,7 @@ from pyspark.sql import types as Ty
 from .cbow import cbow_vectors
 from .encode import tfidf_stages
 from .split import shuffled
+from .trees import SparseRandomForest
 
 
 def logistic_regression(C: float, n_train: int, max_iter: int = 100, label_col: str = "label",
@@ -188,22 +188,16 @@ def kernel_svm(label_col: str = "label", num_features: int = 300, seed: int = 42
     return [features, LinearSVC(featuresCol=features.getOutputCol(), labelCol=label_col, regParam=0.0, maxIter=100)]
 
 
-#: Rows that a forest of unpruned trees is fitted on at most: such trees grow
-#: with the rows, and the fitted forest is held by the driver.
-FOREST_ROWS = 200_000
-
-
 def random_forest(label_col: str = "label", seed: int = 42):
-    """L-04: 100 trees, sqrt features per split, deepest depth Spark allows.
-    Fit it on ``bounded_fit_rows``."""
-    return RandomForestClassifier(featuresCol="features", labelCol=label_col, numTrees=100, maxDepth=30,
-                                  featureSubsetStrategy="sqrt", seed=seed)
+    """L-04: 100 trees on all rows, sqrt features per split, to depth 30, the
+    deepest that MLlib allows."""
+    return SparseRandomForest(labelCol=label_col, numTrees=100, maxDepth=30, seed=seed)
 
 
-def bounded_fit_rows(train: DataFrame, key: str = "row_id", limit: int = FOREST_ROWS) -> DataFrame:
-    """The ``limit`` training rows that come first in the seeded order of
-    ``key``; all rows, if there are no more. Rows are numbered in hash buckets,
-    so no task sees more than its share of them."""
+def bounded_fit_rows(train: DataFrame, key: str = "row_id", limit: int = 200_000) -> DataFrame:
+    """The ``limit`` rows that come first in the seeded order of ``key``; all
+    rows, if there are no more. Rows are numbered in hash buckets, so no task
+    sees more than its share of them. No query fits on such a cut."""
     return shuffled(train, key, name="_place").filter(F.col("_place") < limit).drop("_place")
 
 
