@@ -115,3 +115,15 @@ def test_edges_come_from_all_rows(spark):
     assert bins[0] == 0 and bins[1] > 0 and np.bincount(bins)[1:].max() <= 8
     # One value beside zero needs one edge; a negative one lies below zero's bin.
     assert [np.searchsorted(edges[start[j]:start[j + 1]], TR.ordered(v)).tolist() for j, v in ((1, [-2, 0]), (2, [0, 1]))] == [[0, 1], [0, 1]]
+
+
+def test_forest_query_fits_all_rows(spark, tmp_path, monkeypatch):
+    """No cut of the training rows: as many as the split has go in."""
+    rows = [(i, f"word{i % 7} other{i % 3} {'good' if i % 3 else 'bad'} day{i}") for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(ML, "bounded_fit_rows", lambda *a, **k: (_ for _ in ()).throw(AssertionError("a cut")))
+    seen, real = [], TR.stored_rows
+    monkeypatch.setattr(TR, "stored_rows", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = {r.split: r.accuracy for r in Q.model_random_forest(spark, str(tmp_path)).collect()}
+    assert seen[0].count() == 72 and got["train"] > 0.9 and set(got) == {"train", "test"}
