@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.markup import title_and_body
 from ..functions.wordlists import BODY_ALLOWED_PARENTS, BODY_BLOCKLIST, LINK_PREFIX_LEN
+from ..session import cut_lineage, small_side
+from .encode import tfidf_terms
+
 
 def extract_articles(pages: DataFrame) -> DataFrame:
     """T-13: ``(page_id, url, title, body)`` for every stored page; a null or
@@ -53,7 +56,7 @@ def lead_sentence(c):
     return F.coalesce(F.try_element_at(T.sentences(c), F.lit(1)), F.lit(""))
 
 
-def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: DataFrame,
+def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: DataFrame | None = None,
                        min_words: int = 10, max_words: int = 30) -> DataFrame:
     """R-07: pick the sentence with the highest mean term weight (ties: the
     earlier one), then take ``clamp(words in it, min_words, max_words)``
@@ -64,14 +67,20 @@ def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: Dat
     weights come to its text as one list, and its sentences are scored there;
     neither sentences nor their terms are shuffled. Rows that repeat an id are
     scored together, sentence by sentence; rows without an id take their first.
+
+    Without ``weights`` they are ``tfidf_long`` of ``docs`` themselves, worked
+    out in the text: no row per document and term is made, but for rare terms.
     """
-    from ..operators.encode import tfidf_terms
-    own = weights.groupBy(F.col(id_col).alias("_of")).agg(
-        F.collect_list("term").alias("_terms"), F.collect_list(F.coalesce("weight", F.lit(0.0))).alias("_weights"))
+    score = F.arrow_udf(_best_sentences, "int")
+    if weights is None:
+        own, score = _rare_idfs(docs, id_col, text_col)
+    else:
+        own = weights.groupBy(F.col(id_col).alias("_of")).agg(
+            F.collect_list("term").alias("_terms"), F.collect_list(F.coalesce("weight", F.lit(0.0))).alias("_weights"))
     d = docs.groupBy(id_col).agg(F.collect_list(F.struct(T.sentences(text_col).alias("s"))).alias("_rows")) \
         .join(own, F.col(id_col) == F.col("_of"), "left")
     terms = F.transform("_rows", lambda row: F.transform(row["s"], lambda s: tfidf_terms(s)))
-    best = F.when(F.col(id_col).isNotNull(), F.arrow_udf(_best_sentences, "int")(terms, "_terms", "_weights")).otherwise(0)
+    best = F.when(F.col(id_col).isNotNull(), score(terms, "_terms", "_weights")).otherwise(0)
     d = d.select(id_col, best.alias("best"), F.explode("_rows").alias("_row")).select(id_col, "best", F.col("_row.s").alias("_s"))
     tail = F.slice("_s", F.col("best") + 1, F.greatest(F.size("_s"), F.lit(1)))
     first_len = F.size(T.ws_tokens(F.coalesce(F.try_element_at("_s", F.col("best") + 1), F.lit(""))))
@@ -80,6 +89,85 @@ def extractive_summary(docs: DataFrame, id_col: str, text_col: str, weights: Dat
     return d.select(id_col, F.array_join(F.slice(words, 1, n_take), " ").alias("summary"))
 
 
+def term_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(term, df)``: in how many documents a term stands; rows that repeat an
+    id are one document. Only the terms of those rows are shuffled singly."""
+    again = small_side(docs.groupBy(F.col(id_col).alias("_again")).count().filter("count > 1").select("_again", F.lit(True).alias("_twice")))
+    terms = F.explode_outer(F.array_distinct(tfidf_terms(text_col))).alias("term")
+    rows = docs.select(F.col(id_col).alias("_id"), text_col).join(again, F.col("_id").eqNullSafe(F.col("_again")), "left")
+    once = rows.filter("_twice is null").select(terms).filter("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    twice = rows.filter("_twice").select("_id", terms).filter("term is not null").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return once.unionByName(twice).groupBy("term").agg(F.sum("df").alias("df"))
+
+
+#: Terms whose document frequencies are broadcast, about 10 MB: the most frequent ones, if there are more.
+NEAR_TERMS = 200_000
+
+
+def _rare_idfs(docs: DataFrame, id_col: str, text_col: str):
+    """``(_of, _terms, _weights)`` with the idf of a document's rare terms, and
+    the function that scores its sentences with them.
+
+    The ``NEAR_TERMS`` most frequent terms are broadcast. A term that is neither
+    among them nor in its document's list stands in that document alone."""
+    n = docs.count()
+    found = cut_lineage(term_documents(docs, id_col, text_col))
+    near = found.orderBy(F.col("df").desc(), "term").limit(NEAR_TERMS).collect()
+    idf = lambda df: float(np.log((1 + n) / (1 + df)) + 1)
+    table = docs.sparkSession.sparkContext.broadcast(([r.term for r in near], [idf(r.df) for r in near]))
+    score = F.arrow_udf(_own_scorer(table, idf(1)), "int")
+    if len(near) < NEAR_TERMS:
+        nothing = docs.select(F.col(id_col).alias("_of"), F.lit(None).cast("array<string>").alias("_terms"),
+                              F.lit(None).cast("array<double>").alias("_weights")).limit(0)
+        return nothing, score
+    last = near[-1]
+    rare = found.filter((F.col("df") > 1) & ((F.col("df") < last.df) | ((F.col("df") == last.df) & (F.col("term") > last.term))))
+    rare = rare.select("term", (F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + F.lit(1)).alias("_idf"))
+
+    def others(terms: pa.Array) -> pa.Array:
+        flat = terms.flatten().cast(pa.string())
+        far = pc.invert(pc.is_in(flat, value_set=pa.array(table.value[0], pa.string())))
+        sizes = _sizes(terms)
+        kept = np.bincount(np.repeat(np.arange(len(terms)), sizes)[far.to_numpy(zero_copy_only=False)], minlength=len(terms))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(kept)].astype(np.int32)), flat.filter(far))
+
+    far = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_of"), F.explode_outer(
+        F.arrow_udf(others, "array<string>")(F.array_distinct(tfidf_terms(text_col)))).alias("term")).filter("term is not null")
+    own = far.join(rare, "term").groupBy("_of").agg(F.collect_list("term").alias("_terms"), F.collect_list("_idf").alias("_weights"))
+    return own, score
+
+
+def _own_scorer(table, alone: float):
+    """As ``_best_sentences``, from idfs: a document's weights are made of the
+    terms of its own sentences."""
+    def scored(rows: pa.Array, terms: pa.Array, idfs: pa.Array) -> pa.Array:
+        near, known = pa.array(table.value[0], pa.string()), np.array([*table.value[1], alone])
+        parts = [np.zeros(0, np.int32)]
+        for at in range(0, len(rows), _SCORED_ROWS):
+            r, t, w = (x.slice(at, _SCORED_ROWS) for x in (rows, terms, idfs))
+            said = r.flatten().flatten().flatten().cast(pa.string())
+            words = pa.concat_arrays([t.flatten().cast(pa.string()), said]).dictionary_encode()
+            span, codes = len(words.dictionary), words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = r.flatten()
+            doc = np.repeat(np.repeat(np.repeat(np.arange(len(r)), _sizes(r)), _sizes(texts)), _sizes(texts.flatten()))
+            keys, tf = np.unique(doc * span + codes[len(codes) - len(said):], return_counts=True)
+            place = pc.fill_null(pc.index_in(words.dictionary, value_set=near), len(near)).to_numpy(zero_copy_only=False)
+            idf = known[place[keys % span]] if span else np.zeros(0)
+            # A document's own list goes before.
+            own = np.repeat(np.arange(len(r)), _sizes(t)) * span + codes[:len(codes) - len(said)]
+            if len(own):
+                order = np.argsort(own, kind="stable")
+                where = np.searchsorted(own[order], keys).clip(max=len(own) - 1)
+                idf = np.where(own[order][where] == keys, w.flatten().to_numpy(zero_copy_only=False)[order][where], idf)
+            weight, of = tf * idf, keys // max(span, 1)
+            weight = weight / np.sqrt(np.bincount(of, weight * weight, len(r)))[of]
+            ends = pa.array(np.searchsorted(of, np.arange(len(r) + 1)).astype(np.int32))
+            own_terms = words.dictionary.take(pa.array(keys % max(span, 1)))
+            parts.append(_best(r, pa.ListArray.from_arrays(ends, own_terms), pa.ListArray.from_arrays(ends, pa.array(weight))))
+        return pa.array(np.concatenate(parts))
+    return scored
+
+
 #: Documents scored at once, so that the arrays stay small.
 _SCORED_ROWS = 500
 

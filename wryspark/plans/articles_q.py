@@ -223,7 +223,7 @@ def document_summaries(spark, sf):
     """Prediction table over all long documents: body, lead sentence as the
     headline, extractive summary."""
     long = R.word_count_filter(documents(spark, sf), "text", 30, keep_long=True)
-    summ = AR.extractive_summary(long, "doc_id", "text", tfidf_long(long, "text", "doc_id"))
+    summ = AR.extractive_summary(long, "doc_id", "text")
     return long.join(summ, "doc_id").select("doc_id", F.col("text").alias("Body"),
                                             AR.lead_sentence("text").alias("Headline"),
                                             F.col("summary").alias("Summary"))
