@@ -127,3 +127,33 @@ def test_forest_query_fits_all_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(TR, "stored_rows", lambda *a: seen.append(real(*a)) or seen[-1])
     got = {r.split: r.accuracy for r in Q.model_random_forest(spark, str(tmp_path)).collect()}
     assert seen[0].count() == 72 and got["train"] > 0.9 and set(got) == {"train", "test"}
+
+
+def test_boosting_is_mllibs(spark, tmp_path):
+    """The same trees as MLlib's where its bins are single values."""
+    from pyspark.ml.classification import GBTClassifier
+    rng = random.Random(8)
+    rows = []
+    for _ in range(300):
+        own = {j: float(rng.choice([1, 2, 3, 5])) for j in rng.sample(range(8), 4)}
+        if rng.random() < 0.2:
+            own[8] = -1.0
+        rows.append((int(own.get(1, 0) + own.get(4, 0) * rng.random() + rng.random() > 4), Vectors.sparse(10, sorted(own.items()))))
+    df = spark.createDataFrame(rows, ["label", "features"]).repartition(3).checkpoint()
+    want = GBTClassifier(maxIter=12, stepSize=0.1, maxDepth=3, seed=1).fit(df).transform(df).select("label", "prediction", "probability").collect()
+    model = Pipeline(stages=[TR.SparseBoosting(maxIter=12, checkpointInterval=5)]).fit(df)
+    got = model.transform(df).select("label", "prediction", "probability").collect()
+    assert [r.prediction for r in got] == [r.prediction for r in want]
+    assert np.allclose([r.probability[1] for r in got], [r.probability[1] for r in want], atol=1e-9)
+    model.write().overwrite().save(f"{tmp_path}/boosting")
+    assert PipelineModel.load(f"{tmp_path}/boosting").transform(df).select("label", "prediction", "probability").collect() == got
+
+
+def test_boosting_holds_entries_only(spark):
+    """A row of few entries costs a few bytes, however many features there are."""
+    df = spark.createDataFrame([(i % 2, Vectors.sparse(5000, [i % 7, 10 + i % 2], [1.0, 2.0])) for i in range(500)], ["label", "features"])
+    rows = TR.stored_rows(df, "features", "label")
+    bins = spark.sparkContext.broadcast(TR.bin_edges(rows, 5000))
+    blocks = rows.mapInArrow(TR._packer(bins, 5000), TR._BLOCK_SCHEMA).collect()
+    assert sum(len(x) for r in blocks for x in r) == 500 * (1 + 8 + 4 + 2 * 3)
+    assert {r.prediction == r.label for r in TR.SparseBoosting(maxIter=2).fit(df).transform(df).collect()} == {True}

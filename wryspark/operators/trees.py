@@ -1,4 +1,4 @@
-"""Trees over sparse features (L-04).
+"""Trees over sparse features (L-04, L-05).
 
 A row is kept as its stored entries only, each a feature's number and the bin
 of its value: 3 bytes an entry, where MLlib holds one whole number per feature.
@@ -11,6 +11,10 @@ a file that it maps into memory and grows its trees level by level, with one
 pass over the rows a level; only the entries of the features that a row's node
 drew go into counts. So a task's memory grows with 13 bytes a row, not with
 rows times features, and no histogram is shuffled.
+
+Boosting deals rows out instead: a pass over the rows gives the sums by feature
+and bin of the smaller child of each split node, the other's are its parent's
+less those, and the driver, which picks the splits, holds features times bins.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ import pyarrow.compute as pc
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed
+from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol,
+                                     HasSeed)
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
                              MLReadable, MLWritable)
 from pyspark.sql import DataFrame
@@ -364,7 +369,7 @@ def _apart(spark, groups: int) -> list[int]:
     return [r.g for r in k.groupBy(F.pmod(F.hash("g"), F.lit(groups)).alias("p")).agg(F.min("g").alias("g")).collect()]
 
 
-class _ForestParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed):
+class _ForestParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol, HasSeed):
     numTrees = Param(Params._dummy(), "numTrees", "number of trees", TypeConverters.toInt)
     maxDepth = Param(Params._dummy(), "maxDepth", "levels below the root", TypeConverters.toInt)
     maxBins = Param(Params._dummy(), "maxBins", "bins of a feature, at most 256", TypeConverters.toInt)
@@ -425,7 +430,8 @@ class SparseForestModel(Model, _ForestParams, MLWritable, MLReadable):
         places = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1))
         out = dataset.withColumn("_shares", shares(places, parts["values"]))
         top = F.array_position("_shares", F.array_max("_shares")) - 1
-        return out.withColumn(self.getProbabilityCol(), array_to_vector("_shares")) \
+        whole = F.transform("_shares", lambda x: x * len(self.trees))
+        return out.withColumn(self.getRawPredictionCol(), array_to_vector(whole)).withColumn(self.getProbabilityCol(), array_to_vector("_shares")) \
             .withColumn(self.getPredictionCol(), top.cast("double")).drop("_shares")
 
     def write(self):
@@ -496,3 +502,225 @@ def _scored(trees: list, indices: pa.Array, values: pa.Array) -> pa.Array:
         out[lo:hi] = share[at].mean(axis=1, dtype=np.float64)
     offsets = np.arange(0, out.size + 1, classes, dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.reshape(-1)))
+
+
+#: Rows of a block, the unit in which boosting reads them.
+_BLOCK_ROWS = 2000
+#: Tasks of a boosting pass at most: the driver adds up a histogram of each.
+_PASS_TASKS = 48
+
+
+def _packer(bins, dim: int):
+    """Rows to blocks: signs of the labels, scores so far, and the entries."""
+    binned = _binner(bins, dim)
+
+    def packed(batches):
+        for batch in binned(batches):
+            for lo in range(0, batch.num_rows, _BLOCK_ROWS):
+                part = batch.slice(lo, _BLOCK_ROWS)
+                sign = 2.0 * part.column(1).to_numpy(zero_copy_only=False) - 1
+                entries = part.column(3).to_pylist()
+                sizes = np.fromiter(map(len, entries), np.int32, len(entries))
+                blobs = sign.astype(np.int8).tobytes(), np.zeros(len(sign)).tobytes(), sizes.tobytes(), b"".join(part.column(2).to_pylist()), b"".join(entries)
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs], list(_BLOCK))
+    return packed
+
+
+_BLOCK = ("sign", "score", "size", "feature", "bin")
+_BLOCK_SCHEMA = ", ".join(f"{c} binary" for c in _BLOCK)
+
+
+def _blocks(batches, dim: int):
+    kinds = (np.int8, np.float64, np.int32, np.uint16 if dim <= 1 << 16 else np.uint32, np.uint8)
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in enumerate(kinds))
+
+
+def _places(trees: list, size, feature, values, absent: np.ndarray, dim: int) -> np.ndarray:
+    """The node of each tree that each row ends in. A tree is ``(feature, cut)``
+    by node, its children at ``2k + 1`` and ``2k + 2``; -1 has none."""
+    out = np.zeros((len(size), len(trees)), np.int64)
+    wanted = np.unique(np.concatenate([np.asarray(f) for f, *_ in trees])) if trees else np.zeros(0, int)
+    wanted = wanted[wanted >= 0]
+    column = np.full(dim, -1)
+    column[wanted] = np.arange(len(wanted))
+    at = column[feature]
+    hit = np.flatnonzero(at >= 0)
+    table = np.tile(absent[wanted], (len(size), 1))
+    table[np.searchsorted(np.cumsum(size), hit, side="right"), at[hit]] = values[hit]
+    for t, (f, cut, *_) in enumerate(trees):
+        f, cut, place = np.asarray(f), np.asarray(cut), out[:, t]
+        while (inner := np.flatnonzero(f[place] >= 0)).size:
+            here = place[inner]
+            place[inner] = 2 * here + 1 + (table[inner, column[f[here]]] > cut[here])
+    return out
+
+
+def _score(trees: list, places: np.ndarray) -> np.ndarray:
+    return sum((w * np.asarray(value)[places[:, t]] for t, (_, _, value, w) in enumerate(trees)), np.zeros(len(places)))
+
+
+def _summer(trees: list, grown: tuple, asked: list[int], dim: int, bins: int, absent: np.ndarray, first: bool, counted: bool):
+    """Counts and sums of the residuals by asked node, feature and bin: the cells
+    that have rows, or without ``counted`` the sums of all cells."""
+    def summed(batches):
+        k = len(asked)
+        rows_n, rows_s = np.zeros(k + 1), np.zeros(k + 1)
+        count, total = np.zeros((k + 1) * dim * bins, np.int64), np.zeros((k + 1) * dim * bins)
+        slot = np.full(max(asked) + 2, k)
+        slot[asked] = np.arange(k)
+        for sign, score, size, feature, values in _blocks(batches, dim):
+            places = _places([*trees, grown], size, feature, values, absent, dim)
+            score = score + _score(trees, places)
+            rest = sign.astype(float) if first else 4 * sign / (1 + np.exp(2 * sign * score))
+            of = slot[np.minimum(places[:, -1], len(slot) - 1)]
+            rows_n += np.bincount(of, minlength=k + 1)
+            rows_s += np.bincount(of, rest, k + 1)
+            inside = np.repeat(of < k, size)
+            key = (np.repeat(of, size)[inside] * dim + feature[inside]) * bins + values[inside]
+            count += np.bincount(key, minlength=len(count))
+            total += np.bincount(key, np.repeat(rest, size)[inside], len(total))
+        some = k * dim * bins
+        # The root's counts are the same in every round.
+        cells = np.flatnonzero(count[:some])
+        at, count = ((cells.astype(np.int64), count[cells].astype(np.int32)) if counted else (cells[:0], count[:0]))
+        total = total[cells] if counted else total[:some]
+        blobs = rows_n[:k].tobytes(), rows_s[:k].tobytes(), at.tobytes(), count.tobytes(), total.tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs], ["n", "s", "at", "count", "total"])
+    return summed
+
+
+def _scorer(trees: list, dim: int, absent: np.ndarray):
+    def scored(batches):
+        for block in _blocks(batches, dim):
+            sign, score, size, feature, values = block
+            new = score + _score(trees, _places(trees, size, feature, values, absent, dim))
+            blobs = [sign, new, size, feature, values]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in blobs], list(_BLOCK))
+    return scored
+
+
+def _best_cut(n: float, s: float, count: np.ndarray, total: np.ndarray, absent: np.ndarray):
+    """``(feature, bin, n left, s left)`` with the largest fall in variance, or None."""
+    count, total = count.astype(float), total.copy()
+    at = np.arange(len(count)), absent
+    count[at] += n - count.sum(1)
+    total[at] += s - total.sum(1)
+    n_left, s_left = np.cumsum(count, axis=1), np.cumsum(total, axis=1)
+    inside = (n_left > 0.5) & (n_left < n - 0.5)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(inside, s_left ** 2 / n_left + (s - s_left) ** 2 / (n - n_left) - s * s / n, -1.0)
+    # Rounded, so that equal gains tie whatever the order of a sum: the first feature and bin win.
+    gain = np.round(gain / max(n, 1), 12)
+    best = int(gain.argmax())
+    if gain.size == 0 or gain.flat[best] <= 0:
+        return None
+    f, b = divmod(best, gain.shape[1])
+    return f, b, n_left[f, b], s_left[f, b]
+
+
+class _BoostingParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol):
+    maxIter = Param(Params._dummy(), "maxIter", "number of trees", TypeConverters.toInt)
+    stepSize = Param(Params._dummy(), "stepSize", "weight of a tree after the first", TypeConverters.toFloat)
+    maxDepth = Param(Params._dummy(), "maxDepth", "levels below the root", TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "bins of a feature, at most 256", TypeConverters.toInt)
+    checkpointInterval = Param(Params._dummy(), "checkpointInterval", "trees after which scores are written", TypeConverters.toInt)
+    trees = Param(Params._dummy(), "trees", "features, edges and values by node, and weights")
+
+
+class SparseBoosting(Estimator, _BoostingParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Gradient boosting with MLlib's method on all rows: logistic loss, labels
+    0 and 1, regression trees on all features, the first tree on the labels."""
+
+    def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction", probabilityCol="probability",
+                 rawPredictionCol="rawPrediction", maxIter=100, stepSize=0.1, maxDepth=3, maxBins=32, checkpointInterval=10):
+        super().__init__()
+        self._set(featuresCol=featuresCol, labelCol=labelCol, predictionCol=predictionCol, probabilityCol=probabilityCol,
+                  rawPredictionCol=rawPredictionCol, maxIter=maxIter, stepSize=stepSize, maxDepth=maxDepth, maxBins=maxBins,
+                  checkpointInterval=checkpointInterval)
+
+    def _fit(self, dataset):
+        sc = dataset.sparkSession.sparkContext
+        rows = stored_rows(dataset, self.getFeaturesCol(), self.getLabelCol())
+        seen = rows.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("dim"), F.max("_label").alias("top"),
+                        F.min("_label").alias("low"), F.count("_label").alias("labelled")).first()
+        if not seen["n"] or seen["labelled"] < seen["n"] or seen["low"] < 0 or seen["top"] > 1:
+            raise ValueError("boosting needs rows whose labels are 0 and 1")
+        dim, max_bins = seen["dim"], self.getOrDefault("maxBins")
+        start, edges = bin_edges(rows, dim, max_bins)
+        absent = np.array([np.searchsorted(edges[a:b], 0) for a, b in zip(start[:-1], start[1:])], np.uint8)
+        blocks = rows.mapInArrow(_packer(sc.broadcast((start, edges)), dim), _BLOCK_SCHEMA)
+        blocks = cut_lineage(blocks.repartition(min(_PASS_TASKS, max(1, sc.defaultParallelism))))
+        every, trees, done, roots = self.getOrDefault("checkpointInterval"), [], 0, []
+        for t in range(self.getOrDefault("maxIter")):
+            tree = self._grown(blocks, trees[done:], dim, max_bins, absent, t == 0, roots)
+            trees.append((*tree, 1.0 if t == 0 else self.getOrDefault("stepSize")))
+            if len(trees) - done >= every:
+                blocks, done = cut_lineage(blocks.mapInArrow(_scorer(trees[done:], dim, absent), _BLOCK_SCHEMA)), len(trees)
+                # The blocks before go from the checkpoint folder once the JVM has collected them.
+                sc._jvm.System.gc()
+        model = SparseBoostingModel()
+        model._set(**{p.name: self.getOrDefault(p) for p in self.params if p.name != "trees"})
+        edge = lambda f, b: [int(edges[start[j] + c]) if j >= 0 else 0 for j, c in zip(f, b)]
+        model._set(trees=[[list(map(int, f)), edge(f, b), list(map(float, v)), w] for f, b, v, w in trees])
+        return model
+
+    def _grown(self, blocks, trees, dim, bins, absent, first, roots):
+        depth = self.getOrDefault("maxDepth")
+        nodes = 2 ** (depth + 1) - 1
+        f, cut, value = np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes)
+        sums: dict[int, tuple] = {}
+        level, asked = [0], [0]
+        for _ in range(depth):
+            if not asked:
+                break
+            counted = first or asked != [0]
+            told = blocks.mapInArrow(_summer(trees, (f, cut), asked, dim, bins, absent, first, counted),
+                                     "n binary, s binary, at binary, count binary, total binary").collect()
+            n, s = (sum(np.frombuffer(r[c], float) for r in told) for c in ("n", "s"))
+            count, total = np.zeros(len(asked) * dim * bins, np.int64), np.zeros(len(asked) * dim * bins)
+            for r in told:
+                at = np.frombuffer(r["at"], np.int64) if counted else slice(None)
+                total[at] += np.frombuffer(r["total"], float)
+                if counted:
+                    count[at] += np.frombuffer(r["count"], np.int32)
+            if asked == [0]:
+                roots.append(count) if first else None
+                count, value[0] = roots[0], s[0] / n[0]
+            for k, *own in zip(asked, n, s, count.reshape(len(asked), dim, bins), total.reshape(len(asked), dim, bins)):
+                sums[k] = tuple(own)
+                if k:
+                    sums[k + 1 if k % 2 else k - 1] = tuple(a - b for a, b in zip(sums.pop((k - 1) // 2), own))
+            following, asked = [], []
+            for k in level:
+                if best := _best_cut(*sums[k], absent):
+                    f[k], cut[k], n_left, s_left = best
+                    n_right = sums[k][0] - n_left
+                    value[2 * k + 1], value[2 * k + 2] = s_left / n_left, (sums[k][1] - s_left) / n_right
+                    following += [2 * k + 1, 2 * k + 2]
+                    # A right child's sums are its parent's without the left child's, and the other way round.
+                    asked.append(2 * k + 1 if n_left <= n_right else 2 * k + 2)
+            level = following
+        return f, cut, value
+
+
+class SparseBoostingModel(Model, _BoostingParams, DefaultParamsReadable, DefaultParamsWritable):
+    def _transform(self, dataset):
+        trees = self.getOrDefault("trees")
+
+        @F.arrow_udf("double")
+        def margin(indices: pa.Array, values: pa.Array) -> pa.Array:
+            sizes = np.asarray(indices.value_lengths().fill_null(0), np.int64)
+            i = indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            v = ordered(values.flatten().to_numpy(zero_copy_only=False))
+            dim = max([0, *(j for t in trees for j in t[0]), i.max(initial=0)]) + 1
+            return pa.array(_score(trees, _places(trees, sizes, i, v, np.zeros(dim, np.int32), dim)))
+
+        parts = F.unwrap_udt(F.col(self.getFeaturesCol()))
+        places = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1))
+        out = dataset.withColumn("_margin", margin(places, parts["values"]))
+        p = 1 / (1 + F.exp(-2 * F.col("_margin")))
+        return out.withColumn(self.getRawPredictionCol(), array_to_vector(F.array(-F.col("_margin"), F.col("_margin")))) \
+            .withColumn(self.getProbabilityCol(), array_to_vector(F.array(1 - p, p))) \
+            .withColumn(self.getPredictionCol(), (F.col("_margin") > 0).cast("double")).drop("_margin")

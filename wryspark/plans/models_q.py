@@ -164,10 +164,9 @@ def fit_pipeline(train, classifier, max_features=None):
         train.unpersist()
 
 
-def _fit_score(spark, sf, classifier, max_features=None, with_n=False, stratified=False, fit_rows=None, texts=None, data=None):
+def _fit_score(spark, sf, classifier, max_features=None, with_n=False, stratified=False, texts=None, data=None):
     data = labelled_split(spark, sf, stratified=stratified, texts=texts) if data is None else data
     train = data.filter(F.col("split") == "train")
-    train = fit_rows(train) if fit_rows else train
     clf = classifier(train.count()) if with_n else classifier
     model = fit_pipeline(train, clf, max_features)
     return model, model.transform(data)
@@ -222,7 +221,7 @@ def model_random_forest(spark, sf):
 @register("model_gradient_boosting", "L-05")
 def model_gradient_boosting(spark, sf):
     ensure_checkpoint_dir(spark)
-    _, a = _fit_score(spark, sf, ML.gradient_boosting(), 5000, fit_rows=ML.spread_rows)
+    _, a = _fit_score(spark, sf, ML.gradient_boosting(), 5000)
     return _split_scores(a, "gbt")
 
 
